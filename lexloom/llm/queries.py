@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.functions.text import name_key
-from lexloom.llm import format_duplicates, leakage, mixture, split_overlap, term_counts
+from lexloom.llm import format_duplicates, leakage, mixture, reading_level, split_overlap, term_counts
 from lexloom.session import table
 
 
@@ -97,10 +97,33 @@ def p7_shares(spark: SparkSession, folder: str) -> DataFrame:
     return mixed.report(mixed.draws())
 
 
+def _levels(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    model = reading_level.fit(*reading_level.labelled_sample(documents, table(spark, folder, "reading_labels")))
+    return reading_level.reading_levels(documents, model)
+
+
+def p8_reading_levels(spark: SparkSession, folder: str) -> DataFrame:
+    return _levels(spark, folder)
+
+
+def p8_profile(spark: SparkSession, folder: str) -> DataFrame:
+    return reading_level.profile(_levels(spark, folder), table(spark, folder, "documents"))
+
+
+def p8_accuracy(spark: SparkSession, folder: str) -> DataFrame:
+    """How well levels meet the labels of the fifth of the labelled documents that the models never saw."""
+    documents, labels = table(spark, folder, "documents"), table(spark, folder, "reading_labels")
+    held_out = F.pmod(F.xxhash64(F.lit("held out"), "doc_id"), F.lit(5)) == 0
+    model = reading_level.fit(*reading_level.labelled_sample(documents, labels.where(~held_out)))
+    return reading_level.accuracy(reading_level.reading_levels(documents.join(labels.where(held_out).select("doc_id").distinct(), "doc_id", "left_semi"), model), labels)
+
+
 QUERIES = {
     "p2_found": p2_found, "p2_term_counts": p2_term_counts,
     "p3_found": p3_found, "p3_collapsed_names": p3_collapsed_names,
     "p5_found": p5_found, "p5_per_split": p5_per_split, "p5_artifact_claims": p5_artifact_claims,
     "p6_found": p6_found, "p6_items": p6_items, "p6_clean_documents": p6_clean_documents,
     "p7_found": p7_found, "p7_mixture": p7_mixture, "p7_shares": p7_shares,
+    "p8_reading_levels": p8_reading_levels, "p8_profile": p8_profile, "p8_accuracy": p8_accuracy,
 }
