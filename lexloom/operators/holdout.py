@@ -1,0 +1,142 @@
+"""Sealed held-out names: canonical form, seal, exclusion keys and contamination."""
+
+from __future__ import annotations
+
+import datetime as dt
+import hashlib
+import json
+from collections.abc import Iterable
+from dataclasses import dataclass
+from pathlib import Path
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from lexloom.errors import HoldoutSealError
+from lexloom.functions.phonetic import phonetic_key
+from lexloom.functions.text import deletions, strip
+from lexloom.session import broadcast_if_small
+
+# Fixed values of the format.
+SEAL_SCHEMA = 1
+MIN_HOLDOUT = 50
+PRIORITY = ("exact", "phonetic", "edit_distance")
+
+
+def canonical_names(raw: Iterable[str]) -> tuple[str, ...]:
+    """Sorted distinct names of ASCII letters only, lower case; all other lines are left out. No bound on the length."""
+    stripped = (line.strip() for line in raw if line)
+    return tuple(sorted({s.casefold() for s in stripped if s.isascii() and s.isalpha()}))
+
+
+def canonical(lines: DataFrame, column: str) -> DataFrame:
+    """``canonical_names`` as a distinct one-column frame (normalized)."""
+    clean = strip(F.col(column))
+    return lines.select(clean.alias("_n")).where(F.col("_n").rlike(r"^[A-Za-z]+\z")).select(F.lower("_n").alias("normalized")).distinct()
+
+
+@dataclass(frozen=True)
+class HoldoutSeal:
+    content_hash: str
+    count: int
+    sealed_on: str
+    schema: int = SEAL_SCHEMA
+
+    def to_json(self) -> str:
+        return json.dumps({"schema": self.schema, "content_hash": self.content_hash, "count": self.count, "sealed_on": self.sealed_on}, indent=2) + "\n"
+
+    @classmethod
+    def from_path(cls, path: Path) -> HoldoutSeal:
+        found = json.loads(path.read_text(encoding="utf-8"))
+        if found.get("schema") != SEAL_SCHEMA:
+            raise HoldoutSealError(f"{path}: unknown seal schema {found.get('schema')!r}")
+        return cls(found["content_hash"], found["count"], found["sealed_on"])
+
+
+def compute_seal_hash(names: tuple[str, ...]) -> str:
+    return "sha256:" + hashlib.sha256("\n".join(names).encode()).hexdigest()
+
+
+def seal(names: Iterable[str], today: dt.date | None = None) -> HoldoutSeal:
+    known = canonical_names(names)
+    return HoldoutSeal(compute_seal_hash(known), len(known), (today or dt.datetime.now(dt.UTC).date()).isoformat())
+
+
+def verify_seal(names: Iterable[str], expected: HoldoutSeal) -> None:
+    """Raise unless the names have the sealed hash, and then unless they are enough."""
+    known = canonical_names(names)
+    if compute_seal_hash(known) != expected.content_hash:
+        raise HoldoutSealError(f"the {len(known)} held-out names aren't those sealed on {expected.sealed_on} ({expected.count} names)")
+    if len(known) < MIN_HOLDOUT:
+        raise HoldoutSealError(f"{len(known)} held-out names are below the minimum of {MIN_HOLDOUT}")
+
+
+def seal_frame(holdout: DataFrame) -> DataFrame:
+    """(content_hash, n_names) of canonical names; a held-out set is small by nature, but its size is checked where it is sealed."""
+    return holdout.agg(
+        F.concat(F.lit("sha256:"), F.sha2(F.array_join(F.array_sort(F.collect_set("normalized")), "\n"), 256)).alias("content_hash"), F.count("*").alias("n_names")
+    )
+
+
+def load_holdout(folder: Path) -> tuple[tuple[str, ...], HoldoutSeal] | None:
+    """The verified names and their seal; None where neither file exists; one without the other is refused."""
+    lines, manifest = folder / "holdout.txt", folder / "holdout.sealed.json"
+    if lines.exists() != manifest.exists():
+        there, missing = (lines, manifest) if lines.exists() else (manifest, lines)
+        raise HoldoutSealError(f"{there} is there, but {missing} is missing")
+    if not lines.exists():
+        return None
+    names, expected = lines.read_text(encoding="utf-8").splitlines(), HoldoutSeal.from_path(manifest)
+    verify_seal(names, expected)
+    return canonical_names(names), expected
+
+
+def deletion_keys(c: Column) -> Column:
+    """A name and all it is with one character left out."""
+    return F.array_union(F.array(c), deletions(c))
+
+
+def near_keys(holdout: DataFrame) -> DataFrame:
+    """The distinct deletion keys of the held-out names (column ``key``)."""
+    return holdout.select(F.explode(deletion_keys(F.col("normalized"))).alias("key")).distinct()
+
+
+def contamination(names: DataFrame, holdout: DataFrame) -> DataFrame:
+    """Distinct ``names`` (column normalized) with ``key``: why a held-out name excludes each - exact, phonetic, edit_distance - or null.
+
+    The search by edit distance is an equality of deletion keys, so it over-matches some pairs at distance 2, on purpose. The
+    held-out keys are broadcast if counted small. Only hits are grouped, and the metaphone runs once per distinct name.
+    """
+    distinct = names.select("normalized").where(F.col("normalized") != "").distinct()
+    exact = broadcast_if_small(holdout.select("normalized", F.lit(True).alias("is_exact")))
+    codes = holdout.select(phonetic_key(F.col("normalized")).alias("code")).where("code <> ''").distinct().withColumn("is_phonetic", F.lit(True))
+    near = (
+        distinct.select("normalized", F.explode(deletion_keys(F.col("normalized"))).alias("key"))
+        .join(broadcast_if_small(near_keys(holdout)), "key", "left_semi").select("normalized").distinct().withColumn("is_near", F.lit(True))
+    )
+    return (
+        distinct.withColumn("code", phonetic_key(F.col("normalized")))
+        .join(exact, "normalized", "left").join(broadcast_if_small(codes), "code", "left").join(near, "normalized", "left")
+        .select("normalized", F.when(F.col("is_exact"), "exact").when(F.col("is_phonetic"), "phonetic").when(F.col("is_near"), "edit_distance").alias("key"))
+    )
+
+
+def near_contamination(names: DataFrame, holdout: DataFrame) -> DataFrame:
+    """``contamination`` without sounds: by the exact name and deletion keys only."""
+    distinct = names.select("normalized").where(F.col("normalized") != "").distinct()
+    near = (
+        distinct.select("normalized", F.explode(deletion_keys(F.col("normalized"))).alias("key"))
+        .join(broadcast_if_small(near_keys(holdout)), "key", "left_semi").select("normalized").distinct()
+    )
+    exact = broadcast_if_small(holdout.select("normalized", F.lit(True).alias("is_exact")))
+    return near.join(exact, "normalized", "left").select("normalized", F.when(F.col("is_exact"), "exact").otherwise("edit_distance").alias("key"))
+
+
+def clean(names: DataFrame, holdout: DataFrame) -> DataFrame:
+    """The names nothing excludes."""
+    return contamination(names, holdout).where(F.col("key").isNull()).select("normalized")
+
+
+def excluded_histogram(found: DataFrame) -> DataFrame:
+    """Excluded names by key."""
+    return found.where(F.col("key").isNotNull()).groupBy("key").agg(F.count("*").alias("n_names"))
