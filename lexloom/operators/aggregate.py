@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.operators.normalise import TAGS
+from lexloom.operators.ordering import running_total
 
 
 def saturation(accepted: DataFrame) -> DataFrame:
@@ -68,11 +69,10 @@ def duplicate_ids(df: DataFrame, id_column: str) -> DataFrame:
 def saturation_percentile(totals: DataFrame) -> DataFrame:
     """(normalized, total_count, percentile): the share of names with a smaller total.
 
-    Names are grouped by total first, so the window runs over the distinct totals, not over the names.
+    Names are grouped by total first; the running count over the distinct totals is split by ranges.
     """
     by_total = totals.groupBy("total_count").agg(F.count("*").alias("_n"))
-    below = F.coalesce(F.sum("_n").over(Window.orderBy("total_count").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     everything = totals.agg(F.count("*").alias("_all"))
-    ranks = by_total.withColumn("_below", below).crossJoin(F.broadcast(everything))
+    ranks = running_total(by_total, "total_count", F.col("_n"), "_below").crossJoin(F.broadcast(everything))
     share = F.when(F.col("_all") > 1, F.col("_below") / (F.col("_all") - 1)).otherwise(0.0)
     return totals.join(ranks.select("total_count", share.alias("percentile")), "total_count").select("normalized", "total_count", "percentile")

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexloom.operators.ordering import running_total
 from lexloom.session import broadcast_if_small
 
 
@@ -90,11 +91,10 @@ def syllable_parts(names: DataFrame) -> DataFrame:
 def gini(usage: DataFrame, value: str) -> DataFrame:
     """One row: the Gini coefficient of a non-negative count; 0 of nothing.
 
-    Values are grouped first, so the window runs over the distinct counts only.
+    Values are grouped first; the running count over the distinct ones is split by ranges.
     """
     by_value = usage.groupBy(F.col(value).cast("double").alias("x")).agg(F.count("*").alias("m"))
-    before = F.coalesce(F.sum("m").over(Window.orderBy("x").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    ranked = by_value.withColumn("rank_sum", F.col("m") * before + F.col("m") * (F.col("m") + 1) / 2)
+    ranked = running_total(by_value, "x", F.col("m"), "before").withColumn("rank_sum", F.col("m") * F.col("before") + F.col("m") * (F.col("m") + 1) / 2)
     sums = ranked.agg(F.sum("m").alias("n"), F.sum(F.col("x") * F.col("m")).alias("total"), F.sum(F.col("x") * F.col("rank_sum")).alias("weighted"))
     return sums.select(F.coalesce(F.try_divide(2 * F.col("weighted"), F.col("n") * F.col("total")) - (F.col("n") + 1) / F.col("n"), F.lit(0.0)).alias("gini"))
 
@@ -118,10 +118,9 @@ def frontier(scores: DataFrame, arm: str, x: str, y: str) -> DataFrame:
 
 
 def average_ranks(df: DataFrame, value: str, name: str) -> DataFrame:
-    """``df`` with the rank of a value, ties sharing their mean rank; the window runs over distinct values."""
-    by_value = df.groupBy(value).agg(F.count("*").alias("_m"))
-    before = F.coalesce(F.sum("_m").over(Window.orderBy(value).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    return df.join(by_value.select(value, (before + (F.col("_m") + 1) / 2).alias(name)), value)
+    """``df`` with the rank of a value, ties sharing their mean rank; the running count is split by ranges."""
+    by_value = running_total(df.groupBy(value).agg(F.count("*").alias("_m")), value, F.col("_m"), "_before")
+    return df.join(by_value.select(value, (F.col("_before") + (F.col("_m") + 1) / 2).alias(name)), value)
 
 
 def spearman(df: DataFrame, a: str, b: str) -> DataFrame:

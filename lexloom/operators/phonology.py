@@ -81,11 +81,11 @@ def round_trip(phonemes: Column, again: Column) -> Column:
 
 
 def available_variants(variants: DataFrame, taken: DataFrame) -> DataFrame:
-    """(phonoform_id, taken, free): spellings of one sound of which one is taken and another free."""
+    """(phonoform_id, surface, is_taken) for the sounds of which one spelling is taken and another free; members, not pairs."""
     marked = variants.select("phonoform_id", F.col("surface").alias("normalized")).join(taken.select("normalized").distinct().withColumn("_t", F.lit(True)), "normalized", "left")
-    a = marked.where(F.col("_t")).select("phonoform_id", F.col("normalized").alias("taken"))
-    b = marked.where(F.col("_t").isNull()).select("phonoform_id", F.col("normalized").alias("free"))
-    return a.join(b, "phonoform_id")
+    marked = marked.withColumn("is_taken", F.coalesce("_t", F.lit(False)))
+    both = marked.groupBy("phonoform_id").agg(F.bool_or("is_taken").alias("_some"), F.bool_and("is_taken").alias("_all")).where("_some and not _all")
+    return marked.join(both, "phonoform_id", "left_semi").select("phonoform_id", F.col("normalized").alias("surface"), "is_taken")
 
 
 def compose(left: DataFrame, right: DataFrame, links: DataFrame) -> DataFrame:

@@ -79,8 +79,8 @@ def confusable_skeleton(c):
     return F.translate(F.replace(F.replace(F.lower(c), F.lit("rn"), F.lit("m")), F.lit("vv"), F.lit("w")), "l1i0", "iiio")
 
 
-def confusables(names: DataFrame, others: DataFrame) -> DataFrame:
-    """Pairs of different names with one skeleton."""
-    a = names.select(F.col("normalized").alias("name"), confusable_skeleton(F.col("normalized")).alias("skeleton")).distinct()
-    b = others.select(F.col("normalized").alias("other"), confusable_skeleton(F.col("normalized")).alias("skeleton")).distinct()
-    return a.join(broadcast_if_small(b), "skeleton").where(F.col("name") != F.col("other")).select("name", "other", "skeleton")
+def confusables(names: DataFrame) -> DataFrame:
+    """(skeleton, name): the distinct names that share their skeleton with another; classes, not pairs."""
+    known = names.select(F.col("normalized").alias("name"), confusable_skeleton(F.col("normalized")).alias("skeleton")).distinct()
+    several = known.groupBy("skeleton").agg(F.count("*").alias("_n")).where("_n > 1").select("skeleton")
+    return known.join(several, "skeleton").select("skeleton", "name")

@@ -175,6 +175,13 @@ def saturation_percentile(spark, folder):
     return aggregate.saturation_percentile(totals).withColumn("percentile", F.round("percentile", 9))
 
 
+@query(f"""with {_BASE}, v as (select distinct normalized, regexp_replace(normalized, '[aeiouy]', '', 'g') as p, normalized in (select normalized from held) as t from accepted)
+  select p as phonoform_id, normalized as surface, t as is_taken from v where p in (select p from v group by 1 having bool_or(t) and not bool_and(t))""")
+def available_variants(spark, folder):
+    variants = _accepted(spark, folder).select(F.regexp_replace("normalized", "[aeiouy]", "").alias("phonoform_id"), F.col("normalized").alias("surface")).distinct()
+    return phonology.available_variants(variants, _held(spark, folder))
+
+
 @query("select source_ref, count(*) as n_rows from normalised_record group by 1 having count(*) > 1")
 def duplicate_refs(spark, folder):
     return aggregate.duplicate_ids(table(spark, folder, "normalised_record"), "source_ref")
@@ -370,10 +377,9 @@ def novelty_min_distance(spark, folder):
 
 
 @query(f"""with {_BASE}, s as (select distinct normalized, translate(replace(replace(normalized, 'rn', 'm'), 'vv', 'w'), 'l1i0', 'iiio') as skeleton from accepted)
-  select a.normalized as name, b.normalized as other, a.skeleton from s a join s b on a.skeleton = b.skeleton and a.normalized <> b.normalized""")
+  select skeleton, normalized as name from s where skeleton in (select skeleton from s group by 1 having count(*) > 1)""")
 def confusables(spark, folder):
-    names = _accepted(spark, folder).select("normalized")
-    return screening.confusables(names, names)
+    return screening.confusables(_accepted(spark, folder).select("normalized"))
 
 
 @query(f"""with {_BASE}, r as (select total_count::double as x, row_number() over (order by total_count) as i, count(*) over () as n from totals)
