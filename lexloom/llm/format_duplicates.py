@@ -73,9 +73,12 @@ class FormatDuplicates:
         return in_hot.unionByName(in_rest).where(F.col("id") != F.col("first_id")).select("first_id", F.col("id").alias("copy_id"))
 
     def collapsed(self) -> DataFrame:
-        """One whole row of each group, that of the smallest id, with ``n_copies``, its number of rows."""
+        """One whole row of each group, that of the smallest id, with ``n_copies``, its number of rows (a column of that name is replaced).
+
+        Rows whose ids are all null have no smallest one and are left out; of rows with one id and one text, all stay.
+        """
         counts = self.groups.where(F.col("first_id").isNotNull()).select(F.col("first_id").alias(self.id_column), "n_copies")
-        return self.df.join(counts, self.id_column)
+        return self.df.drop("n_copies").join(counts, self.id_column)
 
     def collisions(self) -> DataFrame:
         """Hashes that more than one text has."""

@@ -72,6 +72,7 @@ found as (select distinct doc_id, item_id from dg join ig using (g))
 ORACLES = {
     "p2_found": _COUNTS + "select table_name, term, verdict from marked where verdict is not null",
     "p2_term_counts": _COUNTS + "select table_name, term, occurrences, records, coalesce(verdict, 'useful') as verdict from marked",
+    "p2_incremental": _COUNTS + "select table_name, term, occurrences, records from marked",
     "p3_found": _COPIES + "select table_name, first_id, id as copy_id from g where id <> first_id",
     "p3_collapsed_names": _COPIES + "select norm_id, normalized, display, provider_id, source_ref, n_copies from g join normalised_record on id = norm_id where table_name = 'normalised_record' and id = first_id",
     "p5_found": _OVERLAPS + "select holdout_id, found_in, found_key from found",

@@ -32,6 +32,24 @@ def p2_term_counts(spark: SparkSession, folder: str) -> DataFrame:
     return marked.select(F.col("scope").alias("table_name"), "term", "occurrences", "records", F.coalesce("verdict", F.lit("useful")).alias("verdict"))
 
 
+def p2_incremental(spark: SparkSession, folder: str) -> DataFrame:
+    """The same counts reached by deltas: a first state without the last run, with rows changed and rows that don't stay, then what changed since."""
+    store = term_counts.TermCounts(spark)
+    records, delivered = table(spark, folder, "normalised_record"), table(spark, folder, "provider_counts")
+    key, last = name_key(F.col("normalized")), delivered.agg(F.max("run_id")).first()[0]
+    changed = F.when(F.pmod("norm_id", F.lit(7)) == 0, F.concat(F.col("normalized"), F.lit("old"))).otherwise(F.col("normalized"))
+    first = records.where(F.pmod("norm_id", F.lit(5)) != 0).withColumn("normalized", changed).select("norm_id", "normalized")
+    gone = records.where(F.pmod("norm_id", F.lit(11)) == 0).select((-F.col("norm_id")).alias("norm_id"), "normalized")
+    states = [(first.unionByName(gone), delivered.where(F.col("run_id") < last)), (records.select("norm_id", "normalized"), delivered)]
+    before: tuple[DataFrame | None, DataFrame | None] = (None, None)
+    for state in states:
+        store.merge(term_counts.signed_deltas(before[0], state[0], scope="normalised_record", record=["norm_id", "normalized"], term=key, occurrences=F.lit(1)).unionByName(
+            term_counts.signed_deltas(before[1], state[1], scope="provider_counts", record=delivered.columns, term=key, occurrences=F.col("record_count"))
+        ))
+        before = state
+    return store.counts().select(F.col("scope").alias("table_name"), "term", "occurrences", "records")
+
+
 def _duplicates(spark: SparkSession, folder: str) -> list[tuple[str, format_duplicates.FormatDuplicates]]:
     return [
         ("corpus_record", format_duplicates.FormatDuplicates(table(spark, folder, "corpus_record"), "record_id", ["loaded_at"])),
@@ -120,7 +138,7 @@ def p8_accuracy(spark: SparkSession, folder: str) -> DataFrame:
 
 
 QUERIES = {
-    "p2_found": p2_found, "p2_term_counts": p2_term_counts,
+    "p2_found": p2_found, "p2_term_counts": p2_term_counts, "p2_incremental": p2_incremental,
     "p3_found": p3_found, "p3_collapsed_names": p3_collapsed_names,
     "p5_found": p5_found, "p5_per_split": p5_per_split, "p5_artifact_claims": p5_artifact_claims,
     "p6_found": p6_found, "p6_items": p6_items, "p6_clean_documents": p6_clean_documents,

@@ -19,7 +19,7 @@ ENDS = frozenset(".!?;\n")
 #: Labelled documents used for fitting, at most; half of them fit the sentence models, half the calibration.
 MAX_LABELLED = 1_200
 #: Labelled documents longer than this are not used for fitting.
-MAX_FIT_CHARS = 200_000
+MAX_FIT_CHARS = 50_000
 GRAM_BUCKETS = 1 << 15
 MIN_WORD_COUNT = 3
 #: Words a worker remembers the scores of; more and it starts afresh.
@@ -228,7 +228,7 @@ def labelled_sample(documents: DataFrame, labels: DataFrame, max_documents: int
     chosen = bands.orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_documents)
     rows = (
         documents.select("doc_id", "text").where(F.col("text").isNotNull() & (F.length("text") <= max_chars))
-        .join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(2 * max_documents).collect()
+        .join(F.broadcast(chosen), "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_documents).collect()
     )
     return [r["text"] for r in rows], [r["level"] for r in rows]
 

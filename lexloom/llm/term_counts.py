@@ -82,9 +82,10 @@ class TermCounts:
         else:
             touched = list(range(self.buckets))
         version = 1 + max(self.versions.values(), default=0)
+        files = -(-int(self.spark.conf.get("spark.sql.shuffle.partitions")) // self.buckets)
         (
             deltas.where((F.col("records") != 0) | (F.col("occurrences") != 0)).withColumn("bucket", spread)
-            .repartition(F.col("bucket")).write.partitionBy("bucket").parquet(f"{self.path}/v={version}")
+            .repartition(F.col("bucket"), F.pmod(F.xxhash64(F.lit("file"), "term"), F.lit(files))).write.partitionBy("bucket").parquet(f"{self.path}/v={version}")
         )
         there = {r["bucket"] for r in self.spark.read.parquet(f"{self.path}/v={version}").select("bucket").distinct().collect()} if self._any(version) else set()
         for b in touched:
