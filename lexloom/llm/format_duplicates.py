@@ -22,10 +22,10 @@ def canonical(c: Column, kind: T.DataType) -> Column:
     if isinstance(kind, T.StringType):
         text = letters_and_digits(c)
     elif isinstance(kind, T.ArrayType):
-        text = F.concat(F.lit("["), F.array_join(F.array_sort(F.transform(c, lambda x: canonical(x, kind.elementType))), ITEM))
+        text = F.concat(F.lit("["), F.array_join(F.array_sort(F.transform(c, lambda x: F.concat(F.lit(ITEM), canonical(x, kind.elementType)))), ""))
     elif isinstance(kind, T.MapType):
-        pair = lambda e: F.concat(canonical(e["key"], kind.keyType), F.lit(PAIR), canonical(e["value"], kind.valueType))
-        text = F.concat(F.lit("{"), F.array_join(F.array_sort(F.transform(F.map_entries(c), pair)), ITEM))
+        pair = lambda e: F.concat(F.lit(ITEM), canonical(e["key"], kind.keyType), F.lit(PAIR), canonical(e["value"], kind.valueType))
+        text = F.concat(F.lit("{"), F.array_join(F.array_sort(F.transform(F.map_entries(c), pair)), ""))
     elif isinstance(kind, T.StructType):
         fields = [canonical(c[f.name], f.dataType) for f in sorted(kind.fields, key=lambda f: f.name)]
         text = F.concat(F.lit("("), F.concat_ws(PAIR, *fields))

@@ -161,7 +161,7 @@ class Scorer:
         features, n = document_features(document, p, len(texts))
         some = n > 0
         raw = features @ self.model.coefficients if len(self.model.coefficients) else np.full(len(texts), np.nan)
-        difficulty = np.where(some, np.interp(raw, *self.model.knots), np.nan)
+        difficulty = np.where(some & np.isfinite(raw), np.interp(raw, *self.model.knots), np.nan)
         out = pd.DataFrame({"n_sentences": n.astype("int32"), "difficulty": difficulty})
         out["band"] = pd.array([int(np.clip(np.floor(x + 0.5), 1, BANDS)) if x == x else None for x in difficulty], "Int32")
         for k in range(BANDS):

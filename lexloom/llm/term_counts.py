@@ -60,6 +60,7 @@ class TermCounts:
     def __init__(self, spark: SparkSession, path: str | None = None, buckets: int = BUCKETS) -> None:
         self.spark, self.path, self.buckets = spark, path or scratch_path(spark, "termcounts"), buckets
         self.versions: dict[int, int] = {}
+        self.merges = 0
 
     def _read(self, buckets: Sequence[int]) -> DataFrame | None:
         places = [f"{self.path}/v={self.versions[b]}/bucket={b}" for b in buckets if b in self.versions]
@@ -81,7 +82,8 @@ class TermCounts:
             deltas = deltas.groupBy("scope", "term").agg(F.sum("occurrences").alias("occurrences"), F.sum("records").alias("records"))
         else:
             touched = list(range(self.buckets))
-        version = 1 + max(self.versions.values(), default=0)
+        self.merges += 1
+        version = self.merges
         files = -(-int(self.spark.conf.get("spark.sql.shuffle.partitions")) // self.buckets)
         (
             deltas.where((F.col("records") != 0) | (F.col("occurrences") != 0)).withColumn("bucket", spread)
