@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import os
 from collections.abc import Iterator
+from fractions import Fraction
 from functools import lru_cache
 
 import numpy as np
@@ -110,15 +112,11 @@ class Mixture:
             {"source": r["source"], "size_tokens": int(sizes.get(r["source"], 0)), "target_share": float(r["share"]), "max_repeats": int(r["repeats"])}
             for r in sorted(rows, key=lambda r: r["source"] or "")
         ], columns=["source", "size_tokens", "target_share", "max_repeats"])
-        self.plan["target_tokens"] = np.round(self.plan.target_share * self.size).astype("int64")
+        # The smallest whole number that reaches the share, in exact arithmetic.
+        self.plan["target_tokens"] = [math.ceil(Fraction(str(s)) * self.size) for s in self.plan.target_share]
         self.plan["most_tokens"] = self.plan.max_repeats * self.plan.size_tokens
         self.plan["quota_tokens"] = self.plan[["target_tokens", "most_tokens"]].min(axis=1).astype("int64")
 
-    def unreachable(self) -> DataFrame:
-        """Sources whose documents, repeated as often as allowed, stay below their target."""
-        short = self.plan[self.plan.most_tokens < self.plan.target_share * self.size]
-        return self.spark.createDataFrame([(s,) for s in short.source], "source string")
-
     def _quotas(self) -> DataFrame:
         p = self.plan
         passes = np.where(p.size_tokens > 0, p.quota_tokens // p.size_tokens.clip(lower=1), 0)
@@ -195,3 +193,8 @@ class Mixture:
             *plan.columns, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("drawn_tokens", "n_documents", "most_copies")],
             F.coalesce(F.col("drawn_tokens") / F.col("_total"), F.lit(0.0)).alias("actual_share"),
         )
+
+
+def unreachable(report: DataFrame) -> DataFrame:
+    """Sources of a ``report`` that fell short of their target in the mixture, because all their copies are less than it."""
+    return report.where((F.col("drawn_tokens") < F.col("target_tokens")) & (F.col("most_tokens") < F.col("target_tokens"))).select("source")

@@ -103,7 +103,8 @@ def _mixture(spark: SparkSession, folder: str) -> mixture.Mixture:
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
-    return _mixture(spark, folder).unreachable()
+    mixed = _mixture(spark, folder)
+    return mixture.unreachable(mixed.report(mixed.draws()))
 
 
 def p7_mixture(spark: SparkSession, folder: str) -> DataFrame:

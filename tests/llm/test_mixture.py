@@ -64,7 +64,7 @@ def test_report_and_reach(spark, mixed):
     docs, m, draws = mixed
     report = {r.source: r for r in m.report(spark.createDataFrame(draws)).collect()}
     assert math.isclose(sum(r.actual_share for r in report.values()), 1) and report["empty"].drawn_tokens == 0 and report["b"].most_copies == 3
-    short = {r.source for r in m.unreachable().collect()}
+    short = {r.source for r in mx.unreachable(m.report(spark.createDataFrame(draws))).collect()}
     assert short == {p.source for p in m.plan.itertuples() if p.max_repeats * p.size_tokens < p.target_share * m.size} == {"b"}
 
 
@@ -88,8 +88,9 @@ def test_tokens_are_those_of_the_vocabulary(spark):
 def test_nothing(spark):
     targets = spark.createDataFrame([("a", 0.5, None), ("b", None, 2)], TARGETS)
     none = mx.Mixture(documents(spark, a=1).limit(0), targets)
-    assert none.draws().count() == 0 and none.report(none.draws()).count() == 2 and none.unreachable().count() == 0
+    assert none.draws().count() == 0 and none.report(none.draws()).count() == 2 and mx.unreachable(none.report(none.draws())).count() == 0
     some = mx.Mixture(documents(spark, a=3), targets.limit(0))
     assert some.draws().count() == 0 and some.report(some.draws()).count() == 0
-    assert rows(mx.Mixture(documents(spark, a=3), targets).unreachable()) == [("a",)]
+    short = mx.Mixture(documents(spark, a=3), targets)
+    assert rows(mx.unreachable(short.report(short.draws()))) == [("a",)]
     assert documents(spark, a=1).where(F.col("doc_id") >= 0).count() == 1
