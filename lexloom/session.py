@@ -67,3 +67,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
 
 def data_dir(default: str = "/root/testdata/sf0.1") -> str:
     return os.environ.get("BENCH_SF_DIR", default)
+
+
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove what ``materialise`` and the stores have written to the shared folder; frames read from there can't be used afterwards."""
+    jvm = spark.sparkContext._jvm
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/lexloom-*")
+    system = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in system.globStatus(pattern) or []:
+        system.delete(found.getPath(), True)
