@@ -39,7 +39,7 @@ def column_name(c: Column) -> Column:
 
 def cell_value(c: Column) -> Column:
     """The value without quotes and outer blanks; null for any mark of a missing value."""
-    bare = F.trim(F.regexp_replace(F.regexp_replace(F.trim(c), '^"|"$', ""), '""', '"'))
+    bare = F.trim(F.replace(F.btrim(F.trim(c), F.lit('"')), F.lit('""'), F.lit('"')))
     return F.when(~F.upper(bare).isin(*MISSING), bare)
 
 
@@ -48,8 +48,9 @@ def value_type(v: Column) -> Column:
     low = F.lower(v)
     return (
         F.when(v.rlike(r"^[0-9]+\z"), "integer")
-        .when(v.rlike(r"^[+-]?[0-9]*\.[0-9]+\z"), "decimal")
         .when(low.isin("true", "false"), "boolean")
+        .when(~v.rlike("[0-9]"), "text")
+        .when(v.rlike(r"^[+-]?[0-9]*\.[0-9]+\z"), "decimal")
         .when(low.rlike(rf"^{DATE}\z"), "date")
         .when(low.rlike(rf"^{DATE}{TIME}\z"), "timestamp")
         .otherwise("text")
@@ -81,22 +82,24 @@ def value_keys(v: Column) -> Column:
     day = lambda ymd: F.when(_is_day(ymd), F.concat(F.lit("d:"), ymd))
     number = r"^[a-z]{0,4}[ _-]?0*(\d+?)(?:\.(\d*?)0*)?(?:[ _-]?[a-z]{0,4})\z"
     whole, fraction = part(number, 1), part(number, 2)
+    digits = F.ltrim(low, F.lit("0"))
+    plain = F.array(F.concat(F.lit("n:"), F.when(digits == "", "0").otherwise(digits)), F.when(F.length(low) == 8, day(low)), F.when(low.isin("0", "1"), F.concat(F.lit("b:"), low)))
+    letters = F.regexp_replace(F.when(low.rlike(r"[^\x00-\x7f]"), F.translate(low, "áàâäãåéèêëíìîïóòôöõúùûüçñý", "aaaaaaeeeeiiiiooooouuuucny")).otherwise(low), r"[^\p{L}\p{N}]+", "")
+    text = F.array(F.concat(F.lit("t:"), letters))
+    flag = F.when(low.isin(*YES), F.array(F.lit("b:1"))).when(low.isin(*NO), F.array(F.lit("b:0")))
+    # The usual cases come first and need no pattern of a date.
     keys = (
-        F.when(low.rlike(iso), F.array(day(_padded(part(iso, 1), part(iso, 2), part(iso, 3)))))
+        F.when(low.rlike(r"^[0-9]+\z"), plain)
+        .when(~low.rlike("[0-9]"), F.coalesce(flag, text))
+        .when(low.rlike(iso), F.array(day(_padded(part(iso, 1), part(iso, 2), part(iso, 3)))))
         .when(low.rlike(small_first), F.array(
             day(_padded(part(small_first, 3), part(small_first, 1), part(small_first, 2))),
             day(_padded(part(small_first, 3), part(small_first, 2), part(small_first, 1))),
         ))
         .when(low.rlike(worded), F.array(day(_padded(part(worded, 3), month(part(worded, 2)), part(worded, 1)))))
         .when(low.rlike(american), F.array(day(_padded(part(american, 3), month(part(american, 1)), part(american, 2)))))
-        .when(low.rlike(number) & low.rlike(r"\d"), F.array(
-            F.concat(F.lit("n:"), whole, F.when(fraction != "", F.concat(F.lit("."), fraction)).otherwise("")),
-            F.when(low.rlike(r"^\d{8}\z"), day(low)),
-            F.when(low.isin("0", "1"), F.concat(F.lit("b:"), low)),
-        ))
-        .when(low.isin(*YES), F.array(F.lit("b:1")))
-        .when(low.isin(*NO), F.array(F.lit("b:0")))
-        .otherwise(F.array(F.concat(F.lit("t:"), F.regexp_replace(F.translate(low, "áàâäãåéèêëíìîïóòôöõúùûüçñý", "aaaaaaeeeeiiiiooooouuuucny"), r"[^\p{L}\p{N}]+", ""))))
+        .when(low.rlike(number), F.array(F.concat(F.lit("n:"), whole, F.when(fraction != "", F.concat(F.lit("."), fraction)).otherwise(""))))
+        .otherwise(text)
     )
     return F.filter(keys, lambda k: k.isNotNull())
 
@@ -104,7 +107,8 @@ def value_keys(v: Column) -> Column:
 def _separated(line: Column, separator: str) -> Column:
     """The fields of a line; separators inside double quotes don't count."""
     at = "\\" + separator if separator == "|" else separator
-    return F.regexp_extract_all(F.concat(F.lit(separator), line), F.lit(rf'{at}(\s*"(?:[^"]|"")*"\s*(?={at}|\z)|[^{at}]*)'), F.lit(1))
+    quoted = F.regexp_extract_all(F.concat(F.lit(separator), line), F.lit(rf'{at}(\s*"(?:[^"]|"")*"\s*(?={at}|\z)|[^{at}]*)'), F.lit(1))
+    return F.when(line.contains('"'), quoted).otherwise(F.split(line, at, -1))
 
 
 def _fields(line: Column, separator: Column) -> Column:
@@ -135,14 +139,14 @@ def headers(lines: DataFrame) -> DataFrame:
     )
 
 
-def parsed_lines(lines: DataFrame) -> DataFrame:
+def parsed_lines(lines: DataFrame, heads: DataFrame) -> DataFrame:
     """(feed_id, file_no, line_id, file_format, cells): cells is an array of (name, value), null for a line that doesn't fit its file.
 
     A cut-short or stray line - another number of fields than the header, or no JSON object - has null cells.
     Null values stand for missing ones. Two fields of one name: both stay in the array.
     """
-    heads = broadcast_if_small(headers(lines))
-    json = F.map_entries(F.from_json("raw", "map<string,string>"))
+    heads = broadcast_if_small(heads)
+    json = F.transform(F.map_entries(F.from_json("raw", "map<string,string>")), lambda x: F.struct(column_name(x["key"]).alias("key"), x["value"].alias("value")))
     delimited = F.when(
         F.size("names") == F.size("_fields"), F.arrays_zip(F.col("names").alias("key"), F.col("_fields").alias("value"))
     )
@@ -153,12 +157,12 @@ def parsed_lines(lines: DataFrame) -> DataFrame:
         .withColumn("_cells", F.when(F.col("file_format") == "delimited", delimited).when(F.col("raw").rlike(r"^\s*\{.*\}\s*$"), json))
         .select(
             *FILE, "line_id", "file_format",
-            F.transform("_cells", lambda x: F.struct(column_name(x["key"]).alias("name"), cell_value(x["value"]).alias("value"))).alias("cells"),
+            F.transform("_cells", lambda x: F.struct(x["key"].alias("name"), cell_value(x["value"]).alias("value"))).alias("cells"),
         )
     )
 
 
-def column_profile(parsed: DataFrame, lines: DataFrame) -> DataFrame:
+def column_profile(parsed: DataFrame, heads: DataFrame) -> DataFrame:
     """One row per file and column: its number of values by type, its type, and how much it looks like the serial number.
 
     The columns of a delimited file are those of its header, those of a jsonl file the keys in at least half of its lines.
@@ -174,7 +178,7 @@ def column_profile(parsed: DataFrame, lines: DataFrame) -> DataFrame:
         F.approx_count_distinct("value").alias("n_distinct"),
     )
     per_file = parsed.groupBy(*FILE).agg(F.count("*").alias("n_lines"), F.max("file_format").alias("file_format"))
-    header_columns = headers(lines).select(*FILE, F.explode(F.array_distinct("names")).alias("name"))
+    header_columns = heads.select(*FILE, F.explode(F.array_distinct("names")).alias("name"))
     kind = F.lit(None).cast("string")
     for t in TYPES:
         kind = F.when(F.col(t) * 2 > F.col("n_values"), t).otherwise(kind)
@@ -370,8 +374,9 @@ class Drift:
 
     def __init__(self, lines: DataFrame, min_agreement: float = MIN_AGREEMENT) -> None:
         self.lines = lines
-        self.parsed = materialise(parsed_lines(lines), "parsed")
-        self.profile = column_profile(self.parsed, lines)
+        self.heads = materialise(headers(lines), "headers")
+        self.parsed = materialise(parsed_lines(lines, self.heads), "parsed")
+        self.profile = materialise(column_profile(self.parsed, self.heads), "profile")
         self.pairs = materialise(file_pairs(self.profile), "pairs")
         self.evidence = rename_evidence(self.parsed, self.pairs)
         self.renames = materialise(match_columns(self.pairs, self.evidence, min_agreement), "renames")
@@ -426,26 +431,33 @@ class Drift:
                 return "double" if kinds.get("decimal", 0) > kinds.get("integer", 0) else "bigint"
             return "string"
 
-        def raw_value(name: str) -> Column:
-            members = [n for n, f in family.items() if f == name]
-            return F.get(F.filter("cells", lambda x: x["name"].isin(*members) & x["value"].isNotNull()), F.lit(0))["value"]
+        by_name = F.create_map(*[F.lit(x) for pair in family.items() for x in pair]) if family else F.create_map().cast("map<string,string>")
+        first = lambda keys, mark: F.get(F.transform(F.filter(keys, lambda k: k.startswith(mark)), lambda k: F.substring(k, 3, 64)), F.lit(0))
+        present = F.filter("cells", lambda x: x["value"].isNotNull())
+        # What each cell may mean is worked out once per cell; the columns below only pick.
+        known = F.transform(present, lambda x: F.struct(F.try_element_at(by_name, x["name"]).alias("family"), x["value"].alias("value"), value_keys(x["value"]).alias("keys")))
+        meant = F.transform("_known", lambda x: F.struct(
+            x["family"].alias("family"), x["value"].alias("value"), first(x["keys"], "d:").alias("d"), first(x["keys"], "n:").alias("n"), first(x["keys"], "b:").alias("b")
+        ))
+        rows = self.parsed.where(F.col("cells").isNotNull()).select(*FILE, "line_id", known.alias("_known")).select(*FILE, "line_id", F.map_from_entries(_first_of_each(meant)).alias("_meant"))
 
         def typed(name: str) -> Column:
-            text = raw_value(name)
-            keys, kind = value_keys(text), target(name)
-            with_mark = lambda mark: F.get(F.transform(F.filter(keys, lambda k: k.startswith(mark)), lambda k: F.substring(k, 3, 64)), F.lit(0))
+            cell, kind = F.try_element_at("_meant", F.lit(name)), target(name)
             if kind == "date":
-                return F.try_to_date(with_mark("d:"), "yyyyMMdd")
+                return F.try_to_date(cell["d"], "yyyyMMdd")
             if kind == "boolean":
-                return with_mark("b:") == "1"
-            if kind in ("bigint", "double"):
-                return with_mark("n:").try_cast(kind)
-            return text
+                return cell["b"] == "1"
+            return cell["n"].try_cast(kind) if kind in ("bigint", "double") else cell["value"]
 
-        rows = self.parsed.where(F.col("cells").isNotNull())
-        out = rows.select(*FILE, "line_id", "cells", *[typed(n).alias(n) for n in names])
+        out = rows.select(*FILE, "line_id", "_meant", *[typed(n).alias(n) for n in names])
         cast_away = [n for n in names if target(n) != "string"]
-        if not cast_away:
-            return out.withColumn("misfits", F.create_map().cast("map<string,string>")).drop("cells")
-        lost = F.array(*[F.when(F.col(f"`{n}`").isNull() & raw_value(n).isNotNull(), F.struct(F.lit(n).alias("key"), raw_value(n).alias("value"))) for n in cast_away])
-        return out.withColumn("misfits", F.map_from_entries(F.filter(lost, lambda x: x.isNotNull()))).drop("cells")
+        lost = F.array(*[F.when(F.col(f"`{n}`").isNull() & F.try_element_at("_meant", F.lit(n)).isNotNull(), F.struct(F.lit(n).alias("key"), F.try_element_at("_meant", F.lit(n))["value"].alias("value"))) for n in cast_away])
+        misfits = F.map_from_entries(F.filter(lost, lambda x: x.isNotNull())) if cast_away else F.create_map().cast("map<string,string>")
+        return out.withColumn("misfits", misfits).drop("_meant")
+
+
+def _first_of_each(cells: Column) -> Column:
+    """(family, cell) entries, the first cell of each family."""
+    families = F.transform(cells, lambda x: x["family"])
+    kept = F.filter(cells, lambda x, i: F.array_position(families, x["family"]) == i + 1)
+    return F.transform(kept, lambda x: F.struct(x["family"].alias("key"), x.alias("value")))
