@@ -125,3 +125,14 @@ def fingerprint(built: DataFrame) -> DataFrame:
     """One row that any sharding of the same rows shares: count and an order-free sum of row hashes."""
     h = F.pmod(F.xxhash64("idx", "surface"), F.lit(1 << 40))
     return built.agg(F.count("*").alias("n_rows"), F.sum(h).alias("hash_sum"))
+
+
+def subspace(positions: Mapping[str, Sequence[str]], allowed: Mapping[str, Sequence[str]]) -> dict[str, list[str]]:
+    """The positions with only the choices a brief allows, in their order; a smaller space with an id of its own."""
+    return {p: [c for c in choices if c in set(allowed.get(p, choices))] for p, choices in positions.items()}
+
+
+def manifest(spark: SparkSession, run_id: str, **inputs: str) -> DataFrame:
+    """One row per input of a run (engine, ruleset, seed, corpus hashes, ...), with a hash of them all: written beside every output."""
+    digest = hashlib.sha256(json.dumps(inputs, sort_keys=True).encode()).hexdigest()
+    return spark.createDataFrame([(run_id, k, str(v), f"sha256:{digest}") for k, v in sorted(inputs.items())], "run_id string, input string, value string, manifest_hash string")

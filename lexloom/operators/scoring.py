@@ -103,3 +103,21 @@ def strength_class(coined: Column, word: Column, suggestive: Column, descriptive
 def spelling_ambiguity(variants: DataFrame) -> DataFrame:
     """(phonoform_id, n_variants, spellability): how many spellings sound alike."""
     return variants.groupBy("phonoform_id").agg(F.count_distinct("surface").alias("n_variants")).withColumn("spellability", F.lit(1.0) / F.col("n_variants"))
+
+
+def by_scope(names: DataFrame, phonoform: DataFrame, surface: DataFrame, derivation: DataFrame) -> DataFrame:
+    """Phenotype of three scopes joined late: scores are computed once per sound, spelling and derivation, never per row.
+
+    ``names`` has name_id, phonoform_id, surface, derivation_id; the scores are keyed by these.
+    """
+    return names.join(phonoform, "phonoform_id", "left").join(surface, "surface", "left").join(derivation, "derivation_id", "left")
+
+
+def forced_choice(answers: DataFrame) -> DataFrame:
+    """(arm, n_answers, accuracy, p_value): share of right choices between two, and how likely as many are by chance (normal approximation, two-sided)."""
+    found = answers.groupBy("arm").agg(F.count("*").alias("n_answers"), F.avg(F.col("is_right").cast("double")).alias("accuracy"))
+    z = F.abs(F.col("accuracy") - 0.5) / F.sqrt(F.lit(0.25) / F.col("n_answers"))
+    # Abramowitz and Stegun 7.1.26 for the error function.
+    t = 1 / (1 + 0.3275911 * z / F.sqrt(F.lit(2.0)))
+    erf = 1 - t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))) * F.exp(-z * z / 2)
+    return found.withColumn("p_value", 1 - erf)

@@ -564,3 +564,114 @@ def streamed_best_facts(spark, folder):
 def user_sessions(spark, folder):
     found = streams.sessions(table(spark, folder, "events"))
     return found.groupBy("user_id").agg(F.count("*").alias("n_sessions"), F.sum("n_events").alias("n_events"))
+
+
+@query("""select norm_id, round(len(list_intersect(tags, ['abandoned', 'probable_acronym'])) / len(list_distinct(list_concat(tags, ['abandoned', 'probable_acronym']))), 9) as score
+  from normalised_record where list_has_any(tags, ['abandoned', 'probable_acronym'])""")
+def tag_retrieval(spark, folder):
+    wanted = F.array(F.lit("abandoned"), F.lit("probable_acronym"))
+    met = table(spark, folder, "normalised_record").where(F.arrays_overlap("tags", wanted))
+    return met.select("norm_id", F.round(scoring.tag_overlap(F.col("tags"), wanted), 9).alias("score"))
+
+
+@query("""select norm_id, len(list_intersect(tags, ['abandoned', 'probable_acronym'])) / len(list_distinct(list_concat(tags, ['abandoned', 'probable_acronym']))) as score from normalised_record
+  where list_has_any(tags, ['abandoned', 'probable_acronym']) order by score desc, norm_id limit 15""")
+def best_retrieved(spark, folder):
+    names = table(spark, folder, "normalised_record").select("norm_id", F.format_string("%012d", "norm_id").alias("normalized"), "tags")
+    return scoring.retrieve(names, ["abandoned", "probable_acronym"]).select("norm_id", "score")
+
+
+@query("select run_id, normalized, provider_id, record_count, rank() over (partition by run_id order by record_count desc nulls last) as rank from provider_counts")
+def run_ranking(spark, folder):
+    scores = table(spark, folder, "provider_counts").withColumn("score", F.col("record_count"))
+    return facts.run_ranking(scores).select("run_id", "normalized", "provider_id", "record_count", "rank")
+
+
+@query("select run_id, count(*) as n_calls, sum(record_count)::bigint as tokens, sum(live)::bigint as cost_cents from provider_counts group by 1")
+def run_costs(spark, folder):
+    return facts.run_costs(table(spark, folder, "provider_counts").select("run_id", F.col("record_count").alias("tokens"), F.col("live").alias("cost_cents")))
+
+
+@query("""with v as (select user_id // 10 as candidate_id, user_id as voter, arg_max(event_type, ts) as choice from events group by 1, 2) select candidate_id, choice, count(*) as n_votes from v group by 1, 2""")
+def vote_tally(spark, folder):
+    votes = table(spark, folder, "events").select(F.floor(F.col("user_id") / 10).alias("candidate_id"), F.col("user_id").alias("voter"), F.col("ts").alias("at"), F.col("event_type").alias("choice"))
+    return facts.tally(votes)
+
+
+@query(f"with {_FACTS} select source, count(*) filter (expires_at <= timestamp '2024-02-15') as n_expired from f group by 1")
+def fact_freshness(spark, folder):
+    return facts.freshness(_facts(spark, folder), F.lit("2024-02-15").cast("timestamp_ntz")).select("source", "n_expired")
+
+
+_SHARES = "p as (select l_suppkey as item, l_returnflag as dimension, l_discount as value, l_quantity as salience, l_tax as weight, l_linenumber = 1 as is_head from lineitem)"
+
+
+def _parts(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "lineitem").select(
+        F.col("l_suppkey").alias("item"), F.col("l_returnflag").alias("dimension"), F.col("l_discount").alias("value"), F.col("l_quantity").alias("salience"), F.col("l_tax").alias("weight"),
+        (F.col("l_linenumber") == 1).alias("is_head"),
+    )
+
+
+@query(f"with {_SHARES} select item, dimension, round(sum(value * salience) / sum(salience) + (item % 3) / 100.0::double, 6) as value from p group by 1, 2")
+def connotation(spark, folder):
+    parts = _parts(spark, folder)
+    shifts = parts.select("item", "dimension").distinct().withColumn("shift", (F.col("item") % 3) / 100)
+    return scoring.connotation(parts, shifts).select("item", "dimension", F.round("value", 6).alias("value"))
+
+
+@query(f"with {_SHARES} select item, dimension as concept, round(max(weight * case when is_head then 1 else 0.5 end), 6)::double as weight from p group by 1, 2")
+def denotation(spark, folder):
+    return scoring.denotation(_parts(spark, folder).withColumnRenamed("dimension", "concept")).select("item", "concept", F.round("weight", 6).alias("weight"))
+
+
+@query(f"with {_SHARES} select item, dimension as domain, round(max(weight * value), 6) as value from p group by 1, 2")
+def domain_fit(spark, folder):
+    return scoring.domain_fit(_parts(spark, folder).withColumnRenamed("dimension", "domain")).select("item", "domain", F.round("value", 6).alias("value"))
+
+
+@query(f"""with {_BASE} select normalized, case when length(normalized) between 5 and 8 then 1.0 when length(normalized) <= 3 or length(normalized) >= 14 then 0.0 when length(normalized) < 5
+  then (length(normalized) - 3) / 2.0 else round((14 - length(normalized)) / 6.0, 6) end::double as length_score,
+  round(((case when contains(substr(normalized, 2), normalized[1]) then 1 else 0 end) + (case when length(normalized) <= 8 then 1 else 0 end)) / 3.0, 6)::double as memorable from (select distinct normalized from accepted)""")
+def name_scores(spark, folder):
+    """Length curve and two signs of a memorable name; the third, a repeated pair, needs a back-reference that SQL lacks."""
+    names = _accepted(spark, folder).select("normalized").distinct()
+    n = F.col("normalized")
+    signs = (F.substring(n, 2, 99).contains(F.substring(n, 1, 1)).cast("int") + (F.length(n) <= 8).cast("int")) / 3
+    return names.select("normalized", F.round(scoring.length_curve(F.length(n), 3, 5, 8, 14), 6).alias("length_score"), F.round(signs, 6).alias("memorable"))
+
+
+@query(f"""with {_BASE} select normalized, translate(normalized, 'aeiou', 'eioua') as shifted, regexp_replace(normalized, '[aeiouy]([^aeiouy]*)$', '\\1') as cut,
+  substr(normalized, length(normalized) // 2 + 1) || substr(normalized, 1, length(normalized) // 2) as swapped from held""")
+def lexical_mutations(spark, folder):
+    made = phonology.mutations(F.col("normalized"))
+    n, half = F.col("normalized"), F.floor(F.length("normalized") / 2).cast("int")
+    df = _held(spark, folder).withColumn("_m", made)
+    return df.select(
+        "normalized", F.col("_m")[0].alias("shifted"), F.regexp_replace(n, "[aeiouy]([^aeiouy]*)$", "$1").alias("cut"),
+        F.concat(F.substring(n, half + 1, F.length(n)), F.substring(n, F.lit(1), half)).alias("swapped"),
+    )
+
+
+@query(f"with {_BASE} select distinct normalized from accepted where normalized not in (select normalized from held where length(normalized) > 7)")
+def safety_gate(spark, folder):
+    lexicon = _held(spark, folder).select(F.col("normalized").alias("word"), F.lit("xx").alias("language"), F.when(F.length("normalized") > 7, "blocking").otherwise("mild").alias("severity"))
+    return screening.lexicon_gate(_accepted(spark, folder).select("normalized").distinct(), lexicon)
+
+
+@query("""select surface, count(*) as n_derivations from (select ['k', 't', 'm', 'l', 'br'][i % 5 + 1] || ['a', 'i', 'o'][(i // 5) % 3 + 1] || ['rv', 'n', 'st', 'l'][(i // 15) % 4 + 1] || ['a', 'on', 'ix', 'um', 'e'][(i // 60) % 5 + 1] as surface
+  from (select idx % 300 as i from range(0, 450) t(idx))) group by 1 having count(*) > 1""")
+def convergent_derivations(spark, folder):
+    """Indices beyond the space wrap around: the surfaces that are then derived twice."""
+    return addressing.duplicates(addressing.build(addressing.enumerate_range(spark, 0, 450), POSITIONS))
+
+
+@query("select ledger_seq, previous_size, round(1.0::double - byte_size / previous_size, 9) as lost_share from (select *, lag(byte_size) over (partition by provider_id order by ledger_seq) as previous_size from snapshot_ledger)")
+def ledger_steps(spark, folder):
+    return ledger.steps(table(spark, folder, "snapshot_ledger")).select("ledger_seq", "previous_size", F.round("lost_share", 9).alias("lost_share"))
+
+
+@query("""with a as (select event_type as arm, count(*) as n, avg((value > 10)::int::double) as p from events group by 1) select arm, n as n_answers, round(p, 9) as accuracy from a""")
+def forced_choice(spark, folder):
+    answers = table(spark, folder, "events").select(F.col("event_type").alias("arm"), (F.col("value") > 10).alias("is_right"))
+    return scoring.forced_choice(answers).select("arm", "n_answers", F.round("accuracy", 9).alias("accuracy"))
