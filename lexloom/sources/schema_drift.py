@@ -337,7 +337,9 @@ def match_columns(pairs: DataFrame, evidence: DataFrame, min_agreement: float =
                         found.append((feed, file_no, a, b, scores.get((a, b), 0.0), agreement[a, b]))
             yield pd.DataFrame(found, columns=["feed_id", "file_no", "old_name", "new_name", "score", "agreement"])
 
-    return graphs.mapInPandas(matched, "feed_id string, file_no int, old_name string, new_name string, score double, agreement double")
+    # Few bytes, but seconds of work: spread over all cores, which the size of the data wouldn't.
+    spread = graphs.repartition(int(graphs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return spread.mapInPandas(matched, "feed_id string, file_no int, old_name string, new_name string, score double, agreement double")
 
 
 def schema_changes(pairs: DataFrame, renames: DataFrame) -> DataFrame:
