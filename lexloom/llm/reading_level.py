@@ -53,21 +53,51 @@ def _length_features(n_words: np.ndarray, n_letters: np.ndarray) -> np.ndarray:
     return np.stack([np.ones(len(n_words)), np.log1p(n_words) - 2.5, n_letters / n_words - 5], axis=1)
 
 
-def fit_softmax(features: Sequence[np.ndarray], starts: np.ndarray, dense: np.ndarray, labels: np.ndarray, n_features: int, *, l2: float, rounds: int = 60, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
-    """L2-regularised softmax regression over bags of features; (weights, dense weights). Full gradients with AdaGrad steps.
+@dataclass
+class Grams:
+    """The n-grams of each word: flat numbers, where each word's begin, and the weight of each in its word."""
+
+    number: np.ndarray
+    starts: np.ndarray
+    weight: np.ndarray
+    word: np.ndarray
+
+    @classmethod
+    def of(cls, words: Sequence[str]) -> Grams:
+        grams = [word_grams(w) for w in words]
+        sizes = np.array([len(g) for g in grams])
+        return cls(np.concatenate(grams), np.cumsum([0, *sizes])[:-1], np.repeat(1 / np.sqrt(sizes), sizes), np.repeat(np.arange(len(sizes)), sizes))
+
+    def score(self, weights: np.ndarray) -> np.ndarray:
+        """The score of each word from the weights of its n-grams."""
+        return np.add.reduceat(weights[self.number] * self.weight[:, None], self.starts, axis=0)
+
+    def pull(self, gradient: np.ndarray) -> np.ndarray:
+        """The gradient by n-gram from that by word."""
+        return _summed(self.number, gradient[self.word] * self.weight[:, None], GRAM_BUCKETS)
+
+
+def _summed(number: np.ndarray, values: np.ndarray, n: int) -> np.ndarray:
+    return np.stack([np.bincount(number, values[:, k], n) for k in range(values.shape[1])], axis=1)
+
+
+def fit_softmax(ids: np.ndarray, scale: np.ndarray, starts: np.ndarray, dense: np.ndarray, labels: np.ndarray, n_words: int, grams: Grams | None = None, *,
+                l2: float, rounds: int = 60, rate: float = 0.5) -> tuple[np.ndarray, np.ndarray]:
+    """L2-regularised softmax regression over sentences as bags of words; (weights, dense weights). Full gradients with AdaGrad steps.
 
-    ``features``: (feature numbers, their weights); the bag of row i runs from ``starts[i]`` to the next start.
+    The words ``ids`` of sentence i run from ``starts[i]`` to the next start and count with ``scale``. Weights are by word, or,
+    with ``grams``, by n-gram: then a word scores what its n-grams add up to.
     """
-    number, weight = features
-    row = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(number))))
-    w, d = np.zeros((n_features, BANDS)), np.zeros((dense.shape[1], BANDS))
+    row = np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(ids))))
+    w, d = np.zeros((GRAM_BUCKETS if grams else n_words, BANDS)), np.zeros((dense.shape[1], BANDS))
     w_seen, d_seen = np.full_like(w, 1e-8), np.full_like(d, 1e-8)
     target = np.eye(BANDS)[labels]
     for _ in range(rounds):
-        p = _softmax(np.add.reduceat(w[number] * weight[:, None], starts, axis=0) + dense @ d)
+        by_word = grams.score(w) if grams else w
+        p = _softmax(np.add.reduceat(by_word[ids] * scale[:, None], starts, axis=0) + dense @ d)
         error = (p - target) / len(labels)
-        pulled = error[row] * weight[:, None]
-        grad = np.stack([np.bincount(number, pulled[:, k], n_features) for k in range(BANDS)], axis=1) + l2 * w / len(labels)
+        pulled = _summed(ids, error[row] * scale[:, None], n_words)
+        grad = (grams.pull(pulled) if grams else pulled) + l2 * w / len(labels)
         dense_grad = dense.T @ error + l2 * d / len(labels)
         w_seen += grad**2
         d_seen += dense_grad**2
@@ -127,9 +157,7 @@ class Scorer:
         self.known.update(zip(fresh, range(len(self.scores), len(self.scores) + len(fresh)), strict=True))
         at = np.array([m.word_index.get(w, -1) for w in fresh])
         by_word = np.where(at[:, None] >= 0, m.word_weights[at], 0)
-        grams = [word_grams(w) for w in fresh]
-        starts = np.cumsum([0, *map(len, grams)])[:-1]
-        by_gram = np.add.reduceat(m.gram_weights[np.concatenate(grams)], starts, axis=0) / np.sqrt([len(g) for g in grams])[:, None]
+        by_gram = Grams.of(fresh).score(m.gram_weights)
         self.scores = np.vstack([self.scores, np.hstack([by_word, by_gram, np.array([len(w) for w in fresh])[:, None]])])
 
     def sentences(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
@@ -204,15 +232,8 @@ def fit(texts: Sequence[str], bands: Sequence[float], *, l2: float = 1.0, ridge:
     dense = _length_features(n, np.add.reduceat(np.array([len(w) for w in words]), starts))
     frequent = np.bincount(ids) >= MIN_WORD_COUNT
     kept = np.cumsum(frequent) - 1
-    keep_weight = np.where(frequent[ids], scale, 0.0)
-    word_weights, word_dense = fit_softmax((np.where(frequent[ids], kept[ids], 0), keep_weight), starts, dense, label, max(1, int(frequent.sum())), l2=l2)
-    grams = [word_grams(w) for w in number]
-    sizes = np.array([len(g) for g in grams])
-    gram_flat, gram_start = np.concatenate(grams), np.cumsum([0, *sizes])[:-1]
-    per_token = sizes[ids]
-    place = np.repeat(gram_start[ids] - (np.cumsum(per_token) - per_token), per_token) + np.arange(per_token.sum())
-    gram_starts = (np.cumsum(per_token) - per_token)[starts]
-    gram_weights, gram_dense = fit_softmax((gram_flat[place], np.repeat(scale / np.sqrt(per_token), per_token)), gram_starts, dense, label, GRAM_BUCKETS, l2=l2)
+    word_weights, word_dense = fit_softmax(np.where(frequent[ids], kept[ids], 0), np.where(frequent[ids], scale, 0.0), starts, dense, label, max(1, int(frequent.sum())), l2=l2)
+    gram_weights, gram_dense = fit_softmax(ids, scale, starts, dense, label, len(number), Grams.of(list(number)), l2=l2)
     model = ReadingModel({w: int(kept[i]) for w, i in number.items() if frequent[i]}, word_weights, gram_weights, word_dense, gram_dense, np.zeros(0), (np.zeros(1), np.zeros(1)))
     document, p = model.scorer().sentences([t for t, _ in second])
     x, _ = document_features(document, p, len(second))
