@@ -7,6 +7,7 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,7 +17,8 @@ SHARD_CHARS = 4_000_000
 #: Evaluation items held by every worker at a time; more are searched for in blocks of this many.
 MAX_ITEMS = 20_000
 
-FOUND = "doc_id bigint, item_id bigint, longest_words int, n_places int, at_word int"
+COLUMNS = {"doc_id": "bigint", "item_id": "bigint", "longest_words": "int", "n_places": "int", "at_word": "int"}
+FOUND = ", ".join(f"{name} {kind}" for name, kind in COLUMNS.items())
 
 
 def words(text: str | None) -> list[str]:
@@ -127,7 +129,7 @@ def leaked(documents: DataFrame, items: DataFrame, *, min_words: int = 12, shard
 
     Defined cases: null or blank texts match nothing; items with fewer words match nothing; items of one text are all
     reported; case doesn't count; n_places is the number of separate matches, at_word where the longest (then the first)
-    begins; a repeated doc_id gives one result per row; empty tables give an empty result.
+    begins; a repeated or null doc_id gives one result per row; empty tables give an empty result.
     """
     queries = items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text")
     n_blocks = -(-queries.count() // max_items) or 1
@@ -136,24 +138,23 @@ def leaked(documents: DataFrame, items: DataFrame, *, min_words: int = 12, shard
     for block in range(n_blocks):
         part = queries if n_blocks == 1 else queries.where(F.pmod(F.xxhash64("item_id"), F.lit(n_blocks)) == block)
         tests = context.broadcast(TestSuffixes([(r["item_id"], r["text"]) for r in part.orderBy("item_id").toLocalIterator()], min_words))
-        result = documents.select("doc_id", "text").mapInPandas(_searcher(tests, shard_chars), FOUND)
+        result = documents.select("doc_id", "text").mapInArrow(_searcher(tests, shard_chars), FOUND)
         found = result if found is None else found.unionByName(result)
     return found
 
 
 def _searcher(tests, shard_chars: int):
-    def searched(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         mine = tests.value
         for batch in batches:
-            ids, texts = batch.doc_id.to_numpy(), batch.text.tolist()
+            ids, texts = batch.column(0), batch.column(1).to_pylist()
             shard = np.cumsum([len(t or "") + 1 for t in texts]) // shard_chars
             for first, last in _runs(shard):
                 hits = search_shard(texts[first:last], mine)
                 if len(hits):
-                    yield pd.DataFrame({
-                        "doc_id": ids[first + hits.doc.to_numpy(int)], "item_id": np.array(mine.ids)[hits.item.to_numpy(int)],
-                        "longest_words": hits.longest.astype("int32"), "n_places": hits.places.astype("int32"), "at_word": hits["at"].astype("int32"),
-                    })
+                    numbers = [pa.array(hits[c].to_numpy(np.int32)) for c in ("longest", "places", "at")]
+                    items = pa.array(np.array(mine.ids, np.int64)[hits.item.to_numpy(int)])
+                    yield pa.RecordBatch.from_arrays([ids.take(pa.array(first + hits.doc.to_numpy(int))), items, *numbers], names=list(COLUMNS))
 
     return searched
 

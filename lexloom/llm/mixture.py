@@ -10,6 +10,7 @@ from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -43,12 +44,13 @@ def _encoding(path: str):
 def token_counts(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """(doc_id, source, n_tokens) of each document; null text has none. One pass, no shuffle."""
 
-    def counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = _encoding(tokenizer).encode_ordinary
         for batch in batches:
-            yield pd.DataFrame({"doc_id": batch.doc_id, "source": batch.source, "n_tokens": np.array([len(encode(t)) if t else 0 for t in batch.text], np.int64)})
+            tokens = pa.array([len(encode(t)) if t else 0 for t in batch.column(2).to_pylist()], pa.int64())
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), tokens], names=["doc_id", "source", "n_tokens"])
 
-    return documents.select("doc_id", "source", "text").mapInPandas(counted, "doc_id bigint, source string, n_tokens bigint")
+    return documents.select("doc_id", "source", "text").mapInArrow(counted, "doc_id bigint, source string, n_tokens bigint")
 
 
 def split_quotas(quotas: np.ndarray, n_shards: int, seed: int, first: int = 0, last: int | None = None) -> Iterator[tuple[int, np.ndarray]]:

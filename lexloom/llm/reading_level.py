@@ -9,6 +9,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,8 @@ MAX_LABELLED = 1_200
 #: Labelled documents longer than this are not used for fitting.
 MAX_FIT_CHARS = 50_000
 GRAM_BUCKETS = 1 << 15
+#: Characters scored at a time; bounds a worker's memory.
+BLOCK_CHARS = 2_000_000
 MIN_WORD_COUNT = 3
 #: Words a worker remembers the scores of; more and it starts afresh.
 WORD_CACHE = 500_000
@@ -263,16 +266,18 @@ def reading_levels(documents: DataFrame, model: ReadingModel) -> DataFrame:
     """
     held = documents.sparkSession.sparkContext.broadcast(model)
 
-    def scored(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = held.value.scorer()
         for batch in batches:
-            cuts = np.cumsum([len(t or "") for t in batch.text]) // 2_000_000
-            for _, part in batch.groupby(cuts, sort=True):
-                levels = scorer.documents(part.text.tolist())
-                levels.insert(0, "doc_id", part.doc_id.to_numpy())
-                yield levels
-
-    return documents.select("doc_id", "text").mapInPandas(scored, LEVELS)
+            texts = batch.column(1).to_pylist()
+            block = np.cumsum([len(t or "") for t in texts]) // BLOCK_CHARS
+            ends = np.append(np.flatnonzero(np.diff(block)) + 1, len(texts)) if texts else []
+            for first, last in zip([0, *ends[:-1]], ends, strict=True):
+                levels = scorer.documents(texts[first:last])
+                columns = [pa.array(levels[c], from_pandas=True) for c in levels.columns]
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), *columns], names=["doc_id", *levels.columns])
+
+    return documents.select("doc_id", "text").mapInArrow(scored, LEVELS)
 
 
 def profile(levels: DataFrame, documents: DataFrame) -> DataFrame:

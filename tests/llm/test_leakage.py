@@ -44,7 +44,7 @@ def made(seed, n_docs=60, n_items=12):
             w = words(draw.choice(items[:n_items])[3])
             parts += [", ".join(w[draw.randrange(3):]).upper(), "— unknown █ " + text(4)] * draw.randrange(1, 3)
         docs.append((d, "\n".join(parts), "c", 1))
-    return docs + [(900, None, "c", 1), (901, "  ", "c", 1)], items
+    return docs + [(900, None, "c", 1), (901, "  ", "c", 1), (None, items[0][3], "c", 1), ((1 << 53) + 1, items[1][3], "c", 1)], items
 
 
 @pytest.mark.parametrize(("seed", "least", "chars", "block"), [(1, 5, 4_000_000, 20_000), (2, 5, 50, 20_000), (3, 3, 400, 4), (4, 12, 4_000_000, 20_000)])
