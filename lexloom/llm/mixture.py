@@ -89,6 +89,9 @@ def _large_draw(have: np.ndarray, n: int, draw: np.random.Generator) -> np.ndarr
 class Mixture:
     """A mixture of ``documents`` by ``targets`` (source, target_share, max_repeats), ``size`` tokens large (as all documents).
 
+    With ``exact`` it is no larger than the size at which every source reaches its share, so the shares hold; without, sources that
+    can't reach theirs stay at all their copies, and the others have what they should have of ``size``.
+
     A source's quota is its share of the size, at most ``max_repeats`` times its own tokens. Documents fall into blocks of
     about ``block_tokens`` by a keyed hash; a quota is so many whole passes over the source and then blocks in permuted
     order, the last one cut after the document that reaches the quota. The splitting tree gives each output shard its exact
@@ -99,7 +102,7 @@ class Mixture:
     target without documents reaches nothing; null share or repeats count as 0; no documents: no draws, shares 0.
     """
 
-    def __init__(self, documents: DataFrame, targets: DataFrame, *, tokenizer: str = TOKENIZER, size: int | None = None, seed: int = 1,
+    def __init__(self, documents: DataFrame, targets: DataFrame, *, tokenizer: str = TOKENIZER, size: int | None = None, exact: bool = False, seed: int = 1,
                  block_tokens: int = BLOCK_TOKENS, shard_tokens: int = SHARD_TOKENS) -> None:
         self.spark, self.seed, self.block_tokens, self.shard_tokens = documents.sparkSession, seed, block_tokens, shard_tokens
         self.tokens = materialise(token_counts(documents, tokenizer), "tokens")
@@ -114,9 +117,11 @@ class Mixture:
             {"source": r["source"], "size_tokens": int(sizes.get(r["source"], 0)), "target_share": float(r["share"]), "max_repeats": int(r["repeats"])}
             for r in sorted(rows, key=lambda r: r["source"] or "")
         ], columns=["source", "size_tokens", "target_share", "max_repeats"])
+        self.plan["most_tokens"] = self.plan.max_repeats * self.plan.size_tokens
+        if exact:
+            self.size = min([self.size, *(math.floor(most / Fraction(str(share))) for most, share in zip(self.plan.most_tokens, self.plan.target_share, strict=True) if share > 0)])
         # The smallest whole number that reaches the share, in exact arithmetic.
         self.plan["target_tokens"] = [math.ceil(Fraction(str(s)) * self.size) for s in self.plan.target_share]
-        self.plan["most_tokens"] = self.plan.max_repeats * self.plan.size_tokens
         self.plan["quota_tokens"] = self.plan[["target_tokens", "most_tokens"]].min(axis=1).astype("int64")
 
     def _quotas(self) -> DataFrame:
@@ -186,9 +191,8 @@ class Mixture:
 
     def report(self, draws: DataFrame) -> DataFrame:
         """Per source its size, target, quota and what the mixture holds of it: tokens, share, most copies of a document."""
-        plan = self.spark.createDataFrame(
-            self.plan.values.tolist(), "source string, size_tokens bigint, target_share double, max_repeats int, target_tokens bigint, most_tokens bigint, quota_tokens bigint"
-        )
+        kinds = {"source": "string", "size_tokens": "bigint", "target_share": "double", "max_repeats": "int", "target_tokens": "bigint", "most_tokens": "bigint", "quota_tokens": "bigint"}
+        plan = self.spark.createDataFrame(self.plan[list(kinds)].values.tolist(), ", ".join(f"{name} {kind}" for name, kind in kinds.items()))
         got = draws.groupBy("source").agg(F.sum("n_tokens").alias("drawn_tokens"), F.count("*").alias("n_documents"), F.max("copy_no").alias("most_copies"))
         total = got.agg(F.sum("drawn_tokens").alias("_total"))
         return plan.join(F.broadcast(got), "source", "left").crossJoin(F.broadcast(total)).select(

@@ -138,11 +138,17 @@ def p8_accuracy(spark: SparkSession, folder: str) -> DataFrame:
     return reading_level.accuracy(reading_level.reading_levels(documents.join(labels.where(held_out).select("doc_id").distinct(), "doc_id", "left_semi"), model), labels)
 
 
+def p7_exact_shares(spark: SparkSession, folder: str) -> DataFrame:
+    """The largest mixture in which every source has its share."""
+    mixed = mixture.Mixture(table(spark, folder, "documents"), table(spark, folder, "mix_targets"), exact=True, block_tokens=1 << 14)
+    return mixed.report(mixed.draws())
+
+
 QUERIES = {
     "p2_found": p2_found, "p2_term_counts": p2_term_counts, "p2_incremental": p2_incremental,
     "p3_found": p3_found, "p3_collapsed_names": p3_collapsed_names,
     "p5_found": p5_found, "p5_per_split": p5_per_split, "p5_artifact_claims": p5_artifact_claims,
     "p6_found": p6_found, "p6_items": p6_items, "p6_clean_documents": p6_clean_documents,
-    "p7_found": p7_found, "p7_mixture": p7_mixture, "p7_shares": p7_shares,
+    "p7_found": p7_found, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p7_exact_shares": p7_exact_shares,
     "p8_reading_levels": p8_reading_levels, "p8_profile": p8_profile, "p8_accuracy": p8_accuracy,
 }

@@ -68,6 +68,14 @@ def test_report_and_reach(spark, mixed):
     assert short == {p.source for p in m.plan.itertuples() if p.max_repeats * p.size_tokens < p.target_share * m.size} == {"b"}
 
 
+def test_exact_shares(spark, mixed):
+    docs, m, _ = mixed
+    targets = spark.createDataFrame([("a", 0.4, 1), ("b", 0.4, 3), ("c", 0.2, 2)], TARGETS)
+    exact = mx.Mixture(docs, targets, exact=True, block_tokens=200)
+    report = {r.source: r for r in exact.report(exact.draws()).collect()}
+    assert exact.size < m.size and all(abs(r.actual_share - r.target_share) < 0.01 and r.most_copies <= r.max_repeats for r in report.values())
+
+
 def test_the_tree_splits_exactly_and_anywhere():
     quotas = np.array([1000, 7, 0, 333])
     leaves = dict(mx.split_quotas(quotas, 17, 3))
