@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lexloom.session import with_row
+
 SLOTS = 1024
 
 
@@ -44,7 +46,7 @@ def slots(weights: DataFrame, total: int = SLOTS) -> DataFrame:
     from pyspark.sql import Window
 
     everything = weights.agg(F.sum("weight").alias("_sum"))
-    exact = weights.crossJoin(F.broadcast(everything)).withColumn("_e", F.col("weight") * total / F.col("_sum")).withColumn("_f", F.floor("_e").cast("bigint"))
+    exact = with_row(weights, everything).withColumn("_e", F.col("weight") * total / F.col("_sum")).withColumn("_f", F.floor("_e").cast("bigint"))
     by_rest, by_name, whole = Window.orderBy(F.desc(F.round(F.col("_e") - F.col("_f"), 9)), "choice"), Window.orderBy("choice"), Window.partitionBy()
     left = exact.withColumn("_left", F.lit(total) - F.sum("_f").over(whole)).withColumn("n_slots", F.col("_f") + F.when(F.row_number().over(by_rest) <= F.col("_left"), 1).otherwise(0))
     return left.select("choice", (F.sum("n_slots").over(by_name) - F.col("n_slots")).alias("first_slot"), "n_slots")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from lexloom.operators.normalise import TAGS
 from lexloom.operators.ordering import running_total
+from lexloom.session import with_row
 
 
 def saturation(accepted: DataFrame) -> DataFrame:
@@ -73,6 +74,6 @@ def saturation_percentile(totals: DataFrame) -> DataFrame:
     """
     by_total = totals.groupBy("total_count").agg(F.count("*").alias("_n"))
     everything = totals.agg(F.count("*").alias("_all"))
-    ranks = running_total(by_total, "total_count", F.col("_n"), "_below").crossJoin(F.broadcast(everything))
+    ranks = with_row(running_total(by_total, "total_count", F.col("_n"), "_below"), everything)
     share = F.when(F.col("_all") > 1, F.col("_below") / (F.col("_all") - 1)).otherwise(0.0)
     return totals.join(ranks.select("total_count", share.alias("percentile")), "total_count").select("normalized", "total_count", "percentile")

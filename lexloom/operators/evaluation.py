@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.operators.ordering import running_total
-from lexloom.session import broadcast_if_small
+from lexloom.session import broadcast_if_small, with_row
 
 
 def char_grams(name: Column, n: int) -> Column:
@@ -56,7 +56,7 @@ def kneser_ney(names: DataFrame, training: DataFrame, n: int = 5, discount: floa
         prob = F.when(F.col(f"t{k}").isNull(), prob).otherwise((seen + F.lit(discount) * F.col(f"f{k}") * prob) / F.col(f"t{k}"))
     per_name = scored.groupBy("normalized").agg(F.avg(F.log(prob)).alias("mean_log_prob"))
     spread = per_name.agg(F.avg("mean_log_prob").alias("_m"), F.stddev_samp("mean_log_prob").alias("_s"))
-    return per_name.crossJoin(F.broadcast(spread)).select("normalized", "mean_log_prob", F.try_divide(F.col("mean_log_prob") - F.col("_m"), F.col("_s")).alias("z"))
+    return with_row(per_name, spread).select("normalized", "mean_log_prob", F.try_divide(F.col("mean_log_prob") - F.col("_m"), F.col("_s")).alias("z"))
 
 
 def histogram_overlap(a: DataFrame, b: DataFrame, value: str, width: float) -> DataFrame:
@@ -65,7 +65,7 @@ def histogram_overlap(a: DataFrame, b: DataFrame, value: str, width: float) -> D
     both = bins(a, "na").join(bins(b, "nb"), "bin", "full")
     total = both.agg(F.sum("na").alias("ta"), F.sum("nb").alias("tb"))
     share = F.least(F.coalesce("na", F.lit(0)) / F.col("ta"), F.coalesce("nb", F.lit(0)) / F.col("tb"))
-    return both.crossJoin(F.broadcast(total)).agg(F.sum(share).alias("overlap"))
+    return with_row(both, total).agg(F.sum(share).alias("overlap"))
 
 
 def distinct_n(names: DataFrame, n: int) -> DataFrame:
@@ -112,7 +112,7 @@ def gate_yield(flags: DataFrame, gates: list[str]) -> DataFrame:
 def frontier(scores: DataFrame, arm: str, x: str, y: str) -> DataFrame:
     """Per arm the names in each quadrant around the medians of all."""
     middle = scores.agg(F.percentile(x, F.lit(0.5)).alias("mx"), F.percentile(y, F.lit(0.5)).alias("my"))
-    at = scores.crossJoin(F.broadcast(middle))
+    at = with_row(scores, middle)
     high_x, high_y = F.col(x) >= F.col("mx"), F.col(y) >= F.col("my")
     return at.groupBy(arm).agg(F.count_if(high_x & high_y).alias("both"), F.count_if(high_x & ~high_y).alias("only_x"), F.count_if(~high_x & high_y).alias("only_y"), F.count_if(~high_x & ~high_y).alias("neither"))
 

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lexloom.errors import AutophagyError, LicenceViolationError
+from lexloom.session import broadcast_if_small
 from lexloom.types import LicenceClass, ProviderDescriptor, ProviderKind, Use
 
 # The permission matrix. A licence that isn't here permits nothing.
@@ -68,7 +69,7 @@ def artifact_violations(artifacts: DataFrame, providers: DataFrame) -> DataFrame
     """
     spark = artifacts.sparkSession
     used = artifacts.select("artifact_id", "use_kind", F.explode(F.array_distinct("provider_ids")).alias("provider_id"))
-    known = used.join(F.broadcast(providers.select("provider_id", "kind", "licence")), "provider_id", "left").join(
+    known = used.join(broadcast_if_small(providers.select("provider_id", "kind", "licence")), "provider_id", "left").join(
         F.broadcast(matrix(spark).withColumn("permitted", F.lit(True))), ["licence", "use_kind"], "left"
     )
     found = F.filter(F.array(
@@ -90,5 +91,5 @@ def blend_frame(spark: SparkSession, blend) -> DataFrame:
 
 def contributors(evidence: DataFrame, blend: DataFrame, use: Use | str) -> DataFrame:
     """The evidence rows of the providers that a blend names for a use, with its weight and the weighted count."""
-    named = F.broadcast(blend.where(F.col("use_kind") == str(use)).select("provider_id", "weight"))
+    named = broadcast_if_small(blend.where(F.col("use_kind") == str(use)).select("provider_id", "weight"))
     return evidence.join(named, "provider_id").withColumn("weighted_count", F.col("record_count") * F.col("weight"))

@@ -8,6 +8,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexloom.session import broadcast_if_small
+
 
 @dataclass(frozen=True)
 class LanguagePack:
@@ -90,7 +92,7 @@ def available_variants(variants: DataFrame, taken: DataFrame) -> DataFrame:
 
 def compose(left: DataFrame, right: DataFrame, links: DataFrame) -> DataFrame:
     """(left_id, right_id, surface): morphemes joined where a rule (left_type, right_type, linking_vowel) lets them; a vowel is left out beside another."""
-    met = left.select(F.col("id").alias("left_id"), F.col("form").alias("lf"), F.col("type").alias("left_type")).join(F.broadcast(links), "left_type").join(
+    met = left.select(F.col("id").alias("left_id"), F.col("form").alias("lf"), F.col("type").alias("left_type")).join(broadcast_if_small(links), "left_type").join(
         right.select(F.col("id").alias("right_id"), F.col("form").alias("rf"), F.col("type").alias("right_type")), "right_type"
     )
     bridge = F.when(F.col("lf").rlike("[aeiouy]$") | F.col("rf").rlike("^[aeiouy]"), "").otherwise(F.coalesce("linking_vowel", F.lit("")))

@@ -7,6 +7,10 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexloom.session import small_enough, with_row
+
+MAX_POSTURES = 1_000
+
 
 def dot(a: Column, b: Column) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
@@ -24,8 +28,15 @@ def centroids(vectors: DataFrame, label: str, embedding: str) -> DataFrame:
 
 
 def posture_fit(vectors: DataFrame, postures: DataFrame, embedding: str = "embedding", posture: str = "posture", vector: str = "centroid") -> DataFrame:
-    """Cosine of each vector with each posture, the postures being a small set of queries that is broadcast."""
-    return vectors.crossJoin(F.broadcast(postures.select(F.col(posture).alias("posture"), F.col(vector).alias("_c")))).withColumn("fit", cosine(F.col(embedding), F.col("_c"))).drop("_c")
+    """Cosine of each vector with each posture: a stated set of queries against all rows, refused above ``MAX_POSTURES``.
+
+    The postures are held as one array per row's plan (a scalar subquery), so each vector is read once and nothing is joined.
+    """
+    if not small_enough(postures, MAX_POSTURES):
+        raise ValueError(f"more than {MAX_POSTURES} postures: search in blocks")
+    queries = postures.agg(F.collect_list(F.struct(F.col(posture).alias("posture"), F.col(vector).alias("c"))).alias("_queries"))
+    met = with_row(vectors, queries).select(*vectors.columns, F.explode("_queries").alias("_q"))
+    return met.select(*vectors.columns, F.col("_q.posture").alias("posture"), cosine(F.col(embedding), F.col("_q.c")).alias("fit"))
 
 
 def composite(scores: DataFrame, weights: Mapping[str, float], name: str = "composite") -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions.text import strip
 from lexloom.operators import addressing, aggregate, artifact, evaluation, facts, holdout, inventory, ledger, licensing, normalise, phonology, scoring, screening
-from lexloom.session import scratch_path, table
+from lexloom.session import broadcast_if_small, scratch_path, table
 from lexloom.streaming import facts as streams
 from lexloom.types import BlendEntry, CorpusBlend, LicenceClass, ProviderDescriptor, ProviderKind, Use
 
@@ -249,7 +249,7 @@ def holdout_seal(spark, folder):
 
 @query(f"with {_BASE} select distinct normalized from accepted where normalized in (select normalized from held)")
 def holdout_exact(spark, folder):
-    return _accepted(spark, folder).select("normalized").distinct().join(F.broadcast(_held(spark, folder)), "normalized", "left_semi")
+    return _accepted(spark, folder).select("normalized").distinct().join(broadcast_if_small(_held(spark, folder)), "normalized", "left_semi")
 
 
 _KEYS = """
@@ -480,7 +480,7 @@ def posture_composite(spark, folder):
 @query("""select n_name as item, case when min(l_quantity) >= 1 then round(sum(l_extendedprice * l_quantity) / sum(l_extendedprice), 4) end as basket_score, min(l_quantity) as lowest
   from lineitem join supplier on l_suppkey = s_suppkey join nation on s_nationkey = n_nationkey group by 1""")
 def market_basket(spark, folder):
-    markets = table(spark, folder, "lineitem").join(F.broadcast(table(spark, folder, "supplier").join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))), F.col("l_suppkey") == F.col("s_suppkey"))
+    markets = table(spark, folder, "lineitem").join(table(spark, folder, "supplier").join(table(spark, folder, "nation"), F.col("s_nationkey") == F.col("n_nationkey")), F.col("l_suppkey") == F.col("s_suppkey"))
     found = scoring.market_basket(markets.select(F.col("n_name").alias("item"), F.col("l_quantity").alias("q"), F.col("l_extendedprice").alias("w")), "item", "q", "w", 1.0)
     return found.withColumn("basket_score", F.round("basket_score", 4))
 

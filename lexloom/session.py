@@ -76,3 +76,9 @@ def clear_scratch(spark: SparkSession) -> None:
     system = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for found in system.globStatus(pattern) or []:
         system.delete(found.getPath(), True)
+
+
+def with_row(df: DataFrame, one: DataFrame) -> DataFrame:
+    """``df`` with the columns of a one-row aggregate, taken as a scalar subquery: computed once, no join."""
+    row = one.select(F.struct(*one.columns).alias("_row")).scalar()
+    return df.withColumn("_row", row).select(*df.columns, *[F.col(f"_row.{c}").alias(c) for c in one.columns])
