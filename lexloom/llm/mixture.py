@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.session import broadcast_if_small, materialise
+from lexloom.session import broadcast_if_small, materialise, with_row
 
 #: Where the vocabularies of public tokenizers lie.
 TOKENIZER = os.environ.get("LEXLOOM_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
@@ -195,7 +195,7 @@ class Mixture:
         plan = self.spark.createDataFrame(self.plan[list(kinds)].values.tolist(), ", ".join(f"{name} {kind}" for name, kind in kinds.items()))
         got = draws.groupBy("source").agg(F.sum("n_tokens").alias("drawn_tokens"), F.count("*").alias("n_documents"), F.max("copy_no").alias("most_copies"))
         total = got.agg(F.sum("drawn_tokens").alias("_total"))
-        return plan.join(F.broadcast(got), "source", "left").crossJoin(F.broadcast(total)).select(
+        return with_row(plan.join(F.broadcast(got), "source", "left"), total).select(
             *plan.columns, *[F.coalesce(c, F.lit(0)).alias(c) for c in ("drawn_tokens", "n_documents", "most_copies")],
             F.coalesce(F.col("drawn_tokens") / F.col("_total"), F.lit(0.0)).alias("actual_share"),
         )
