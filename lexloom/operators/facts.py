@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lexloom.operators.ordering import grouped_rank
 from lexloom.session import broadcast_if_small
 
 FACT = ("candidate_id", "source", "status", "confidence", "checked_at", "expires_at")
@@ -22,15 +23,32 @@ def best_facts(facts: DataFrame, as_of: Column, key: tuple[str, ...] = ("candida
     return best.select(*key, *[F.col(f"_f.{c}").alias(c) for c in rest])
 
 
-def facts_at_decisions(facts: DataFrame, decisions: DataFrame) -> DataFrame:
+def facts_at_decisions(facts: DataFrame, decisions: DataFrame, slice_seconds: int = 86_400) -> DataFrame:
     """As-of join: per decision (decision_id, candidate_id, decided_at) the best fact readable then; decisions without one are left out.
 
-    An equality join by candidate with the time conditions on top, then one aggregation by decision: the candidate's facts meet
-    its decisions, nothing else. A small side is broadcast; otherwise adaptive execution splits hot candidates.
+    Time is cut into slices. Within slices that a fact covers whole, only the best fact per candidate and slice matters: these are
+    aggregated first, combined map-side, and each decision meets one row. Only facts that begin or end in a decision's own
+    slice are compared one by one. So a hot candidate's facts and decisions don't meet pairwise; choose the slice
+    so that facts live for some dozens of slices.
+
+    Defined cases: null keys or times never match; ties go to the later check, then the greater source and status.
     """
-    met = facts.join(broadcast_if_small(decisions), "candidate_id").where((F.col("checked_at") <= F.col("decided_at")) & (F.col("decided_at") < F.col("expires_at")))
-    best = met.groupBy("decision_id", "candidate_id", "decided_at").agg(F.max(F.struct("confidence", "checked_at", "source", "status")).alias("_f"))
-    return best.select("decision_id", "candidate_id", "decided_at", "_f.*")
+    micros = slice_seconds * 1_000_000
+    at = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    number = lambda c: F.floor(at(c) / micros).cast("bigint")
+    fact = F.struct("confidence", "checked_at", "source", "status")
+    lived = facts.where(F.col("checked_at") < F.col("expires_at")).withColumns({
+        "_first": F.ceil(at("checked_at") / micros).cast("bigint"), "_last": number("expires_at") - 1, "_fact": fact,
+    })
+    whole = lived.where("_first <= _last").select("candidate_id", F.explode(F.sequence("_first", "_last")).alias("_slice"), "_fact").groupBy("candidate_id", "_slice").agg(F.max("_fact").alias("_fact"))
+    edges = F.filter(F.array_distinct(F.array(number("checked_at"), number("expires_at"))), lambda s: ~s.between(F.col("_first"), F.col("_last")))
+    part = lived.select("candidate_id", F.explode(edges).alias("_slice"), "_fact", "checked_at", "expires_at")
+    asked = broadcast_if_small(decisions.select("decision_id", "candidate_id", "decided_at", number("decided_at").alias("_slice")))
+    key = ["candidate_id", "_slice"]
+    met = whole.join(asked, key).select("decision_id", "candidate_id", "decided_at", "_fact").unionByName(
+        part.join(asked, key).where((F.col("checked_at") <= F.col("decided_at")) & (F.col("decided_at") < F.col("expires_at"))).select("decision_id", "candidate_id", "decided_at", "_fact")
+    )
+    return met.groupBy("decision_id", "candidate_id", "decided_at").agg(F.max("_fact").alias("_f")).select("decision_id", "candidate_id", "decided_at", "_f.*")
 
 
 def cascade(candidates: DataFrame, registered: DataFrame, min_score: float) -> DataFrame:
@@ -70,4 +88,4 @@ def run_costs(calls: DataFrame) -> DataFrame:
 
 def run_ranking(scores: DataFrame) -> DataFrame:
     """Rank of each candidate within its run; ties share a rank."""
-    return scores.withColumn("rank", F.rank().over(Window.partitionBy("run_id").orderBy(F.desc("score"))))
+    return grouped_rank(scores, "run_id", "score", "rank")

@@ -20,3 +20,16 @@ def running_total(df: DataFrame, order: str, amount: Column, name: str) -> DataF
     offsets = ranges.select("_range", F.coalesce(F.sum("_sum").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
     within = Window.partitionBy("_range").orderBy(F.col(order).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     return kept.join(F.broadcast(offsets), "_range").withColumn(name, F.col("_offset") + F.coalesce(F.sum("_amount").over(within), F.lit(0))).drop("_range", "_amount", "_offset")
+
+
+def grouped_rank(df: DataFrame, group: str, by: str, name: str) -> DataFrame:
+    """``df`` with its rank within ``group`` by falling ``by``, ties sharing a rank, nulls last; a group may hold most rows.
+
+    Equal values of a group are counted first; the running count over (group, value) is split by ranges, and what stands
+    before a group is taken off again. No window runs over a group.
+    """
+    by_value = df.groupBy(group, by).agg(F.count("*").alias("_m")).withColumn("_key", F.struct(F.col(group), F.col(by).isNull(), -F.col(by).cast("double")))
+    counted = running_total(by_value, "_key", F.col("_m"), "_before").drop("_key", "_m")
+    starts = counted.groupBy(F.col(group).alias("_group")).agg(F.min("_before").alias("_start"))
+    ranks = counted.join(starts, F.col(group).eqNullSafe(F.col("_group"))).select(F.col(group).alias("_group"), F.col(by).alias("_by"), (F.col("_before") - F.col("_start") + 1).alias(name))
+    return df.join(ranks, df[group].eqNullSafe(ranks["_group"]) & df[by].eqNullSafe(ranks["_by"])).drop("_group", "_by")

@@ -27,6 +27,11 @@ def test_running_total_over_ranges(spark):
     assert ordering.running_total(df.limit(0), "x", F.col("n"), "before").count() == 0
 
 
+def test_rank_within_groups(spark):
+    df = spark.createDataFrame([("a", 3), ("a", 5), ("a", 5), ("a", None), ("b", 1), (None, 2), (None, 2), (None, 1)], "g string, v int")
+    assert rows(ordering.grouped_rank(df, "g", "v", "rank")) == rows(df.withColumn("rank", F.expr("rank() over (partition by g order by v desc nulls last)")))
+
+
 def test_kneser_ney_sums_to_one(spark):
     training = names(spark, "aba", "abb", "bab", "aab")
     # after "^a" in a 3-gram model: all next characters' probabilities
@@ -67,6 +72,28 @@ def test_facts(spark):
     assert [(r.decision_id, r.confidence) for r in facts.facts_at_decisions(df, decisions).collect()] == [(7, 0.9)]
 
 
+def test_facts_at_decisions_against_every_pair(spark):
+    import random
+
+    draw = random.Random(4)
+    moment = lambda: dt.datetime(2030, 1, 1) + dt.timedelta(minutes=30 * draw.randrange(0, 48 * 6))
+    known = []
+    for _ in range(300):
+        start = moment()
+        known.append((draw.randrange(3), draw.choice("ab"), "s", float(draw.randrange(5)), start, start + dt.timedelta(minutes=30 * draw.randrange(-2, 200))))
+    asked = [(i, draw.randrange(4), moment()) for i in range(120)] + [(900, None, moment()), (901, 1, None)]
+    best = {}
+    for d, c, when in asked:
+        readable = [(f[3], f[4], f[1]) for f in known if f[0] == c and when and f[4] <= when < f[5]]
+        if readable:
+            best[d] = max(readable)
+    facts_frame = spark.createDataFrame(known, "candidate_id int, source string, status string, confidence double, checked_at timestamp, expires_at timestamp")
+    decisions = spark.createDataFrame(asked, "decision_id int, candidate_id int, decided_at timestamp")
+    for width in (3600, 86_400):
+        found = facts.facts_at_decisions(facts_frame, decisions, width)
+        assert {r.decision_id: (r.confidence, r.checked_at, r.source) for r in found.collect()} == best
+
+
 def test_feistel_is_a_bijection_and_shards_agree(spark):
     for size in (1, 2, 3, 10, 1000, 4096):
         assert sorted(addressing.permute(np.arange(size), size, 5)) == list(range(size))
