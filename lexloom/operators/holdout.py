@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.errors import HoldoutSealError
-from lexloom.functions.phonetic import phonetic_key
+from lexloom.functions.phonetic import double_metaphone, phonetic_key
 from lexloom.functions.text import deletions, strip
 from lexloom.session import broadcast_if_small
 
@@ -91,6 +91,33 @@ def load_holdout(folder: Path) -> tuple[tuple[str, ...], HoldoutSeal] | None:
     return canonical_names(names), expected
 
 
+class HoldoutIndex:
+    """The exclusion keys of a few hundred names on the driver, for single candidates; ``contamination`` is the form for tables."""
+
+    def __init__(self, names: Iterable[str]) -> None:
+        self.names = canonical_names(names)
+        self._codes = {code for n in self.names if (code := double_metaphone(n))}
+        self._near = {key for n in self.names for key in self._keys(n)}
+
+    @staticmethod
+    def _keys(name: str) -> set[str]:
+        return {name, *(name[:i] + name[i + 1 :] for i in range(len(name)))}
+
+    def contamination_key(self, candidate: str) -> str | None:
+        """Why the candidate is excluded, in the order of ``PRIORITY``; None if it isn't, or is blank."""
+        name = candidate.strip().casefold()
+        if not name:
+            return None
+        tests = {"exact": name in self.names, "phonetic": double_metaphone(name) in self._codes, "edit_distance": not self._near.isdisjoint(self._keys(name))}
+        return next((key for key in PRIORITY if tests[key]), None)
+
+    def excludes(self, candidate: str) -> bool:
+        return self.contamination_key(candidate) is not None
+
+    def __len__(self) -> int:
+        return len(self.names)
+
+
 def deletion_keys(c: Column) -> Column:
     """A name and all it is with one character left out."""
     return F.array_union(F.array(c), deletions(c))

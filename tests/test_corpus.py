@@ -170,3 +170,20 @@ def test_command_line_guard(spark, tmp_path, capsys):
     (paths.artifacts / "two.json").write_text(json.dumps({"schema": 100}))
     with pytest.raises(ArtifactSchemaError):
         check_corpus(paths)
+
+
+def test_from_snapshots_to_an_artifact(spark, tmp_path):
+    from lexloom import api
+    from lexloom.errors import SnapshotValidationError
+    from lexloom.operators.ledger import SnapshotLedger
+
+    one, two = FixtureProvider("one"), FixtureProvider("two", names=[("Corvane", "dead"), ("Novum", "live")])
+    assert isinstance(one, api.CorpusProvider)
+    book = SnapshotLedger(tmp_path / "ledger.json")
+    results = [api.ingest(spark, p, p.acquire(tmp_path), ledger=book) for p in (one, two)]
+    assert [r.report.first()["accepted"] for r in results] == [4, 2] and len(book.rows()) == 2
+    held = spark.createDataFrame([("zeprix",)], "normalized string")
+    made = api.build_artifact(Use.INDUCTION, blend(one="induction", two="induction"), results, held)
+    assert rows(made.names) == [("corvane",), ("lumeris",), ("novum",), ("ondara",)] and made.excluded_by_holdout == {"exact": 1}
+    with pytest.raises(SnapshotValidationError):
+        api.ingest(spark, FixtureProvider("one", names=[("X", "live")]), FixtureProvider("one", names=[("X", "live")]).acquire(tmp_path), ledger=book)
