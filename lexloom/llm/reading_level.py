@@ -271,8 +271,8 @@ def reading_levels(documents: DataFrame, model: ReadingModel) -> DataFrame:
         for batch in batches:
             texts = batch.column(1).to_pylist()
             block = np.cumsum([len(t or "") for t in texts]) // BLOCK_CHARS
-            ends = np.append(np.flatnonzero(np.diff(block)) + 1, len(texts)) if texts else []
-            for first, last in zip([0, *ends[:-1]], ends, strict=True):
+            starts = np.flatnonzero(np.diff(block, prepend=-1)).tolist()
+            for first, last in zip(starts, [*starts[1:], len(texts)], strict=True) if texts else ():
                 levels = scorer.documents(texts[first:last])
                 columns = [pa.array(levels[c], from_pandas=True) for c in levels.columns]
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(first, last - first), *columns], names=["doc_id", *levels.columns])
