@@ -11,6 +11,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexloom.session import broadcast_if_small, materialise
+
 WORD = re.compile(r"[^\W_]+")
 #: Characters of text per shard; bounds a worker's memory, a longer document is a shard of its own.
 SHARD_CHARS = 4_000_000
@@ -167,8 +169,13 @@ def _runs(labels: np.ndarray) -> list[tuple[int, int]]:
 
 
 def without_leaks(documents: DataFrame, found: DataFrame) -> DataFrame:
-    """The documents, whole rows, in which nothing was found."""
-    return documents.join(found.select("doc_id").distinct(), "doc_id", "left_anti")
+    """The documents, whole rows, in which nothing was found.
+
+    The ids found are written once, so the texts are searched once; they are broadcast if counted small, and then no text
+    moves. Documents without an id can't be told apart: if one of them leaks, all of them go.
+    """
+    ids = broadcast_if_small(materialise(found.select(F.col("doc_id").alias("_leaked")).distinct(), "leaked"))
+    return documents.join(ids, documents["doc_id"].eqNullSafe(ids["_leaked"]), "left_anti")
 
 
 def items_leaked(items: DataFrame, found: DataFrame) -> DataFrame:

@@ -73,6 +73,9 @@ def test_place_and_length_of_a_match(spark):
     assert rows(lk.leaked(docs, items)) == [(1, 5, 30, 1, 2), (1, 6, 30, 1, 2), (3, 5, 12, 1, 0), (3, 6, 12, 1, 0)]
     found = lk.leaked(docs, items)
     assert [r.doc_id for r in lk.without_leaks(docs, found).collect()] == [2]
+    ids = [None, 7, None]
+    unnamed = spark.createDataFrame([(i, t, "", 0) for i, t in zip(ids, [passage, "clean", "clean"], strict=True)], DOCS)
+    assert [r.doc_id for r in lk.without_leaks(unnamed, lk.leaked(unnamed, items)).collect()] == [7]
     assert rows(lk.items_leaked(items, found)) == [(5, "b", "s", 2, 30), (6, "b", "s", 2, 30)]
 
 
