@@ -5,9 +5,11 @@ from __future__ import annotations
 from functools import lru_cache
 
 import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
+from lexloom.session import ship
+
 VOWELS = frozenset("AEIOUY")
 #: Letters of one sound; the same letter following is part of it.
 PLAIN = {"B": "P", "F": "F", "K": "K", "L": "L", "N": "N", "Q": "K", "V": "F"}
@@ -208,4 +210,5 @@ def phonetic_key(c: Column) -> Column:
     def coded(names: pd.Series) -> pd.Series:
         return names.map(lambda n: None if n is None else double_metaphone(n))
 
+    ship(SparkSession.active())
     return coded(c)

@@ -11,7 +11,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.session import with_row
+from lexloom.session import ship, with_row
 
 SLOTS = 1024
 
@@ -86,6 +86,7 @@ def permuted(idx: Column, size: int, key: int) -> Column:
     def walked(s: pd.Series) -> pd.Series:
         return pd.Series(permute(s.to_numpy(), size, key))
 
+    ship(SparkSession.active())
     return walked(idx)
 
 

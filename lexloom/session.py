@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -82,3 +83,23 @@ def with_row(df: DataFrame, one: DataFrame) -> DataFrame:
     """``df`` with the columns of a one-row aggregate, taken as a scalar subquery: computed once, no join."""
     row = one.select(F.struct(*one.columns).alias("_row")).scalar()
     return df.withColumn("_row", row).select(*df.columns, *[F.col(f"_row.{c}").alias(c) for c in one.columns])
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors' Python workers, once per application; they need not have it installed.
+
+    The archive is made on the driver, from where Spark itself copies it to every executor, also to later ones.
+    """
+    context = spark.sparkContext
+    if getattr(context, "_lexloom_shipped", False):
+        return
+    root = os.path.dirname(os.path.abspath(__file__))
+    archive = os.path.join(tempfile.mkdtemp(prefix="lexloom-package-"), "lexloom-package.zip")
+    with zipfile.ZipFile(archive, "w") as target:
+        for folder, _, files in os.walk(root):
+            for name in sorted(files):
+                if name.endswith(".py"):
+                    path = os.path.join(folder, name)
+                    target.write(path, os.path.relpath(path, os.path.dirname(root)))
+    context.addPyFile(archive)
+    context._lexloom_shipped = True
