@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.session import broadcast_if_small, materialise
+from lexloom.session import broadcast_if_small, materialise, ship
 
 WORD = re.compile(r"[^\W_]+")
 #: Characters of text per shard; bounds a worker's memory, a longer document is a shard of its own.
@@ -135,6 +135,7 @@ def leaked(documents: DataFrame, items: DataFrame, *, min_words: int = 12, shard
     """
     queries = items.where(F.col("item_id").isNotNull() & F.col("text").isNotNull()).select("item_id", "text")
     n_blocks = -(-queries.count() // max_items) or 1
+    ship(documents.sparkSession)
     context = documents.sparkSession.sparkContext
     found = None
     for block in range(n_blocks):

@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.session import broadcast_if_small, materialise, with_row
+from lexloom.session import broadcast_if_small, materialise, ship, with_row
 
 #: Where the vocabularies of public tokenizers lie.
 TOKENIZER = os.environ.get("LEXLOOM_TOKENIZER", "/opt/tokenizers/byte_bpe_50k.tiktoken")
@@ -50,6 +50,7 @@ def token_counts(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
             tokens = pa.array([len(encode(t)) if t else 0 for t in batch.column(2).to_pylist()], pa.int64())
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), tokens], names=["doc_id", "source", "n_tokens"])
 
+    ship(documents.sparkSession)
     return documents.select("doc_id", "source", "text").mapInArrow(counted, "doc_id bigint, source string, n_tokens bigint")
 
 

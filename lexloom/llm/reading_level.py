@@ -13,6 +13,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lexloom.session import ship
+
 BANDS = 5
 #: Words, numbers, and what ends a sentence: a stop before white space, or the end of a line.
 TOKEN = re.compile(r"[^\W\d_]+|\d+|[.!?;](?=\s)|\n")
@@ -264,6 +266,7 @@ def reading_levels(documents: DataFrame, model: ReadingModel) -> DataFrame:
     the sentences. Defined cases: null, blank or wordless texts have 0 sentences and null levels; texts in languages without
     labels get a level too, as the models see them; without any usable label all levels are null.
     """
+    ship(documents.sparkSession)
     held = documents.sparkSession.sparkContext.broadcast(model)
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
