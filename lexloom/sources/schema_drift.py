@@ -13,7 +13,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lexloom.session import broadcast_if_small, materialise
+from lexloom.session import broadcast_if_small, materialise, ship
 
 SEPARATORS = (",", ";", "|", "\t")
 MISSING = ("", "NULL", "N/A", "\\N", "-")
@@ -27,6 +27,7 @@ MIN_AGREEMENT = 2 / 3
 MAX_NAMES = 20_000
 
 FILE = ["feed_id", "file_no"]
+BYTE_ORDER_MARK = "\ufeff"
 MONTH = "(" + "|".join(MONTHS) + ")[a-z]*"
 TIME = r"[t ]+\d{1,2}:\d{2}(:\d{2})?(\.\d+)?( ?[ap]m)?(z|[+-]\d{2}:?\d{2})?"
 DATE = rf"(\d{{4}}[-/.]\d{{1,2}}[-/.]\d{{1,2}}|\d{{1,2}}[-/.]\d{{1,2}}[-/.]\d{{4}}|\d{{1,2}}[ -]{MONTH}[ ,-]+\d{{4}}|{MONTH} \d{{1,2}},? \d{{4}})"
@@ -122,7 +123,7 @@ def clean_lines(lines: DataFrame) -> DataFrame:
     """Each delivered line once (a line may come twice or late), without a byte order mark."""
     return (
         lines.where(F.col("feed_id").isNotNull() & F.col("file_no").isNotNull() & F.col("raw").isNotNull())
-        .groupBy(*FILE, "file_format", "line_no", F.regexp_replace("raw", "^﻿", "").alias("raw"))
+        .groupBy(*FILE, "file_format", "line_no", F.ltrim("raw", F.lit(BYTE_ORDER_MARK)).alias("raw"))
         .agg(F.min("line_id").alias("line_id"))
     )
 
@@ -130,7 +131,7 @@ def clean_lines(lines: DataFrame) -> DataFrame:
 def headers(lines: DataFrame) -> DataFrame:
     """Separator and column names of every delimited file: (feed_id, file_no, separator, names)."""
     head = lines.where((F.col("file_format") == "delimited") & (F.col("line_no") == 0)).groupBy(*FILE).agg(
-        F.min(F.regexp_replace("raw", "^﻿", "")).alias("raw")
+        F.min(F.ltrim("raw", F.lit(BYTE_ORDER_MARK))).alias("raw")
     )
     count = lambda s: F.length("raw") - F.length(F.replace("raw", F.lit(s)))
     best = F.greatest(*[F.struct(count(s).alias("n"), F.lit(s).alias("s")) for s in SEPARATORS])
@@ -140,42 +141,45 @@ def headers(lines: DataFrame) -> DataFrame:
 
 
 def parsed_lines(lines: DataFrame, heads: DataFrame) -> DataFrame:
-    """(feed_id, file_no, line_id, file_format, cells): cells is an array of (name, value), null for a line that doesn't fit its file.
+    """(feed_id, file_no, line_id, file_format, names, fields): two arrays, null for a line that doesn't fit its file.
 
-    A cut-short or stray line - another number of fields than the header, or no JSON object - has null cells.
-    Null values stand for missing ones. Two fields of one name: both stay in the array.
+    A cut-short or stray line - another number of fields than the header, or no JSON object - doesn't. Fields are as they
+    were delivered; ``cell_value`` cleans them where they are read, outside of lambdas and so within generated code.
+    Two fields of one name: both stay.
     """
     heads = broadcast_if_small(heads)
-    json = F.transform(F.map_entries(F.from_json("raw", "map<string,string>")), lambda x: F.struct(column_name(x["key"]).alias("key"), x["value"].alias("value")))
-    delimited = F.when(
-        F.size("names") == F.size("_fields"), F.arrays_zip(F.col("names").alias("key"), F.col("_fields").alias("value"))
-    )
+    is_delimited, fits = F.col("file_format") == "delimited", F.size("names") == F.size("_fields")
     return (
         clean_lines(lines).where((F.col("file_format") != "delimited") | (F.col("line_no") > 0))
         .join(heads, FILE, "left")
-        .withColumn("_fields", F.when(F.col("file_format") == "delimited", _fields(F.col("raw"), F.col("separator"))))
-        .withColumn("_cells", F.when(F.col("file_format") == "delimited", delimited).when(F.col("raw").rlike(r"^\s*\{.*\}\s*$"), json))
+        .withColumn("_fields", F.when(is_delimited, _fields(F.col("raw"), F.col("separator"))))
+        .withColumn("_map", F.when(~is_delimited & F.trim("raw").startswith("{") & F.trim("raw").endswith("}"), F.from_json("raw", "map<string,string>")))
         .select(
             *FILE, "line_id", "file_format",
-            F.transform("_cells", lambda x: F.struct(x["key"].alias("name"), cell_value(x["value"]).alias("value"))).alias("cells"),
+            F.when(is_delimited & fits, F.col("names")).otherwise(F.transform(F.map_keys("_map"), column_name)).alias("names"),
+            F.when(is_delimited & fits, F.col("_fields")).otherwise(F.map_values("_map")).alias("fields"),
         )
     )
 
 
+def _cells(df: DataFrame, *kept: str) -> DataFrame:
+    """A row per cell: the kept columns, name and value (null where missing)."""
+    out = df.select(*kept, F.explode(F.arrays_zip("names", "fields")).alias("_c"))
+    return out.select(*kept, F.col("_c.names").alias("name"), cell_value(F.col("_c.fields")).alias("value"))
+
+
 def column_profile(parsed: DataFrame, heads: DataFrame) -> DataFrame:
     """One row per file and column: its number of values by type, its type, and how much it looks like the serial number.
 
     The columns of a delimited file are those of its header, those of a jsonl file the keys in at least half of its lines.
     """
-    cells = parsed.select(*FILE, "file_format", F.explode("cells").alias("cell")).select(
-        *FILE, "file_format", "cell.name", "cell.value", value_type(F.col("cell.value")).alias("kind")
-    ).withColumn("kind", F.when(F.col("value").isNotNull(), F.col("kind")))
+    cells = _cells(parsed, *FILE).withColumn("kind", F.when(F.col("value").isNotNull(), value_type(F.col("value"))))
     serial_like = F.col("value").rlike(r"^\d{6,}\z") & ~_is_day(F.col("value"))
     by_column = cells.groupBy(*FILE, "name").agg(
         F.count("*").alias("n_lines_with"), F.count("value").alias("n_values"),
         *[F.count_if(F.col("kind") == t).alias(t) for t in TYPES],
         F.count_if(serial_like).alias("n_serial_like"),
-        F.approx_count_distinct("value").alias("n_distinct"),
+        F.approx_count_distinct(F.when(serial_like, F.col("value"))).alias("n_distinct"),
     )
     per_file = parsed.groupBy(*FILE).agg(F.count("*").alias("n_lines"), F.max("file_format").alias("file_format"))
     header_columns = heads.select(*FILE, F.explode(F.array_distinct("names")).alias("name"))
@@ -229,12 +233,15 @@ def rename_evidence(parsed: DataFrame, pairs: DataFrame) -> DataFrame:
         )).alias("_role"),
     ).select("feed_id", "_role.*")
     placed = (
-        parsed.where(F.col("cells").isNotNull()).join(broadcast_if_small(roles), FILE)
-        .withColumn("serial_value", F.regexp_replace(F.get(F.filter("cells", lambda x: x["name"] == F.col("serial")), F.lit(0))["value"], r"\.0+$", ""))
-        .where(F.col("serial_value").rlike(r"^\d+\z"))
-        .select("feed_id", "pair", "is_new", "serial_value", F.explode(F.filter("cells", lambda x: F.array_contains("wanted", x["name"]) & x["value"].isNotNull())).alias("cell"))
-        .groupBy("feed_id", "pair", "serial_value", "is_new", F.col("cell.name").alias("name"))
-        .agg(F.max("cell.value").alias("value"))
+        _cells(
+            parsed.where(F.col("names").isNotNull()).join(broadcast_if_small(roles), FILE)
+            .withColumn("serial_value", F.regexp_replace(cell_value(F.get("fields", (F.array_position("names", F.col("serial")) - 1).cast("int"))), r"\.0+$", ""))
+            .where(F.col("serial_value").rlike(r"^\d+\z")),
+            "feed_id", "pair", "is_new", "serial_value", "wanted",
+        )
+        .where(F.array_contains("wanted", F.col("name")) & F.col("value").isNotNull())
+        .groupBy("feed_id", "pair", "serial_value", "is_new", "name")
+        .agg(F.max("value").alias("value"))
         .withColumn("keys", value_keys(F.col("value")))
     )
     side = lambda new: F.collect_list(F.when(F.col("is_new") == new, F.struct("name", "keys")))
@@ -320,6 +327,7 @@ def match_columns(pairs: DataFrame, evidence: DataFrame, min_agreement: float =
     ``min_agreement`` of the serials, decides whether a correspondence stands.
     """
     known = evidence.groupBy(*FILE).agg(F.collect_list(F.struct("old_name", "new_name", "n_both", "n_same", "n_flags", "n_old_yes", "n_new_yes")).alias("evidence"))
+    ship(pairs.sparkSession)
     graphs = pairs.join(known, FILE).select(*FILE, "old_columns", "new_columns", "evidence")
 
     def matched(batches):
@@ -435,13 +443,15 @@ class Drift:
 
         by_name = F.create_map(*[F.lit(x) for pair in family.items() for x in pair]) if family else F.create_map().cast("map<string,string>")
         first = lambda keys, mark: F.get(F.transform(F.filter(keys, lambda k: k.startswith(mark)), lambda k: F.substring(k, 3, 64)), F.lit(0))
-        present = F.filter("cells", lambda x: x["value"].isNotNull())
+        present = F.filter(F.transform(F.arrays_zip("names", "fields"), lambda x: F.struct(x["names"].alias("name"), cell_value(x["fields"]).alias("value"))), lambda x: x["value"].isNotNull())
         # What each cell may mean is worked out once per cell; the columns below only pick.
-        known = F.transform(present, lambda x: F.struct(F.try_element_at(by_name, x["name"]).alias("family"), x["value"].alias("value"), value_keys(x["value"]).alias("keys")))
+        cast_away = [n for n in names if target(n) != "string"]
+        named = F.transform(present, lambda x: F.struct(F.try_element_at(by_name, x["name"]).alias("family"), x["value"].alias("value")))
+        known = F.transform(named, lambda x: F.struct(x["family"].alias("family"), x["value"].alias("value"), F.when(x["family"].isin(*cast_away), value_keys(x["value"])).alias("keys")))
         meant = F.transform("_known", lambda x: F.struct(
             x["family"].alias("family"), x["value"].alias("value"), first(x["keys"], "d:").alias("d"), first(x["keys"], "n:").alias("n"), first(x["keys"], "b:").alias("b")
         ))
-        rows = self.parsed.where(F.col("cells").isNotNull()).select(*FILE, "line_id", known.alias("_known")).select(*FILE, "line_id", F.map_from_entries(_first_of_each(meant)).alias("_meant"))
+        rows = self.parsed.where(F.col("names").isNotNull()).select(*FILE, "line_id", known.alias("_known")).select(*FILE, "line_id", F.map_from_entries(_first_of_each(meant)).alias("_meant"))
 
         def typed(name: str) -> Column:
             cell, kind = F.try_element_at("_meant", F.lit(name)), target(name)
@@ -452,7 +462,6 @@ class Drift:
             return cell["n"].try_cast(kind) if kind in ("bigint", "double") else cell["value"]
 
         out = rows.select(*FILE, "line_id", "_meant", *[typed(n).alias(n) for n in names])
-        cast_away = [n for n in names if target(n) != "string"]
         lost = F.array(*[F.when(F.col(f"`{n}`").isNull() & F.try_element_at("_meant", F.lit(n)).isNotNull(), F.struct(F.lit(n).alias("key"), F.try_element_at("_meant", F.lit(n))["value"].alias("value"))) for n in cast_away])
         misfits = F.map_from_entries(F.filter(lost, lambda x: x.isNotNull())) if cast_away else F.create_map().cast("map<string,string>")
         return out.withColumn("misfits", misfits).drop("_meant")
