@@ -223,7 +223,8 @@ def rename_evidence(parsed: DataFrame, pairs: DataFrame) -> DataFrame:
 
     Each line goes to the (at most two) comparisons of its file as the old or the new side, keyed by serial number, one value
     per serial and column; no two lines are joined. Returns (feed_id, file_no, old_name, new_name, n_both, n_same)
-    and, for flags in different words, how often both meant the same and how often each said yes.
+    and, over the serials for which both hold a flag's word, how many these are, how often both meant the same, how often
+    they did so in different words, and how often each said yes.
     """
     asked = pairs.where((F.size("gone") > 0) & (F.size("fresh") > 0))
     roles = asked.select(
@@ -244,17 +245,20 @@ def rename_evidence(parsed: DataFrame, pairs: DataFrame) -> DataFrame:
         .agg(F.max("value").alias("value"))
         .withColumn("keys", value_keys(F.col("value")))
     )
-    side = lambda new: F.collect_list(F.when(F.col("is_new") == new, F.struct("name", "keys")))
+    side = lambda new: F.collect_list(F.when(F.col("is_new") == new, F.struct("name", "keys", F.lower("value").alias("word"))))
     met = (
         placed.groupBy("feed_id", "pair", "serial_value").agg(side(False).alias("old"), side(True).alias("new"))
         .where((F.size("old") > 0) & (F.size("new") > 0))
         .select("feed_id", "pair", F.explode("old").alias("old"), "new")
         .select("feed_id", "pair", "old", F.explode("new").alias("new"))
     )
+    yes, no = (_flag("old", "b:1"), _flag("new", "b:1")), (_flag("old", "b:0"), _flag("new", "b:0"))
+    both_flags, same_flag = (yes[0] | no[0]) & (yes[1] | no[1]), yes[0] & yes[1] | no[0] & no[1]
     return met.groupBy("feed_id", F.col("pair").alias("file_no"), F.col("old.name").alias("old_name"), F.col("new.name").alias("new_name")).agg(
         F.count("*").alias("n_both"), F.count_if(F.arrays_overlap("old.keys", "new.keys")).alias("n_same"),
-        F.count_if(_flag("old", "b:1") & _flag("new", "b:1") | _flag("old", "b:0") & _flag("new", "b:0")).alias("n_flags"),
-        F.count_if(_flag("old", "b:1")).alias("n_old_yes"), F.count_if(_flag("new", "b:1")).alias("n_new_yes"),
+        F.count_if(both_flags).alias("n_flags"), F.count_if(same_flag).alias("n_flags_same"),
+        F.count_if(same_flag & (F.col("old.word") != F.col("new.word"))).alias("n_reworded"),
+        F.count_if(both_flags & yes[0]).alias("n_old_yes"), F.count_if(both_flags & yes[1]).alias("n_new_yes"),
     )
 
 
@@ -312,10 +316,13 @@ def flood(old: Sequence[tuple[str, str]], new: Sequence[tuple[str, str]], seed:
 
 
 def _by_chance(e: dict) -> bool:
-    """Whether two columns of flags (live and dead, true and false) agree hardly more than any two flags would (kappa under 0.4)."""
-    if e["n_flags"] * 2 <= e["n_same"]:
+    """Whether two columns of flags in different words (live and dead, true and false) agree hardly more than any two flags would (kappa under 0.4).
+
+    Words that are the same on both sides are the same values, whatever their shares; strays aren't flags and don't count.
+    """
+    if e["n_reworded"] * 2 <= e["n_same"]:
         return False
-    yes_old, yes_new, agreed = e["n_old_yes"] / e["n_both"], e["n_new_yes"] / e["n_both"], e["n_same"] / e["n_both"]
+    yes_old, yes_new, agreed = e["n_old_yes"] / e["n_flags"], e["n_new_yes"] / e["n_flags"], e["n_flags_same"] / e["n_flags"]
     chance = yes_old * yes_new + (1 - yes_old) * (1 - yes_new)
     return chance < 0.95 and (agreed - chance) / (1 - chance) < 0.4
 
@@ -326,7 +333,7 @@ def match_columns(pairs: DataFrame, evidence: DataFrame, min_agreement: float =
     Scores come from ``flood``; from the best downward each column is used once; the exact check on the values, at least
     ``min_agreement`` of the serials, decides whether a correspondence stands.
     """
-    known = evidence.groupBy(*FILE).agg(F.collect_list(F.struct("old_name", "new_name", "n_both", "n_same", "n_flags", "n_old_yes", "n_new_yes")).alias("evidence"))
+    known = evidence.groupBy(*FILE).agg(F.collect_list(F.struct("old_name", "new_name", "n_both", "n_same", "n_flags", "n_flags_same", "n_reworded", "n_old_yes", "n_new_yes")).alias("evidence"))
     ship(pairs.sparkSession)
     graphs = pairs.join(known, FILE).select(*FILE, "old_columns", "new_columns", "evidence")
 
