@@ -23,7 +23,7 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_unified(spark: SparkSession, folder: str) -> DataFrame:
-    return Drift(table(spark, folder, "case_file_lines")).unified()
+    return Drift(table(spark, folder, "case_file_lines")).every_line()
 
 
 def p4_columns(spark: SparkSession, folder: str) -> DataFrame:

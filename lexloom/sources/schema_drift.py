@@ -129,39 +129,78 @@ def clean_lines(lines: DataFrame) -> DataFrame:
 
 
 def headers(lines: DataFrame) -> DataFrame:
-    """Separator and column names of every delimited file: (feed_id, file_no, separator, names)."""
+    """Separator and column names of every delimited file: (feed_id, file_no, header, separator, names)."""
     head = lines.where((F.col("file_format") == "delimited") & (F.col("line_no") == 0)).groupBy(*FILE).agg(
         F.min(F.ltrim("raw", F.lit(BYTE_ORDER_MARK))).alias("raw")
     )
     count = lambda s: F.length("raw") - F.length(F.replace("raw", F.lit(s)))
     best = F.greatest(*[F.struct(count(s).alias("n"), F.lit(s).alias("s")) for s in SEPARATORS])
     return head.withColumn("separator", best["s"]).select(
-        *FILE, "separator", F.transform(_fields(F.col("raw"), F.col("separator")), lambda x: column_name(F.regexp_replace(x, '"', ""))).alias("names")
+        *FILE, F.col("raw").alias("header"), "separator", F.transform(_fields(F.col("raw"), F.col("separator")), lambda x: column_name(F.regexp_replace(x, '"', ""))).alias("names")
     )
 
 
 def parsed_lines(lines: DataFrame, heads: DataFrame) -> DataFrame:
-    """(feed_id, file_no, line_id, file_format, names, fields): two arrays, null for a line that doesn't fit its file.
+    """(feed_id, file_no, line_id, file_format, names, fields, reason, raw): two arrays, null for a line that doesn't fit its file.
 
-    A cut-short or stray line - another number of fields than the header, or no JSON object - doesn't. Fields are as they
-    were delivered; ``cell_value`` cleans them where they are read, outside of lambdas and so within generated code.
-    Two fields of one name: both stay.
+    A cut-short or stray line - another number of fields than the header, or no JSON object - doesn't; such a line has its
+    text and a reason. Fields are as they were delivered; ``cell_value`` cleans them where they are read, outside of lambdas
+    and so within generated code. Two fields of one name: both stay.
     """
     heads = broadcast_if_small(heads)
-    is_delimited, fits = F.col("file_format") == "delimited", F.size("names") == F.size("_fields")
+    is_delimited, first = F.coalesce(F.col("file_format") == "delimited", F.lit(False)), F.coalesce(F.col("line_no") == 0, F.lit(False))
+    fits, is_map = is_delimited & ~first & (F.size("names") == F.size("_fields")), ~is_delimited & F.col("_map").isNotNull()
+    reason = (
+        F.when(fits | is_map, None).when(F.col("file_format").isNull(), "no format").when(~is_delimited, "no JSON object")
+        .when(F.col("names").isNull(), "no header").when(first, "second header")
+        .when(F.size("_fields") < F.size("names"), "fewer fields than the header").otherwise("more fields than the header")
+    )
     return (
-        clean_lines(lines).where((F.col("file_format") != "delimited") | (F.col("line_no") > 0))
-        .join(heads, FILE, "left")
+        clean_lines(lines).join(heads, FILE, "left").where(~(is_delimited & first & F.col("raw").eqNullSafe(F.col("header"))))
         .withColumn("_fields", F.when(is_delimited, _fields(F.col("raw"), F.col("separator"))))
-        .withColumn("_map", F.when(~is_delimited & F.trim("raw").startswith("{") & F.trim("raw").endswith("}"), F.from_json("raw", "map<string,string>")))
+        .withColumn("_map", F.when((F.col("file_format") != "delimited") & F.trim("raw").startswith("{") & F.trim("raw").endswith("}"), F.from_json("raw", "map<string,string>")))
+        .select(
+            *FILE, "line_id", "file_format",
+            F.when(fits, F.col("names")).otherwise(F.transform(F.map_keys("_map"), column_name)).alias("names"),
+            F.when(fits, F.col("_fields")).otherwise(F.map_values("_map")).alias("fields"),
+            reason.alias("reason"), F.when(reason.isNotNull(), F.col("raw")).alias("raw"),
+        )
+    )
+
+
+def unfit_lines(parsed: DataFrame, heads: DataFrame) -> DataFrame:
+    """The lines that don't fit their file, with those of their fields that have a certain place.
+
+    These are the fields of a cut-short line before its last one, which may be cut itself. A line with more fields than its
+    header, or cut within quotes, has none: any of its fields may be shifted.
+    """
+    cut = (F.col("reason") == "fewer fields than the header") & (F.regexp_count("raw", F.lit('"')) % 2 == 0)
+    at, pair = F.greatest(F.size("_fields") - 1, F.lit(0)), r'"(?:[^"\\]|\\.)*+"\s*:\s*(?:"(?:[^"\\]|\\.)*+"|[^"\s,:{}\[\]]+)'
+    whole = F.regexp_extract("raw", rf"(?s)^\s*(\{{.*{pair})\s*,", 1)
+    none = F.array().cast("array<string>")
+    return (
+        parsed.where(F.col("reason").isNotNull()).drop("names", "fields").join(broadcast_if_small(heads.drop("header")), FILE, "left")
+        .withColumn("_fields", F.when(cut, _fields(F.col("raw"), F.col("separator"))))
+        .withColumn("_map", F.when((F.col("reason") == "no JSON object") & (whole != ""), F.from_json(F.concat(whole, F.lit("}")), "map<string,string>")))
         .select(
             *FILE, "line_id", "file_format",
-            F.when(is_delimited & fits, F.col("names")).otherwise(F.transform(F.map_keys("_map"), column_name)).alias("names"),
-            F.when(is_delimited & fits, F.col("_fields")).otherwise(F.map_values("_map")).alias("fields"),
+            F.when(cut, F.slice("names", F.lit(1), at)).otherwise(F.coalesce(F.transform(F.map_keys("_map"), column_name), none)).alias("names"),
+            F.when(cut, F.slice("_fields", F.lit(1), at)).otherwise(F.coalesce(F.map_values("_map"), none)).alias("fields"),
+            "reason", "raw",
         )
     )
 
 
+def homeless_lines(lines: DataFrame) -> DataFrame:
+    """The lines without feed or file number, as ``unfit_lines`` gives those of files."""
+    none = F.array().cast("array<string>")
+    return (
+        lines.where((F.col("feed_id").isNull() | F.col("file_no").isNull()) & F.col("raw").isNotNull())
+        .groupBy(*FILE, "file_format", "line_no", "raw").agg(F.min("line_id").alias("line_id"))
+        .select(*FILE, "line_id", "file_format", none.alias("names"), none.alias("fields"), F.lit("no feed or file").alias("reason"), "raw")
+    )
+
+
 def _cells(df: DataFrame, *kept: str) -> DataFrame:
     """A row per cell: the kept columns, name and value (null where missing)."""
     out = df.select(*kept, F.explode(F.arrays_zip("names", "fields")).alias("_c"))
@@ -428,6 +467,18 @@ class Drift:
         without prefix; a value that doesn't fit the type of its column becomes null there, and stays in ``misfits``
         (name to text).
         """
+        return self._typed(self.parsed.where(F.col("names").isNotNull()))
+
+    def every_line(self) -> DataFrame:
+        """``unified`` with the lines that don't fit their file too: what fields of them have a certain place, ``_reason`` and ``_raw``.
+
+        Both are null for a line that fits. No name of a column begins with an underscore.
+        """
+        rest = unfit_lines(self.parsed, self.heads).unionByName(homeless_lines(self.lines))
+        return self._typed(self.parsed.where(F.col("names").isNotNull()).unionByName(rest), F.col("reason").alias("_reason"), F.col("raw").alias("_raw"))
+
+    def _typed(self, lines: DataFrame, *kept: Column) -> DataFrame:
+        """The lines' cells in one column per family; what else is kept of a line comes last."""
         family = self.families()
         usual = (
             self.profile.where(F.col("kind").isNotNull()).groupBy("name", "kind").agg(F.sum("n_values").alias("n"))
@@ -458,7 +509,7 @@ class Drift:
         meant = F.transform("_known", lambda x: F.struct(
             x["family"].alias("family"), x["value"].alias("value"), first(x["keys"], "d:").alias("d"), first(x["keys"], "n:").alias("n"), first(x["keys"], "b:").alias("b")
         ))
-        rows = self.parsed.where(F.col("names").isNotNull()).select(*FILE, "line_id", known.alias("_known")).select(*FILE, "line_id", F.map_from_entries(_first_of_each(meant)).alias("_meant"))
+        rows = lines.select(*FILE, "line_id", F.struct(F.lit(None).alias("_"), *kept).alias("_kept"), known.alias("_known")).select(*FILE, "line_id", "_kept", F.map_from_entries(_first_of_each(meant)).alias("_meant"))
 
         def typed(name: str) -> Column:
             cell, kind = F.try_element_at("_meant", F.lit(name)), target(name)
@@ -468,10 +519,10 @@ class Drift:
                 return cell["b"] == "1"
             return cell["n"].try_cast(kind) if kind in ("bigint", "double") else cell["value"]
 
-        out = rows.select(*FILE, "line_id", "_meant", *[typed(n).alias(n) for n in names])
+        out = rows.select(*FILE, "line_id", "_kept", "_meant", *[typed(n).alias(n) for n in names])
         lost = F.array(*[F.when(F.col(f"`{n}`").isNull() & F.try_element_at("_meant", F.lit(n)).isNotNull(), F.struct(F.lit(n).alias("key"), F.try_element_at("_meant", F.lit(n))["value"].alias("value"))) for n in cast_away])
         misfits = F.map_from_entries(F.filter(lost, lambda x: x.isNotNull())) if cast_away else F.create_map().cast("map<string,string>")
-        return out.withColumn("misfits", misfits).drop("_meant")
+        return out.withColumn("misfits", misfits).select("*", "_kept.*").drop("_kept", "_meant", "_")
 
 
 def _first_of_each(cells: Column) -> Column:
