@@ -105,6 +105,16 @@ def value_keys(v: Column) -> Column:
     return F.filter(keys, lambda k: k.isNotNull())
 
 
+def _time_of_day(v: Column) -> Column:
+    """Hours, minutes and seconds behind a date, as 22:15:00; null without a time, or with one that this doesn't keep whole.
+
+    Kept are 24-hour times to the second, without zone or in UTC (z).
+    """
+    time = r"^.*\d[t ]+(\d{1,2}):(\d{2})(?::(\d{2}))?z?\z"
+    part = lambda k: F.regexp_extract(F.lower(v), time, k)
+    return F.when(part(1) != "", F.concat_ws(":", F.lpad(part(1), 2, "0"), part(2), F.lpad(part(3), 2, "0")))
+
+
 def _separated(line: Column, separator: str) -> Column:
     """The fields of a line; separators inside double quotes don't count."""
     at = "\\" + separator if separator == "|" else separator
@@ -230,7 +240,7 @@ def column_profile(parsed: DataFrame, heads: DataFrame) -> DataFrame:
         .join(per_file, FILE, "left")
         .where(F.col("in_header") | ((F.col("file_format") != "delimited") & (F.col("n_lines_with") * 2 >= F.col("n_lines"))))
         .select(
-            *FILE, "name", F.coalesce("n_values", F.lit(0)).alias("n_values"), kind.alias("kind"),
+            *FILE, "name", F.coalesce("n_values", F.lit(0)).alias("n_values"), kind.alias("kind"), F.coalesce("timestamp", F.lit(0)).alias("timestamp"),
             (F.coalesce(F.col("n_serial_like"), F.lit(0)) * F.least(F.lit(1.0), F.col("n_distinct") / F.greatest(F.col("n_values"), F.lit(1)))).alias("serial_score"),
         )
     )
@@ -464,7 +474,8 @@ class Drift:
         """All lines that fit their file in one table with one set of columns, one per family, cast to its usual type.
 
         Columns: feed_id, file_no, line_id, then one per family. Dates and timestamps become dates, numbers doubles or longs
-        without prefix; a value that doesn't fit the type of its column becomes null there, and stays in ``misfits``
+        without prefix; a value that doesn't fit the type of its column becomes null there. Every value that its typed
+        form doesn't keep whole (null, without time of day, prefix, leading zeros or digits) stays in ``misfits``
         (name to text).
         """
         return self._typed(self.parsed.where(F.col("names").isNotNull()))
@@ -472,19 +483,22 @@ class Drift:
     def every_line(self) -> DataFrame:
         """``unified`` with the lines that don't fit their file too: what fields of them have a certain place, ``_reason`` and ``_raw``.
 
-        Both are null for a line that fits. No name of a column begins with an underscore.
+        Families with times of day become timestamps without zone here. ``_reason`` and ``_raw`` are null for a line that fits. No name of a column begins with an underscore.
         """
         rest = unfit_lines(self.parsed, self.heads).unionByName(homeless_lines(self.lines))
-        return self._typed(self.parsed.where(F.col("names").isNotNull()).unionByName(rest), F.col("reason").alias("_reason"), F.col("raw").alias("_raw"))
+        return self._typed(self.parsed.where(F.col("names").isNotNull()).unionByName(rest), F.col("reason").alias("_reason"), F.col("raw").alias("_raw"), times=True)
 
-    def _typed(self, lines: DataFrame, *kept: Column) -> DataFrame:
+    def _typed(self, lines: DataFrame, *kept: Column, times: bool = False) -> DataFrame:
         """The lines' cells in one column per family; what else is kept of a line comes last."""
         family = self.families()
         usual = (
-            self.profile.where(F.col("kind").isNotNull()).groupBy("name", "kind").agg(F.sum("n_values").alias("n"))
+            self.profile.where(F.col("kind").isNotNull() | (F.col("timestamp") > 0)).groupBy("name", "kind").agg(F.sum("n_values").alias("n"), F.sum("timestamp").alias("n_times"))
         ).limit(MAX_NAMES + 1).collect()
         weights: dict[str, dict[str, int]] = {}
+        timed = {family[r["name"]] for r in usual if r["n_times"]}
         for r in usual:
+            if r["kind"] is None:
+                continue
             kinds = weights.setdefault(family[r["name"]], {})
             kinds[r["kind"]] = kinds.get(r["kind"], 0) + r["n"]
         names = sorted(set(family.values()))
@@ -492,7 +506,7 @@ class Drift:
         def target(name: str) -> str:
             kinds = weights.get(name, {})
             if kinds.get("date", 0) + kinds.get("timestamp", 0) > 0:
-                return "date"
+                return "timestamp" if times and name in timed else "date"
             if kinds.get("boolean", 0) * 2 > sum(kinds.values()):
                 return "boolean"
             if kinds.get("decimal", 0) + kinds.get("integer", 0) > kinds.get("text", 0):
@@ -504,10 +518,12 @@ class Drift:
         present = F.filter(F.transform(F.arrays_zip("names", "fields"), lambda x: F.struct(x["names"].alias("name"), cell_value(x["fields"]).alias("value"))), lambda x: x["value"].isNotNull())
         # What each cell may mean is worked out once per cell; the columns below only pick.
         cast_away = [n for n in names if target(n) != "string"]
+        dated = [n for n in cast_away if target(n) in ("date", "timestamp")]
         named = F.transform(present, lambda x: F.struct(F.try_element_at(by_name, x["name"]).alias("family"), x["value"].alias("value")))
         known = F.transform(named, lambda x: F.struct(x["family"].alias("family"), x["value"].alias("value"), F.when(x["family"].isin(*cast_away), value_keys(x["value"])).alias("keys")))
         meant = F.transform("_known", lambda x: F.struct(
-            x["family"].alias("family"), x["value"].alias("value"), first(x["keys"], "d:").alias("d"), first(x["keys"], "n:").alias("n"), first(x["keys"], "b:").alias("b")
+            x["family"].alias("family"), x["value"].alias("value"), first(x["keys"], "d:").alias("d"), F.concat(F.when(x["value"].rlike(r"^-[0-9.]+\z"), "-").otherwise(""), first(x["keys"], "n:")).alias("n"), first(x["keys"], "b:").alias("b"),
+            F.when(x["family"].isin(*dated) & x["value"].rlike("[tT ]") & ~F.lower(x["value"]).rlike(rf"^{DATE}\z"), F.coalesce(_time_of_day(x["value"]), F.lit(""))).alias("t"),
         ))
         rows = lines.select(*FILE, "line_id", F.struct(F.lit(None).alias("_"), *kept).alias("_kept"), known.alias("_known")).select(*FILE, "line_id", "_kept", F.map_from_entries(_first_of_each(meant)).alias("_meant"))
 
@@ -515,12 +531,28 @@ class Drift:
             cell, kind = F.try_element_at("_meant", F.lit(name)), target(name)
             if kind == "date":
                 return F.try_to_date(cell["d"], "yyyyMMdd")
+            if kind == "timestamp":  # with a time that isn't kept: the day, and the text in misfits
+                day = F.concat_ws("-", F.substring(cell["d"], 1, 4), F.substring(cell["d"], 5, 2), F.substring(cell["d"], 7, 2))
+                return F.when(cell["d"].isNotNull(), F.concat(day, F.lit(" "), F.when(F.coalesce(cell["t"], F.lit("")) != "", cell["t"]).otherwise("00:00:00"))).try_cast("timestamp_ntz")
             if kind == "boolean":
                 return cell["b"] == "1"
             return cell["n"].try_cast(kind) if kind in ("bigint", "double") else cell["value"]
 
         out = rows.select(*FILE, "line_id", "_kept", "_meant", *[typed(n).alias(n) for n in names])
-        lost = F.array(*[F.when(F.col(f"`{n}`").isNull() & F.try_element_at("_meant", F.lit(n)).isNotNull(), F.struct(F.lit(n).alias("key"), F.try_element_at("_meant", F.lit(n))["value"].alias("value"))) for n in cast_away])
+
+        def cut(name: str) -> Column:
+            """Whether the typed value says less than the text."""
+            cell, kind, value = F.try_element_at("_meant", F.lit(name)), target(name), F.col(f"`{name}`")
+            if kind == "boolean":
+                return value.isNull()
+            if kind == "date":
+                return value.isNull() | cell["t"].isNotNull()
+            if kind == "timestamp":
+                return value.isNull() | F.coalesce(cell["t"] == "", F.lit(False))
+            # A double holds fifteen digits.
+            return value.isNull() | ~cell["value"].rlike(r"^[+-]?(0|[1-9][0-9]*|(?=[0-9.]{1,16}\z)(0|[1-9][0-9]*)?\.[0-9]+)\z" if kind == "double" else r"^[+-]?(0|[1-9][0-9]*)(\.0*)?\z") | (F.length(cell["n"]) > (16 if kind == "double" else 20))
+
+        lost = F.array(*[F.when(cut(n) & F.try_element_at("_meant", F.lit(n)).isNotNull(), F.struct(F.lit(n).alias("key"), F.try_element_at("_meant", F.lit(n))["value"].alias("value"))) for n in cast_away])
         misfits = F.map_from_entries(F.filter(lost, lambda x: x.isNotNull())) if cast_away else F.create_map().cast("map<string,string>")
         return out.withColumn("misfits", misfits).select("*", "_kept.*").drop("_kept", "_meant", "_")
 
