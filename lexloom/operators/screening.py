@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from lexloom.functions.phonetic import phonetic_key
 from lexloom.operators.holdout import deletion_keys
-from lexloom.session import broadcast_if_small
+from lexloom.session import broadcast_if_small, materialise
 
 
 def signals(candidates: DataFrame, marks: DataFrame, phonetic: bool = True) -> DataFrame:
@@ -74,6 +74,47 @@ def novelty(candidates: DataFrame, corpus: DataFrame, most: int = 2, max_length:
     return c.join(met.groupBy("normalized").agg(F.min("d").alias("min_distance")), "normalized", "left")
 
 
+def _least_distances(candidates: DataFrame, corpus: DataFrame) -> DataFrame:
+    """(normalized, min_distance): the exact least edit distance of each distinct candidate to the corpus; null only against an empty corpus.
+
+    ``novelty`` finds those within two; for the rest the bound doubles from round to round over bands of length, until it
+    covers the longest name and each has its distance.
+    """
+    c, grams = candidates.select("normalized").where(F.col("normalized").isNotNull()).distinct(), corpus.select(F.col("normalized").alias("name")).where(F.col("normalized").isNotNull()).distinct()
+    longest = lambda df, name: df.agg(F.coalesce(F.max(F.length(name)), F.lit(0))).first()[0]
+    bound, most = 4, max(longest(c, "normalized"), longest(grams, "name"))
+    known = materialise(novelty(c, grams.withColumnRenamed("name", "normalized")), "novelty")
+    done, rest = known.where(F.col("min_distance").isNotNull()), known.where(F.col("min_distance").isNull()).select("normalized")
+    while not rest.isEmpty():
+        banded = rest.withColumn("n", F.explode(F.sequence(F.greatest(F.length("normalized") - bound, F.lit(0)), F.length("normalized") + bound)))
+        met = grams.withColumn("n", F.length("name")).join(broadcast_if_small(banded), "n").withColumn("d", F.levenshtein("normalized", "name", bound)).where("d >= 0")
+        known = materialise(rest.join(met.groupBy("normalized").agg(F.min("d").alias("min_distance")), "normalized", "left"), "novelty")
+        if bound >= most:
+            return done.unionByName(known)
+        done, rest, bound = done.unionByName(known.where(F.col("min_distance").isNotNull())), known.where(F.col("min_distance").isNull()).select("normalized"), bound * 2
+    return done
+
+
+def novelty_distances(candidates: DataFrame, corpus: DataFrame) -> DataFrame:
+    """(normalized, edit_distance, phonetic_distance): the least distance of each candidate to all of the corpus, by letters and by sounds.
+
+    The phonetic distance is the edit distance of Double Metaphone codes; null for a name without sounds.
+    """
+    coded = lambda df: df.select("normalized").where(F.col("normalized").isNotNull()).distinct().withColumn("code", phonetic_key(F.col("normalized")))
+    mine = materialise(coded(candidates), "novelty")
+    codes = lambda df: df.where("code <> ''").select(F.col("code").alias("normalized")).distinct()
+    sounds = _least_distances(codes(mine), materialise(codes(coded(corpus)), "novelty")).select(F.col("normalized").alias("code"), F.col("min_distance").alias("phonetic_distance"))
+    letters = _least_distances(mine.select("normalized"), corpus).withColumnRenamed("min_distance", "edit_distance")
+    return letters.join(mine.join(sounds, "code", "left").select("normalized", "phonetic_distance"), "normalized", "left")
+
+
+def novelty_summary(distances: DataFrame) -> DataFrame:
+    """One row: the number of names, and of both distances the least (for any collision floor) and the 95th percentile."""
+    return distances.agg(F.count("*").alias("n_names"), *[
+        f.alias(f"{kind}_{name}") for kind in ("edit", "phonetic") for name, f in (("least", F.min(f"{kind}_distance")), ("p95", F.percentile(f"{kind}_distance", F.lit(0.95))))
+    ])
+
+
 def confusable_skeleton(c):
     """The name as the eye may read it: rn as m, vv as w, and look-alike characters as one."""
     return F.translate(F.replace(F.replace(F.lower(c), F.lit("rn"), F.lit("m")), F.lit("vv"), F.lit("w")), "l1i0", "iiio")

@@ -376,6 +376,22 @@ def novelty_min_distance(spark, folder):
     return screening.novelty(_held(spark, folder), _accepted(spark, folder))
 
 
+@query(f"""with {_BASE}, c as (select distinct normalized from accepted) select h.normalized, min(levenshtein(h.normalized, c.normalized)) as edit_distance from held h cross join c group by 1""")
+def novelty_edit_distance(spark, folder):
+    """The least edit distance of every held-out name, however far or long; ``novelty_min_distance`` ends at two."""
+    return screening.novelty_distances(_held(spark, folder), _accepted(spark, folder)).select("normalized", "edit_distance")
+
+
+@query(None)
+def novelty_distances(spark, folder):
+    return screening.novelty_distances(_held(spark, folder), _accepted(spark, folder))
+
+
+@query(None)
+def novelty_p95(spark, folder):
+    return screening.novelty_summary(novelty_distances(spark, folder))
+
+
 @query(f"""with {_BASE}, s as (select distinct normalized, translate(replace(replace(normalized, 'rn', 'm'), 'vv', 'w'), 'l1i0', 'iiio') as skeleton from accepted)
   select skeleton, normalized as name from s where skeleton in (select skeleton from s group by 1 having count(*) > 1)""")
 def confusables(spark, folder):

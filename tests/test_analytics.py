@@ -7,6 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from lexloom.functions.phonetic import double_metaphone
 from lexloom.operators import addressing, evaluation, facts, ordering, phonology, scoring, screening
 from lexloom.streaming import facts as streams
 from tests.conftest import rows
@@ -50,6 +51,27 @@ def test_gini_entropy_agreement(spark):
     assert evaluation.spearman(spark.createDataFrame([(1, 1), (2, 4), (3, 9)], "a int, b int"), "a", "b").first()[0] == pytest.approx(1)
 
 
+def edits(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        row, before = [i], row
+        for j, y in enumerate(b, 1):
+            row.append(min(before[j] + 1, row[-1] + 1, before[j - 1] + (x != y)))
+    return row[-1]
+
+
+def test_every_name_has_its_distance(spark):
+    candidates, corpus = ["corvane", "fgima", "ab", "a" * 20, "123", "quixzotl"], ["ab", "a" * 19 + "b", "korvanne", "lumexxis", "mandor"]
+    found = {r.normalized: r for r in screening.novelty_distances(names(spark, *candidates), names(spark, *corpus)).collect()}
+    letters = {n: min(edits(n, c) for c in corpus) for n in candidates}
+    sounds = {n: min(edits(double_metaphone(n), double_metaphone(c)) for c in corpus) if double_metaphone(n) else None for n in candidates}
+    assert {n: r.edit_distance for n, r in found.items()} == letters and {n: r.phonetic_distance for n, r in found.items()} == sounds
+    assert letters["ab"] == 0 and letters["a" * 20] == 1 and letters["quixzotl"] > 4
+    (row,) = screening.novelty_summary(screening.novelty_distances(names(spark, *candidates), names(spark, *corpus))).collect()
+    assert row.n_names == 6 and row.edit_least == 0 and row.edit_p95 == np.percentile(list(letters.values()), 95)
+    assert {r.edit_distance for r in screening.novelty_distances(names(spark, *candidates), names(spark, "x").limit(0)).collect()} == {None}
+
+
 def test_novelty_is_the_least_distance(spark):
     corpus = ["corvane", "figma", "lumeris", "abc", "zeprix"]
     found = {r.normalized: r.min_distance for r in screening.novelty(names(spark, "corvane", "korvanne", "fgima", "xyz", "ab", "lumexxis"), names(spark, *corpus)).collect()}
