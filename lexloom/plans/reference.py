@@ -365,6 +365,12 @@ def screening_signals(spark, folder):
     return found.withColumn("similarity", F.round("similarity", 9))
 
 
+@query(None)
+def screening_all_signals(spark, folder):
+    """``screening_signals`` with the phonetic ones, which SQL can't express."""
+    return screening.signals(_accepted(spark, folder).select("normalized"), _held(spark, folder)).withColumn("similarity", F.round("similarity", 9))
+
+
 @query(None)
 def screening_counts(spark, folder):
     return screening.signal_counts(screening.signals(_accepted(spark, folder).select("normalized"), _held(spark, folder)))
@@ -650,13 +656,27 @@ def domain_fit(spark, folder):
   then (length(normalized) - 3) / 2.0 else round((14 - length(normalized)) / 6.0, 6) end::double as length_score,
   round(((case when contains(substr(normalized, 2), normalized[1]) then 1 else 0 end) + (case when length(normalized) <= 8 then 1 else 0 end)) / 3.0, 6)::double as memorable from (select distinct normalized from accepted)""")
 def name_scores(spark, folder):
-    """Length curve and two signs of a memorable name; the third, a repeated pair, needs a back-reference that SQL lacks."""
+    """Length curve and two signs of a memorable name, as in the SQL; ``name_scores_full`` has all three."""
     names = _accepted(spark, folder).select("normalized").distinct()
     n = F.col("normalized")
     signs = (F.substring(n, 2, 99).contains(F.substring(n, 1, 1)).cast("int") + (F.length(n) <= 8).cast("int")) / 3
     return names.select("normalized", F.round(scoring.length_curve(F.length(n), 3, 5, 8, 14), 6).alias("length_score"), F.round(signs, 6).alias("memorable"))
 
 
+@query(f"""with {_BASE} select normalized, case when length(normalized) between 5 and 8 then 1.0 when length(normalized) <= 3 or length(normalized) >= 14 then 0.0 when length(normalized) < 5
+  then (length(normalized) - 3) / 2.0 else round((14 - length(normalized)) / 6.0, 6) end::double as length_score,
+  round(((case when contains(substr(normalized, 2), normalized[1]) then 1 else 0 end) + (case when length(normalized) <= 8 then 1 else 0 end)
+  + (case when len(list_filter(range(1, length(normalized) - 2), lambda i: contains(substr(normalized, i + 2), substr(normalized, i, 2)))) > 0 then 1 else 0 end)) / 3.0, 6)::double as memorable from (select distinct normalized from accepted)""")
+def name_scores_full(spark, folder):
+    names, n = _accepted(spark, folder).select("normalized").distinct(), F.col("normalized")
+    return names.select("normalized", F.round(scoring.length_curve(F.length(n), 3, 5, 8, 14), 6).alias("length_score"), F.round(scoring.memorability(n), 6).alias("memorable"))
+
+
+@query(None)
+def lexical_mutation_list(spark, folder):
+    return _held(spark, folder).select("normalized", F.explode(phonology.mutations(F.col("normalized"))).alias("mutation"))
+
+
 @query(f"""with {_BASE} select normalized, translate(normalized, 'aeiou', 'eioua') as shifted, regexp_replace(normalized, '[aeiouy]([^aeiouy]*)$', '\\1') as cut,
   substr(normalized, length(normalized) // 2 + 1) || substr(normalized, 1, length(normalized) // 2) as swapped from held""")
 def lexical_mutations(spark, folder):

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from lexloom.functions.phonetic import double_metaphone
 from lexloom.operators import addressing, evaluation, facts, ordering, phonology, scoring, screening
+from lexloom.plans import reference
+from lexloom.plans.reference import QUERIES
 from lexloom.streaming import facts as streams
 from tests.conftest import rows
 
@@ -78,6 +80,17 @@ def test_novelty_is_the_least_distance(spark):
     assert found == {"corvane": 0, "korvanne": 2, "fgima": 2, "xyz": None, "ab": None, "lumexxis": 2}
 
 
+def test_whole_operators_are_registered(spark, folder, monkeypatch):
+    scores = QUERIES["name_scores_full"](spark, folder).collect()
+    signs = lambda n: (n[0] in n[1:]) + (len(n) <= 8) + any(n[i : i + 2] in n[i + 2 :] for i in range(len(n) - 3))
+    assert all(r.memorable == pytest.approx(signs(r.normalized) / 3, abs=1e-6) for r in scores)
+    assert rows(QUERIES["name_scores"](spark, folder).select("normalized", "memorable")) != sorted([(r.normalized, r.memorable) for r in scores], key=repr)
+    assert QUERIES["lexical_mutation_list"](spark, folder).groupBy("normalized").count().agg(F.max("count")).first()[0] == 3
+    monkeypatch.setattr(reference, "_accepted", lambda *_: names(spark, "phonixel"))
+    monkeypatch.setattr(reference, "_held", lambda *_: names(spark, "fonicksel"))
+    assert [r.match_type for r in QUERIES["screening_all_signals"](spark, folder).collect()] == ["phonetic"]
+
+
 def test_confusables(spark):
     assert rows(screening.confusables(names(spark, "modern", "modem", "other", "modem"))) == [("modem", "modem"), ("modem", "modern")]
 
