@@ -68,6 +68,16 @@ def p3_collapsed_names(spark: SparkSession, folder: str) -> DataFrame:
     return found.collapsed().select("norm_id", "normalized", "display", "provider_id", "source_ref", "n_copies")
 
 
+def p3_collapsed_records(spark: SparkSession, folder: str) -> DataFrame:
+    return _duplicates(spark, folder)[0][1].collapsed()
+
+
+def p3_collisions(spark: SparkSession, folder: str) -> DataFrame:
+    """Hashes that stand for more than one text, in either table."""
+    (a, first), (b, second) = _duplicates(spark, folder)
+    return first.collisions().withColumn("table_name", F.lit(a)).unionByName(second.collisions().withColumn("table_name", F.lit(b)))
+
+
 def _overlaps(spark: SparkSession, folder: str) -> DataFrame:
     return split_overlap.holdout_overlaps(table(spark, folder, "holdout_names"), table(spark, folder, "normalised_record"), table(spark, folder, "corpus_artifact"))
 
@@ -146,7 +156,7 @@ def p7_exact_shares(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES = {
     "p2_found": p2_found, "p2_term_counts": p2_term_counts, "p2_incremental": p2_incremental,
-    "p3_found": p3_found, "p3_collapsed_names": p3_collapsed_names,
+    "p3_found": p3_found, "p3_collapsed_names": p3_collapsed_names, "p3_collapsed_records": p3_collapsed_records, "p3_collisions": p3_collisions,
     "p5_found": p5_found, "p5_per_split": p5_per_split, "p5_artifact_claims": p5_artifact_claims,
     "p6_found": p6_found, "p6_items": p6_items, "p6_clean_documents": p6_clean_documents,
     "p7_found": p7_found, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p7_exact_shares": p7_exact_shares,

@@ -56,3 +56,13 @@ def test_defined_cases(spark):
     odd = spark.createDataFrame([(1, *same), (2, *same), (None, *same), (4, "x" * 3_000_000, *same[1:]), (5, "X" * 3_000_000 + "!", *same[1:])], SCHEMA)
     assert rows(FormatDuplicates(odd, "rid").members()) == [(1, 2), (4, 5)]
     assert FormatDuplicates(odd.limit(0), "rid").members().count() == 0 and FormatDuplicates(odd.limit(0), "rid").collapsed().count() == 0
+
+
+def test_both_tables_are_collapsed_and_report_collisions(spark, folder):
+    from lexloom.llm.queries import QUERIES
+
+    kept, copies = QUERIES["p3_collapsed_records"](spark, folder), QUERIES["p3_found"](spark, folder).where("table_name = 'corpus_record'")
+    total = spark.read.parquet(f"{folder}/corpus_record.parquet").count()
+    assert kept.count() == total - copies.count() < total and kept.agg({"n_copies": "sum"}).first()[0] == total
+    assert kept.join(copies, kept.record_id == copies.copy_id).count() == 0 and "text" in kept.columns
+    assert QUERIES["p3_collisions"](spark, folder).count() == 0
