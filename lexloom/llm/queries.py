@@ -11,14 +11,14 @@ from lexloom.session import table
 
 
 def _counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Both tables of names loaded into one store of counts: records by unique id, delivered counts by their whole row."""
+    """Both tables of names in one store of counts: all but the last run as the first load, then the last run merged as a delta."""
     store = term_counts.TermCounts(spark)
-    records, delivered = table(spark, folder, "normalised_record"), table(spark, folder, "provider_counts")
-    key = name_key(F.col("normalized"))
-    new = term_counts.added(records, scope="normalised_record", term=key, occurrences=F.lit(1))
-    store.merge(new.unionByName(term_counts.signed_deltas(
-        None, delivered, scope="provider_counts", record=delivered.columns, term=key, occurrences=F.col("record_count")
-    )))
+    records, delivered = table(spark, folder, "normalised_record").select("norm_id", "normalized"), table(spark, folder, "provider_counts")
+    key, last = name_key(F.col("normalized")), delivered.agg(F.max("run_id")).first()[0]
+    before = delivered.where(F.col("run_id") < last)
+    runs = lambda old, new: term_counts.signed_deltas(old, new, scope="provider_counts", record=delivered.columns, term=key, occurrences=F.col("record_count"))
+    store.merge(term_counts.signed_deltas(None, records, scope="normalised_record", record=records.columns, term=key, occurrences=F.lit(1)).unionByName(runs(None, before)))
+    store.merge(runs(before, delivered))
     return store.counts()
 
 

@@ -65,3 +65,12 @@ def test_everything_deleted_and_nothing_at_all(spark):
 def test_verdicts(spark, counts, want):
     df = spark.createDataFrame([("s", t, n, 1) for t, n in counts], tc.COUNTS)
     assert {r.term: r.verdict for r in tc.verdicts(df).collect()} == want
+
+
+def test_the_query_merges_a_delta(spark, folder, monkeypatch):
+    from lexloom.llm import queries
+
+    merges, merge = [], queries.term_counts.TermCounts.merge
+    monkeypatch.setattr(queries.term_counts.TermCounts, "merge", lambda self, deltas: merges.append(deltas.isEmpty()) or merge(self, deltas))
+    queries.p2_found(spark, folder)
+    assert merges == [False, False]
