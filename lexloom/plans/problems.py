@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lexloom.operators import snapshot_diff
 from lexloom.session import table
+from lexloom.sources.one_table import OneTable
 from lexloom.sources.schema_drift import Drift
 
 
@@ -23,7 +24,20 @@ def p4_found(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def p4_unified(spark: SparkSession, folder: str) -> DataFrame:
-    return Drift(table(spark, folder, "case_file_lines")).every_line()
+    return OneTable(Drift(table(spark, folder, "case_file_lines"))).lines()
+
+
+def p4_cell_counts(spark: SparkSession, folder: str) -> DataFrame:
+    """What ``p4_unified`` holds of every file: its lines that fit and their cells, wherever these stand."""
+    return OneTable(Drift(table(spark, folder, "case_file_lines"))).cell_counts()
+
+
+def p4_families(spark: SparkSession, folder: str) -> DataFrame:
+    """The column of the one table that every file's column goes to, and the type it has there."""
+    one = OneTable(Drift(table(spark, folder, "case_file_lines")))
+    types = spark.createDataFrame(one.families, "family string, type string")
+    held = one.layout.select("feed_id", "file_no", F.posexplode("columns").alias("at", "c")).where(F.col("c").isNotNull())
+    return held.join(F.broadcast(types.withColumn("at", F.row_number().over(Window.orderBy("family")) - 1)), "at").select("feed_id", "file_no", F.col("c.name").alias("name"), "family", "type")
 
 
 def p4_columns(spark: SparkSession, folder: str) -> DataFrame:
@@ -32,7 +46,7 @@ def p4_columns(spark: SparkSession, folder: str) -> DataFrame:
     return drift.profile.select("feed_id", "file_no", "name", F.coalesce("kind", F.lit("none")).alias("kind"), "n_values")
 
 
-QUERIES = {"p1_found": p1_found, "p1_change_counts": p1_change_counts, "p4_found": p4_found, "p4_unified": p4_unified, "p4_columns": p4_columns}
+QUERIES = {"p1_found": p1_found, "p1_change_counts": p1_change_counts, "p4_found": p4_found, "p4_unified": p4_unified, "p4_columns": p4_columns, "p4_cell_counts": p4_cell_counts, "p4_families": p4_families}
 
 _CHANGES = """
 with steps as (
@@ -51,7 +65,40 @@ changes as (
 ), named as (select provider_id, source_ref, vintage, change_kind from changes join steps using (provider_id, step) where change_kind is not null)
 """
 
+_SEPARATORS = (",", ";", "|", "\\t")
+_FIELDS = " ".join(
+    f"""when separator = E'{s}' then case when contains(raw, '"') then regexp_extract_all(E'{s}' || raw, '{at}(\\s*"(?:[^"]|"")*"\\s*|[^{at}]*)', 1) else string_split(raw, E'{s}') end"""
+    for s, at in zip(_SEPARATORS, (",", ";", "\\|", "\\t"), strict=True)
+)
+_NAME = r"trim(regexp_replace(lower(replace({}, '\"', '')), '[^a-z0-9]+', '_', 'g'), '_')"
+#: Every cell of a line that fits its file: (feed_id, file_no, line_id, name, value), missing values as null; and the files' columns.
+_CELLS = f"""
+with raw_ as (select feed_id, file_no, file_format, line_no, ltrim(raw, chr(65279)) as raw, min(line_id) as line_id from case_file_lines where feed_id is not null and file_no is not null and raw is not null group by all),
+heads as (select feed_id, file_no, min(raw) as header from raw_ where file_format = 'delimited' and line_no = 0 group by 1, 2),
+marked as (select *, arg_max(s, [length(header) - length(replace(header, s, '')), ascii(s)]) as separator from (select *, unnest([{', '.join(f"E'{s}'" for s in _SEPARATORS)}]) as s from heads) group by feed_id, file_no, header, s),
+sep as (select feed_id, file_no, header, arg_max(separator, [length(header) - length(replace(header, separator, '')), ascii(separator)]) as separator from marked group by 1, 2, 3),
+cut as (select r.feed_id, r.file_no, r.line_id, r.raw, h.header, case {_FIELDS} end as fields, case {_FIELDS.replace('raw', 'header')} end as names from raw_ r join sep h using (feed_id, file_no) where file_format = 'delimited' and line_no > 0),
+objects as (select feed_id, file_no, line_id, try_cast(raw as json) as doc, file_format from raw_ where file_format <> 'delimited'),
+found as (
+  select feed_id, file_no, line_id, {_NAME.format('unnest(names)')} as name, unnest(fields) as text, 'delimited' as form from cut where len(fields) = len(names)
+  union all select feed_id, file_no, line_id, {_NAME.format('k')}, doc ->> concat('$."', k, '"'), 'jsonl' from (select *, unnest(json_keys(doc)) as k from objects where json_type(doc) = 'OBJECT')
+), bare as (select * exclude (text), trim(replace(trim(trim(text), '"'), '""', '"')) as value from found),
+cells as (select feed_id, file_no, line_id, name, form, case when upper(value) not in ('', 'NULL', 'N/A', chr(92) || 'N', '-') then value end as value from bare)
+"""
+_TIME = r"[t ]+\d{1,2}:\d{2}(:\d{2})?(\.\d+)?( ?[ap]m)?(z|[+-]\d{2}:?\d{2})?"
+_MONTH = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*"
+_DATE = rf"(\d{{4}}[-/.]\d{{1,2}}[-/.]\d{{1,2}}|\d{{1,2}}[-/.]\d{{1,2}}[-/.]\d{{4}}|\d{{1,2}}[ -]{_MONTH}[ ,-]+\d{{4}}|{_MONTH} \d{{1,2}},? \d{{4}})"
+_KINDS = f"""case when regexp_full_match(value, '[0-9]+') then 'integer' when lower(value) in ('true', 'false') then 'boolean' when regexp_full_match(value, '[+-]?[0-9]*[.][0-9]+') then 'decimal'
+  when regexp_full_match(lower(value), '{_DATE}') then 'date' when regexp_full_match(lower(value), '{_DATE}{_TIME}') then 'timestamp' when value is not null then 'text' end"""
+
 ORACLES = {
+    "p4_cell_counts": _CELLS + "select feed_id, file_no, count(distinct line_id) as n_lines, count(value) as n_cells from cells group by 1, 2",
+    "p4_columns": _CELLS + f""", kinds as (select feed_id, file_no, name, {_KINDS} as kind, count(*) as n, count(value) as k from cells group by 1, 2, 3, 4),
+      lines_ as (select feed_id, file_no, count(*) - count(*) filter (file_format = 'delimited' and line_no = 0) as n_lines, max(file_format) as form from raw_ group by 1, 2),
+      profile as (select feed_id, file_no, name, sum(n) as n_with, sum(k)::bigint as n_values from kinds group by 1, 2, 3),
+      usual as (select feed_id, file_no, name, kind from kinds join profile using (feed_id, file_no, name) where kind is not null and n * 2 > n_values)
+      select p.feed_id, p.file_no, p.name, coalesce(u.kind, 'none') as kind, n_values from profile p join lines_ l using (feed_id, file_no) left join usual u using (feed_id, file_no, name)
+      where form = 'delimited' or n_with * 2 >= n_lines""",
     "p1_found": _CHANGES + "select * from named",
     "p1_change_counts": _CHANGES + "select provider_id, vintage, change_kind, count(*) as n_changes from named group by all",
 }

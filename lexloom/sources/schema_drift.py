@@ -6,14 +6,14 @@ per pair of files: a graph as wide as the two headers.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from functools import cached_property
 
-import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexloom.session import broadcast_if_small, materialise, ship
+from lexloom.sources.schema_match import one_to_one, rename_scores
 
 SEPARATORS = (",", ";", "|", "\t")
 MISSING = ("", "NULL", "N/A", "\\N", "-")
@@ -23,8 +23,6 @@ MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct",
 YES = ("true", "t", "yes", "y", "live", "l", "active", "1")
 NO = ("false", "f", "no", "n", "dead", "d", "inactive", "0")
 MIN_AGREEMENT = 2 / 3
-#: Header names and their links are looked at together on the driver; more names than this is refused.
-MAX_NAMES = 20_000
 
 FILE = ["feed_id", "file_no"]
 BYTE_ORDER_MARK = "\ufeff"
@@ -224,10 +222,13 @@ def column_profile(parsed: DataFrame, heads: DataFrame) -> DataFrame:
     """
     cells = _cells(parsed, *FILE).withColumn("kind", F.when(F.col("value").isNotNull(), value_type(F.col("value"))))
     serial_like = F.col("value").rlike(r"^\d{6,}\z") & ~_is_day(F.col("value"))
+    dated = F.col("kind").isin("date", "timestamp") & F.col("value").rlike(r"^\d{1,2}[-/.]")
+    above_twelve = lambda part: F.regexp_extract("value", r"^(\d+)[-/.](\d+)", part).cast("int") > 12
     by_column = cells.groupBy(*FILE, "name").agg(
         F.count("*").alias("n_lines_with"), F.count("value").alias("n_values"),
         *[F.count_if(F.col("kind") == t).alias(t) for t in TYPES],
         F.count_if(serial_like).alias("n_serial_like"),
+        F.count_if(dated).alias("n_small_first"), F.count_if(dated & above_twelve(1)).alias("n_day_first"), F.count_if(dated & above_twelve(2)).alias("n_month_first"),
         F.approx_count_distinct(F.when(serial_like, F.col("value"))).alias("n_distinct"),
     )
     per_file = parsed.groupBy(*FILE).agg(F.count("*").alias("n_lines"), F.max("file_format").alias("file_format"))
@@ -240,12 +241,17 @@ def column_profile(parsed: DataFrame, heads: DataFrame) -> DataFrame:
         .join(per_file, FILE, "left")
         .where(F.col("in_header") | ((F.col("file_format") != "delimited") & (F.col("n_lines_with") * 2 >= F.col("n_lines"))))
         .select(
-            *FILE, "name", F.coalesce("n_values", F.lit(0)).alias("n_values"), kind.alias("kind"), F.coalesce("timestamp", F.lit(0)).alias("timestamp"),
+            *FILE, "name", kind.alias("kind"),
+            *[F.coalesce(c, F.lit(0)).alias(c) for c in ("n_values", *TYPES, "n_small_first", "n_day_first", "n_month_first")],
             (F.coalesce(F.col("n_serial_like"), F.lit(0)) * F.least(F.lit(1.0), F.col("n_distinct") / F.greatest(F.col("n_values"), F.lit(1)))).alias("serial_score"),
         )
     )
 
 
+def serial_columns(profile: DataFrame) -> DataFrame:
+    return profile.groupBy(*FILE).agg(F.max(F.struct("serial_score", "name"))["name"].alias("serial_name"))
+
+
 def file_pairs(profile: DataFrame) -> DataFrame:
     """Per file with one before it in its feed: its and the earlier file's columns, and the columns that hold the serial number."""
     files = profile.groupBy(*FILE).agg(
@@ -311,59 +317,6 @@ def rename_evidence(parsed: DataFrame, pairs: DataFrame) -> DataFrame:
     )
 
 
-def _likeness(a: str, b: str) -> float:
-    """Shared letter pairs of two names (Dice)."""
-    pairs = lambda s: {s[i : i + 2] for i in range(len(s) - 1)} or {s}
-    x, y = pairs(a), pairs(b)
-    return 2 * len(x & y) / (len(x) + len(y))
-
-
-def flood(old: Sequence[tuple[str, str]], new: Sequence[tuple[str, str]], seed: dict[tuple[str, str], float], *, rounds: int = 200, eps: float = 1e-4) -> dict[tuple[str, str], float]:
-    """Similarity flooding between two schema graphs; columns are (name, type).
-
-    A graph has a node per file, column, type and name part, and edges file-column, column-type and column-part. The
-    pairwise connectivity graph links pairs of nodes joined by edges of one label; each pair starts with its seed
-    (columns: agreement of values where known, else likeness of names) and scores flow along the edges, each split among
-    the edges of its label, until nothing moves by more than ``eps``. Returns the scores of the column pairs.
-    """
-    index: dict[tuple[str, str, str], int] = {("file", "", ""): 0}
-    start = [1.0]
-
-    def node(kind: str, a: str, b: str, score: float) -> int:
-        key = (kind, a, b)
-        if key not in index:
-            index[key] = len(start)
-            start.append(score)
-        return index[key]
-
-    edges: list[tuple[int, int, str]] = []
-    for a, ta in old:
-        for b, tb in new:
-            p = node("column", a, b, seed.get((a, b), 0.5 * _likeness(a, b) + 0.5 * (a == b)))
-            edges.append((0, p, "column"))
-            edges.append((p, node("type", ta, tb, 1.0 if ta == tb else 0.1), "type"))
-            for x in a.split("_"):
-                for y in b.split("_"):
-                    edges.append((p, node("part", x, y, _likeness(x, y)), "part"))
-    out, into = {}, {}
-    for s, t, label in edges:
-        out[s, label] = out.get((s, label), 0) + 1
-        into[t, label] = into.get((t, label), 0) + 1
-    src = np.array([s for s, _, _ in edges] + [t for _, t, _ in edges], int)
-    dst = np.array([t for _, t, _ in edges] + [s for s, _, _ in edges], int)
-    weight = np.array([1 / out[s, label] for s, _, label in edges] + [1 / into[t, label] for _, t, label in edges])
-    first = np.array(start)
-    score = first.copy()
-    for _ in range(rounds):
-        flow = np.bincount(dst, weights=weight * (first + score)[src], minlength=len(first))
-        after = first + score + flow
-        after /= after.max()
-        moved, score = np.abs(after - score).max(), after
-        if moved < eps:
-            break
-    return {(a, b): float(score[i]) for (kind, a, b), i in index.items() if kind == "column"}
-
-
 def _by_chance(e: dict) -> bool:
     """Whether two columns of flags in different words (live and dead, true and false) agree hardly more than any two flags would (kappa under 0.4).
 
@@ -379,8 +332,9 @@ def _by_chance(e: dict) -> bool:
 def match_columns(pairs: DataFrame, evidence: DataFrame, min_agreement: float = MIN_AGREEMENT) -> DataFrame:
     """The renamed columns: (feed_id, file_no, old_name, new_name, score, agreement).
 
-    Scores come from ``flood``; from the best downward each column is used once; the exact check on the values, at least
-    ``min_agreement`` of the serials, decides whether a correspondence stands.
+    Similarity flooding over the two files' schema graphs (``schema_match``) orders the pairs; each column is used once, from
+    the best score downward. The exact check on the values, at least ``min_agreement`` of the serials, decides whether a
+    correspondence stands.
     """
     known = evidence.groupBy(*FILE).agg(F.collect_list(F.struct("old_name", "new_name", "n_both", "n_same", "n_flags", "n_flags_same", "n_reworded", "n_old_yes", "n_new_yes")).alias("evidence"))
     ship(pairs.sparkSession)
@@ -392,13 +346,9 @@ def match_columns(pairs: DataFrame, evidence: DataFrame, min_agreement: float =
             for feed, file_no, old, new, seen in zip(batch.feed_id, batch.file_no, batch.old_columns, batch.new_columns, batch.evidence, strict=True):
                 agreement = {(e["old_name"], e["new_name"]): e["n_same"] / e["n_both"] for e in seen}
                 chance = {(e["old_name"], e["new_name"]) for e in seen if _by_chance(e)}
-                scores = flood([(c["name"], c["kind"] or "") for c in old], [(c["name"], c["kind"] or "") for c in new], agreement)
-                stands = [p for p, share in agreement.items() if share >= min_agreement - 1e-12 and p not in chance]
-                used: set[tuple[str, str]] = set()
-                for a, b in sorted(stands, key=lambda p: (-scores.get(p, 0.0), -agreement[p], p)):
-                    if ("old", a) not in used and ("new", b) not in used:
-                        used |= {("old", a), ("new", b)}
-                        found.append((feed, file_no, a, b, scores.get((a, b), 0.0), agreement[a, b]))
+                scores = rename_scores([(c["name"], c["kind"] or "") for c in old], [(c["name"], c["kind"] or "") for c in new], agreement)
+                stands = lambda p: agreement.get(p, 0.0) >= min_agreement - 1e-12 and p not in chance  # noqa: B023, E731
+                found += [(feed, file_no, a, b, scores[a, b], agreement[a, b]) for a, b in one_to_one(scores, stands)]
             yield pd.DataFrame(found, columns=["feed_id", "file_no", "old_name", "new_name", "score", "agreement"])
 
     # Few bytes, but seconds of work: spread over all cores, which the size of the data wouldn't.
@@ -431,134 +381,45 @@ def schema_changes(pairs: DataFrame, renames: DataFrame) -> DataFrame:
 
 
 class Drift:
-    """The steps over one table of lines (columns of ``case_file_lines``), each computed once.
+    """The steps over one table of lines (columns of ``case_file_lines``), each computed once, when first asked for.
 
-    Defined cases: rows with null feed, file number or text are ignored; a feed's first file has no changes; a file without
-    any line that fits gives no columns beyond its header; a column without values has no type and is never retyped; two
-    lines of one serial in a file count as one, by the greater value; empty input gives empty results; other columns are ignored.
+    Defined cases: rows with null feed, file number or text are no part of any file; a feed's first file has no changes; a
+    file without any line that fits gives no columns beyond its header; a column without values has no type and is never
+    retyped; two lines of one serial in a file count as one, by the greater value; empty input gives empty results; other
+    columns are ignored.
     """
 
     def __init__(self, lines: DataFrame, min_agreement: float = MIN_AGREEMENT) -> None:
-        self.lines = lines
-        self.heads = materialise(headers(lines), "headers")
-        self.parsed = materialise(parsed_lines(lines, self.heads), "parsed")
-        self.profile = materialise(column_profile(self.parsed, self.heads), "profile")
-        self.pairs = materialise(file_pairs(self.profile), "pairs")
-        self.evidence = rename_evidence(self.parsed, self.pairs)
-        self.renames = materialise(match_columns(self.pairs, self.evidence, min_agreement), "renames")
+        self.lines, self.min_agreement, self.spark = lines, min_agreement, lines.sparkSession
+
+    @cached_property
+    def heads(self) -> DataFrame:
+        return materialise(headers(self.lines), "headers")
+
+    @cached_property
+    def parsed(self) -> DataFrame:
+        return materialise(parsed_lines(self.lines, self.heads), "parsed")
+
+    @cached_property
+    def profile(self) -> DataFrame:
+        return materialise(column_profile(self.parsed, self.heads), "profile")
+
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return materialise(file_pairs(self.profile), "pairs")
+
+    @cached_property
+    def evidence(self) -> DataFrame:
+        return rename_evidence(self.parsed, self.pairs)
+
+    @cached_property
+    def renames(self) -> DataFrame:
+        return materialise(match_columns(self.pairs, self.evidence, self.min_agreement), "renames")
+
+    @property
+    def serials(self) -> DataFrame:
+        """(feed_id, file_no, serial_name): the column that looks most like the serial number."""
+        return serial_columns(self.profile)
 
     def changes(self) -> DataFrame:
         return schema_changes(self.pairs, self.renames)
-
-    def families(self) -> dict[str, str]:
-        """Every column name with the name of its family: names linked by renames are one family, called after its most frequent name."""
-        counts = {r["name"]: r["n"] for r in self.profile.groupBy("name").agg(F.count("*").alias("n")).limit(MAX_NAMES + 1).collect()}
-        links = self.renames.select("old_name", "new_name").distinct().limit(MAX_NAMES + 1).collect()
-        if max(len(counts), len(links)) > MAX_NAMES:
-            raise ValueError(f"more than {MAX_NAMES} different column names or renames: not one table's schema")
-        parent = {n: n for n in counts}
-
-        def root(n: str) -> str:
-            while parent[n] != n:
-                parent[n] = n = parent[parent[n]]
-            return n
-
-        for link in links:
-            parent[root(link["old_name"])] = root(link["new_name"])
-        best: dict[str, str] = {}
-        for n in sorted(counts, key=lambda n: (-counts[n], n)):
-            best.setdefault(root(n), n)
-        return {n: best[root(n)] for n in counts}
-
-    def unified(self) -> DataFrame:
-        """All lines that fit their file in one table with one set of columns, one per family, cast to its usual type.
-
-        Columns: feed_id, file_no, line_id, then one per family. Dates and timestamps become dates, numbers doubles or longs
-        without prefix; a value that doesn't fit the type of its column becomes null there. Every value that its typed
-        form doesn't keep whole (null, without time of day, prefix, leading zeros or digits) stays in ``misfits``
-        (name to text).
-        """
-        return self._typed(self.parsed.where(F.col("names").isNotNull()))
-
-    def every_line(self) -> DataFrame:
-        """``unified`` with the lines that don't fit their file too: what fields of them have a certain place, ``_reason`` and ``_raw``.
-
-        Families with times of day become timestamps without zone here. ``_reason`` and ``_raw`` are null for a line that fits. No name of a column begins with an underscore.
-        """
-        rest = unfit_lines(self.parsed, self.heads).unionByName(homeless_lines(self.lines))
-        return self._typed(self.parsed.where(F.col("names").isNotNull()).unionByName(rest), F.col("reason").alias("_reason"), F.col("raw").alias("_raw"), times=True)
-
-    def _typed(self, lines: DataFrame, *kept: Column, times: bool = False) -> DataFrame:
-        """The lines' cells in one column per family; what else is kept of a line comes last."""
-        family = self.families()
-        usual = (
-            self.profile.where(F.col("kind").isNotNull() | (F.col("timestamp") > 0)).groupBy("name", "kind").agg(F.sum("n_values").alias("n"), F.sum("timestamp").alias("n_times"))
-        ).limit(MAX_NAMES + 1).collect()
-        weights: dict[str, dict[str, int]] = {}
-        timed = {family[r["name"]] for r in usual if r["n_times"]}
-        for r in usual:
-            if r["kind"] is None:
-                continue
-            kinds = weights.setdefault(family[r["name"]], {})
-            kinds[r["kind"]] = kinds.get(r["kind"], 0) + r["n"]
-        names = sorted(set(family.values()))
-
-        def target(name: str) -> str:
-            kinds = weights.get(name, {})
-            if kinds.get("date", 0) + kinds.get("timestamp", 0) > 0:
-                return "timestamp" if times and name in timed else "date"
-            if kinds.get("boolean", 0) * 2 > sum(kinds.values()):
-                return "boolean"
-            if kinds.get("decimal", 0) + kinds.get("integer", 0) > kinds.get("text", 0):
-                return "double" if kinds.get("decimal", 0) > kinds.get("integer", 0) else "bigint"
-            return "string"
-
-        by_name = F.create_map(*[F.lit(x) for pair in family.items() for x in pair]) if family else F.create_map().cast("map<string,string>")
-        first = lambda keys, mark: F.get(F.transform(F.filter(keys, lambda k: k.startswith(mark)), lambda k: F.substring(k, 3, 64)), F.lit(0))
-        present = F.filter(F.transform(F.arrays_zip("names", "fields"), lambda x: F.struct(x["names"].alias("name"), cell_value(x["fields"]).alias("value"))), lambda x: x["value"].isNotNull())
-        # What each cell may mean is worked out once per cell; the columns below only pick.
-        cast_away = [n for n in names if target(n) != "string"]
-        dated = [n for n in cast_away if target(n) in ("date", "timestamp")]
-        named = F.transform(present, lambda x: F.struct(F.try_element_at(by_name, x["name"]).alias("family"), x["value"].alias("value")))
-        known = F.transform(named, lambda x: F.struct(x["family"].alias("family"), x["value"].alias("value"), F.when(x["family"].isin(*cast_away), value_keys(x["value"])).alias("keys")))
-        meant = F.transform("_known", lambda x: F.struct(
-            x["family"].alias("family"), x["value"].alias("value"), first(x["keys"], "d:").alias("d"), F.concat(F.when(x["value"].rlike(r"^-[0-9.]+\z"), "-").otherwise(""), first(x["keys"], "n:")).alias("n"), first(x["keys"], "b:").alias("b"),
-            F.when(x["family"].isin(*dated) & x["value"].rlike("[tT ]") & ~F.lower(x["value"]).rlike(rf"^{DATE}\z"), F.coalesce(_time_of_day(x["value"]), F.lit(""))).alias("t"),
-        ))
-        rows = lines.select(*FILE, "line_id", F.struct(F.lit(None).alias("_"), *kept).alias("_kept"), known.alias("_known")).select(*FILE, "line_id", "_kept", F.map_from_entries(_first_of_each(meant)).alias("_meant"))
-
-        def typed(name: str) -> Column:
-            cell, kind = F.try_element_at("_meant", F.lit(name)), target(name)
-            if kind == "date":
-                return F.try_to_date(cell["d"], "yyyyMMdd")
-            if kind == "timestamp":  # with a time that isn't kept: the day, and the text in misfits
-                day = F.concat_ws("-", F.substring(cell["d"], 1, 4), F.substring(cell["d"], 5, 2), F.substring(cell["d"], 7, 2))
-                return F.when(cell["d"].isNotNull(), F.concat(day, F.lit(" "), F.when(F.coalesce(cell["t"], F.lit("")) != "", cell["t"]).otherwise("00:00:00"))).try_cast("timestamp_ntz")
-            if kind == "boolean":
-                return cell["b"] == "1"
-            return cell["n"].try_cast(kind) if kind in ("bigint", "double") else cell["value"]
-
-        out = rows.select(*FILE, "line_id", "_kept", "_meant", *[typed(n).alias(n) for n in names])
-
-        def cut(name: str) -> Column:
-            """Whether the typed value says less than the text."""
-            cell, kind, value = F.try_element_at("_meant", F.lit(name)), target(name), F.col(f"`{name}`")
-            if kind == "boolean":
-                return value.isNull()
-            if kind == "date":
-                return value.isNull() | cell["t"].isNotNull()
-            if kind == "timestamp":
-                return value.isNull() | F.coalesce(cell["t"] == "", F.lit(False))
-            # A double holds fifteen digits.
-            return value.isNull() | ~cell["value"].rlike(r"^[+-]?(0|[1-9][0-9]*|(?=[0-9.]{1,16}\z)(0|[1-9][0-9]*)?\.[0-9]+)\z" if kind == "double" else r"^[+-]?(0|[1-9][0-9]*)(\.0*)?\z") | (F.length(cell["n"]) > (16 if kind == "double" else 20))
-
-        lost = F.array(*[F.when(cut(n) & F.try_element_at("_meant", F.lit(n)).isNotNull(), F.struct(F.lit(n).alias("key"), F.try_element_at("_meant", F.lit(n))["value"].alias("value"))) for n in cast_away])
-        misfits = F.map_from_entries(F.filter(lost, lambda x: x.isNotNull())) if cast_away else F.create_map().cast("map<string,string>")
-        return out.withColumn("misfits", misfits).select("*", "_kept.*").drop("_kept", "_meant", "_")
-
-
-def _first_of_each(cells: Column) -> Column:
-    """(family, cell) entries, the first cell of each family."""
-    families = F.transform(cells, lambda x: x["family"])
-    kept = F.filter(cells, lambda x, i: F.array_position(families, x["family"]) == i + 1)
-    return F.transform(kept, lambda x: F.struct(x["family"].alias("key"), x.alias("value")))
