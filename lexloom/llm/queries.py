@@ -10,44 +10,51 @@ from lexloom.llm import format_duplicates, leakage, mixture, reading_level, spli
 from lexloom.session import table
 
 
-def _counts(spark: SparkSession, folder: str) -> DataFrame:
-    """Both tables of names in one store of counts: all but the last run as the first load, then the last run merged as a delta."""
-    store = term_counts.TermCounts(spark)
+def _feeds(spark: SparkSession, folder: str):
+    """Both tables of names: their rows before and in the last run, and how their rows become deltas."""
     records, delivered = table(spark, folder, "normalised_record").select("norm_id", "normalized"), table(spark, folder, "provider_counts")
     key, last = name_key(F.col("normalized")), delivered.agg(F.max("run_id")).first()[0]
-    before = delivered.where(F.col("run_id") < last)
-    runs = lambda old, new: term_counts.signed_deltas(old, new, scope="provider_counts", record=delivered.columns, term=key, occurrences=F.col("record_count"))
-    store.merge(term_counts.signed_deltas(None, records, scope="normalised_record", record=records.columns, term=key, occurrences=F.lit(1)).unionByName(runs(None, before)))
-    store.merge(runs(before, delivered))
-    return store.counts()
+    in_last = F.coalesce(F.col("run_id") == F.lit(last), F.lit(False))
+    names = lambda rows, sign: term_counts.change_deltas(rows, scope="normalised_record", sign=sign, term=key, occurrences=F.lit(1))
+    runs = lambda rows: term_counts.change_deltas(rows, scope="provider_counts", sign=F.lit(1), term=key, occurrences=F.col("record_count"), distinct=delivered.columns)
+    return records, delivered.where(~in_last), delivered.where(in_last), names, runs
+
+
+def _store(spark: SparkSession, folder: str) -> term_counts.TermCounts:
+    """A store of both tables of names, made in three sessions of work: all names, all runs but the last, the last run. Each opens what the one before has left."""
+    records, before, last, names, runs = _feeds(spark, folder)
+    store = term_counts.TermCounts(spark)
+    store.merge(names(records, F.lit(1)))
+    for delivery in (before, last):
+        store = term_counts.TermCounts(spark, store.path)
+        store.merge(runs(delivery))
+    return term_counts.TermCounts(spark, store.path)
+
+
+def _marked(spark: SparkSession, folder: str) -> DataFrame:
+    store = _store(spark, folder)
+    return term_counts.verdicts(store.counts(), store.totals())
 
 
 def p2_found(spark: SparkSession, folder: str) -> DataFrame:
-    marked = term_counts.verdicts(_counts(spark, folder)).where(F.col("verdict").isNotNull())
-    return marked.select(F.col("scope").alias("table_name"), "term", "verdict")
+    return _marked(spark, folder).where(F.col("verdict").isNotNull()).select(F.col("scope").alias("table_name"), "term", "verdict")
 
 
 def p2_term_counts(spark: SparkSession, folder: str) -> DataFrame:
-    marked = term_counts.verdicts(_counts(spark, folder))
-    return marked.select(F.col("scope").alias("table_name"), "term", "occurrences", "records", F.coalesce("verdict", F.lit("useful")).alias("verdict"))
+    return _marked(spark, folder).select(F.col("scope").alias("table_name"), "term", "occurrences", "records", F.coalesce("verdict", F.lit("useful")).alias("verdict"))
 
 
 def p2_incremental(spark: SparkSession, folder: str) -> DataFrame:
-    """The same counts reached by deltas: a first state without the last run, with rows changed and rows that don't stay, then what changed since."""
+    """The same counts reached through changes of every kind: first a state in which rows are missing, others read differently and others still stand that have gone since."""
+    records, before, last, names, runs = _feeds(spark, folder)
+    is_new, differs, has_gone = F.col("norm_id") % 5 == 0, (F.col("norm_id") % 7 == 0) & (F.col("norm_id") % 5 != 0), F.col("norm_id") % 11 == 0
+    was = records.withColumn("normalized", F.when(differs, F.concat("normalized", F.lit("old"))).otherwise(F.col("normalized")))
     store = term_counts.TermCounts(spark)
-    records, delivered = table(spark, folder, "normalised_record"), table(spark, folder, "provider_counts")
-    key, last = name_key(F.col("normalized")), delivered.agg(F.max("run_id")).first()[0]
-    changed = F.when(F.pmod("norm_id", F.lit(7)) == 0, F.concat(F.col("normalized"), F.lit("old"))).otherwise(F.col("normalized"))
-    first = records.where(F.pmod("norm_id", F.lit(5)) != 0).withColumn("normalized", changed).select("norm_id", "normalized")
-    gone = records.where(F.pmod("norm_id", F.lit(11)) == 0).select((-F.col("norm_id")).alias("norm_id"), "normalized")
-    states = [(first.unionByName(gone), delivered.where(F.col("run_id") < last)), (records.select("norm_id", "normalized"), delivered)]
-    before: tuple[DataFrame | None, DataFrame | None] = (None, None)
-    for state in states:
-        store.merge(term_counts.signed_deltas(before[0], state[0], scope="normalised_record", record=["norm_id", "normalized"], term=key, occurrences=F.lit(1)).unionByName(
-            term_counts.signed_deltas(before[1], state[1], scope="provider_counts", record=delivered.columns, term=key, occurrences=F.col("record_count"))
-        ))
-        before = state
-    return store.counts().select(F.col("scope").alias("table_name"), "term", "occurrences", "records")
+    store.merge(names(was.where(~is_new).unionByName(records.where(has_gone)), F.lit(1)).unionByName(runs(before)))
+    store = term_counts.TermCounts(spark, store.path)
+    feed = [records.where(is_new | differs).withColumn("sign", F.lit(1)), was.where(differs).withColumn("sign", F.lit(-1)), records.where(has_gone).withColumn("sign", F.lit(-1))]
+    store.merge(names(feed[0].unionByName(feed[1]).unionByName(feed[2]), F.col("sign")).unionByName(runs(last)))
+    return term_counts.TermCounts(spark, store.path).counts().select(F.col("scope").alias("table_name"), "term", "occurrences", "records")
 
 
 def _duplicates(spark: SparkSession, folder: str) -> list[tuple[str, format_duplicates.FormatDuplicates]]:
