@@ -10,8 +10,11 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: A relation is broadcast only if it has at most this many rows (and the rows are narrow keys).
+#: A relation is broadcast only if it has at most this many rows, and no more bytes than this on disk.
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
+#: Steps of a plan that cost more than reading rows: what has one of them is written before it is counted.
+COSTLY = ("Aggregate", "Join", "Window", "Generate", "MapInPandas", "MapInArrow", "ArrowEvalPython", "Deduplicate", "Repartition")
 
 
 def session(app: str = "lexloom", **conf: object) -> SparkSession:
@@ -32,18 +35,30 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one only where that is unset."""
+    """The folder all executors share: ``spark.checkpoint.dir``.
+
+    Where that is unset, a temporary folder stands in if driver and executors are one process; on a cluster this is refused,
+    as each machine would write to a disk of its own and what is read back would be incomplete.
+    """
     place = spark.conf.get("spark.checkpoint.dir", None)
     if not place:
         place = spark.sparkContext.getCheckpointDir()
     if not place:
+        master = spark.sparkContext.master
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise RuntimeError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         place = tempfile.mkdtemp(prefix="lexloom-")
         spark.sparkContext.setCheckpointDir(place)
     return place.rstrip("/")
 
 
+def _own(spark: SparkSession) -> str:
+    return f"lexloom-{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_dir(spark)}/lexloom-{label}-{uuid.uuid4().hex}"
+    """A new place in the shared folder that bears the application's name."""
+    return f"{shared_dir(spark)}/{_own(spark)}-{label}-{uuid.uuid4().hex}"
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -62,7 +77,17 @@ def small_enough(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
 
 
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast if the counted size allows; otherwise leave the join to the planner (sort-merge, skew-split)."""
+    """Hint a broadcast if the size allows; otherwise leave the join to the planner (sort-merge, skew-split).
+
+    What costs more than reading is written first, so it is computed once, not for the count and again for the join; its
+    bytes on disk are then known as well.
+    """
+    plan = df._jdf.queryExecution().optimizedPlan()
+    if any(step in plan.toString() for step in COSTLY):
+        df = materialise(df, "side")
+        plan = df._jdf.queryExecution().optimizedPlan()
+        if int(str(plan.stats().sizeInBytes())) > BROADCAST_BYTES:
+            return df
     return F.broadcast(df) if small_enough(df, max_rows) else df
 
 
@@ -71,9 +96,9 @@ def data_dir(default: str = "/root/testdata/sf0.1") -> str:
 
 
 def clear_scratch(spark: SparkSession) -> None:
-    """Remove what ``materialise`` and the stores have written to the shared folder; frames read from there can't be used afterwards."""
+    """Remove what this application has written to the shared folder; frames read from there can't be used afterwards."""
     jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/lexloom-*")
+    pattern = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{_own(spark)}-*")
     system = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     for found in system.globStatus(pattern) or []:
         system.delete(found.getPath(), True)
