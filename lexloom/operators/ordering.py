@@ -2,24 +2,35 @@
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexloom.session import materialise
 
 
-def running_total(df: DataFrame, order: str, amount: Column, name: str) -> DataFrame:
-    """``df`` with the sum of ``amount`` over the rows before each, by ascending ``order``; ``order`` must be distinct.
+def running_totals(df: DataFrame, order: str, amounts: Mapping[str, Column]) -> DataFrame:
+    """``df`` with, for each of ``amounts`` (name to amount), its sum over the rows before each, by ascending ``order``; ``order`` must be distinct.
 
     Rows are partitioned by ranges of ``order`` and written; the totals of the ranges - one row per partition - are added up
     first, then each range adds up its own rows in parallel. Null values come first.
     """
-    ranged = df.withColumn("_amount", amount).repartitionByRange(F.col(order).asc_nulls_first()).withColumn("_range", F.spark_partition_id())
+    held = {name: f"_amount{i}" for i, name in enumerate(amounts)}
+    ranged = df.withColumns({held[n]: c for n, c in amounts.items()}).repartitionByRange(F.col(order).asc_nulls_first()).withColumn("_range", F.spark_partition_id())
     kept = materialise(ranged, "ranges")
-    ranges = kept.groupBy("_range").agg(F.sum("_amount").alias("_sum"))
-    offsets = ranges.select("_range", F.coalesce(F.sum("_sum").over(Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_offset"))
+    ranges = kept.groupBy("_range").agg(*[F.sum(h).alias(h) for h in held.values()])
+    earlier = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = ranges.select("_range", *[F.coalesce(F.sum(h).over(earlier), F.lit(0)).alias(f"_offset{h}") for h in held.values()])
     within = Window.partitionBy("_range").orderBy(F.col(order).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
-    return kept.join(F.broadcast(offsets), "_range").withColumn(name, F.col("_offset") + F.coalesce(F.sum("_amount").over(within), F.lit(0))).drop("_range", "_amount", "_offset")
+    joined = kept.join(F.broadcast(offsets), "_range")
+    added = joined.select("*", *[(F.col(f"_offset{h}") + F.coalesce(F.sum(h).over(within), F.lit(0))).alias(n) for n, h in held.items()])
+    return added.drop("_range", *held.values(), *[f"_offset{h}" for h in held.values()])
+
+
+def running_total(df: DataFrame, order: str, amount: Column, name: str) -> DataFrame:
+    """``running_totals`` of one amount."""
+    return running_totals(df, order, {name: amount})
 
 
 def grouped_rank(df: DataFrame, group: str, by: str, name: str) -> DataFrame:
