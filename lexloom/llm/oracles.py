@@ -81,6 +81,12 @@ ORACLES = {
       from corpus_artifact left join (select found_key as artifact_id, count(distinct holdout_id) as n from found where found_in = 'corpus_artifact' group by 1) using (artifact_id)""",
     "p6_found": _LEAKS + "select doc_id, item_id from found",
     "p6_clean_documents": _LEAKS + "select doc_id, source, lang, n_chars from documents where doc_id not in (select doc_id from found)",
+    "p7_invariants": """select unnest(['quota met to within a document', 'document used no more than allowed', 'no copy of a document twice', 'no copy of a block twice', 'shards alike in blocks',
+      'blocks of shards as the tree says', 'places without gaps']) as rule, 0::bigint as n_violations""",
+    "p7_plan_in_words": """with w as (select source, len(regexp_extract_all(text, '[A-Za-z]+')) as n from documents), s as (select source, sum(coalesce(n, 0))::bigint as n from w group by 1),
+      p as (select t.source, coalesce(n, 0) as size_tokens, target_share, max_repeats, max_repeats * coalesce(n, 0) as most_tokens,
+        ceil(target_share::decimal(12, 9) * (select sum(n)::bigint from s))::bigint as target_tokens from mix_targets t left join s using (source))
+      select *, least(target_tokens, most_tokens) as quota_tokens from p""",
     # Sizes in characters instead of tokens: the answer is the same in any usual unit.
     "p7_found": """select t.source from mix_targets t left join (select source, sum(length(text)) as n from documents group by 1) s using (source)
       where t.max_repeats * coalesce(s.n, 0) < t.target_share * (select sum(length(text)) from documents)""",

@@ -115,8 +115,12 @@ def p6_clean_documents(spark: SparkSession, folder: str) -> DataFrame:
     return leakage.without_leaks(documents, leakage.leaked(documents, table(spark, folder, "eval_items"))).select("doc_id", "source", "lang", "n_chars")
 
 
-def _mixture(spark: SparkSession, folder: str) -> mixture.Mixture:
-    return mixture.Mixture(table(spark, folder, "documents"), table(spark, folder, "mix_targets"))
+#: Output shards of the mixtures and tokens of the blocks that are dealt to them; parameters, alike at every size of the tables.
+SHARDS, BLOCK_TOKENS = 64, 1 << 12
+
+
+def _mixture(spark: SparkSession, folder: str, **more) -> mixture.Mixture:
+    return mixture.Mixture(table(spark, folder, "documents"), table(spark, folder, "mix_targets"), n_shards=SHARDS, block_tokens=BLOCK_TOKENS, **more)
 
 
 def p7_found(spark: SparkSession, folder: str) -> DataFrame:
@@ -157,15 +161,25 @@ def p8_accuracy(spark: SparkSession, folder: str) -> DataFrame:
 
 def p7_exact_shares(spark: SparkSession, folder: str) -> DataFrame:
     """The largest mixture in which every source has its share."""
-    mixed = mixture.Mixture(table(spark, folder, "documents"), table(spark, folder, "mix_targets"), exact=True, block_tokens=1 << 14)
+    mixed = _mixture(spark, folder, exact=True)
     return mixed.report(mixed.draws())
 
 
+def p7_invariants(spark: SparkSession, folder: str) -> DataFrame:
+    """How often ``p7_mixture`` breaks each of the rules of a mixture: never."""
+    return _mixture(spark, folder).violations()
+
+
+def p7_plan_in_words(spark: SparkSession, folder: str) -> DataFrame:
+    """Targets and quotas of the mixture with sizes in words, which SQL can count too."""
+    return _mixture(spark, folder, sizes=F.size(F.regexp_extract_all("text", F.lit("[A-Za-z]+"), F.lit(0)))).plan_frame()
+
+
 QUERIES = {
     "p2_found": p2_found, "p2_term_counts": p2_term_counts, "p2_incremental": p2_incremental,
     "p3_found": p3_found, "p3_collapsed_names": p3_collapsed_names, "p3_collapsed_records": p3_collapsed_records, "p3_collisions": p3_collisions,
     "p5_found": p5_found, "p5_per_split": p5_per_split, "p5_artifact_claims": p5_artifact_claims,
     "p6_found": p6_found, "p6_items": p6_items, "p6_clean_documents": p6_clean_documents,
-    "p7_found": p7_found, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p7_exact_shares": p7_exact_shares,
+    "p7_found": p7_found, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p7_exact_shares": p7_exact_shares, "p7_invariants": p7_invariants, "p7_plan_in_words": p7_plan_in_words,
     "p8_reading_levels": p8_reading_levels, "p8_profile": p8_profile, "p8_accuracy": p8_accuracy,
 }

@@ -78,12 +78,55 @@ def test_exact_shares(spark, mixed):
 
 def test_the_tree_splits_exactly_and_anywhere():
     quotas = np.array([1000, 7, 0, 333])
-    leaves = dict(mx.split_quotas(quotas, 17, 3))
-    assert sum(leaves.values()).tolist() == quotas.tolist() and max(x.sum() for x in leaves.values()) - min(x.sum() for x in leaves.values()) <= 1
+    leaves = {s: (have, before) for s, have, before in mx.split_quotas(quotas, 17, 3)}
+    sizes = [have.sum() for have, _ in leaves.values()]
+    assert sum(have for have, _ in leaves.values()).tolist() == quotas.tolist() and max(sizes) - min(sizes) <= 1
+    for s, (_, before) in leaves.items():
+        assert before.tolist() == sum([leaves[k][0] for k in range(s)], np.zeros(4, int)).tolist()
     for first, last in ((0, 5), (5, 6), (6, 17)):
-        assert all((leaves[s] == have).all() for s, have in mx.split_quotas(quotas, 17, 3, first, last))
-    big = mx._large_draw(np.array([3 * 10**9, 10**9, 5]), 2 * 10**9, np.random.default_rng(1))
-    assert big.sum() == 2 * 10**9 and (big >= 0).all()
+        assert all((leaves[s][0] == have).all() and (leaves[s][1] == before).all() for s, have, before in mx.split_quotas(quotas, 17, 3, first, last))
+
+
+@pytest.mark.parametrize("at_once", [10**8, 5 * 10**8])
+def test_draws_above_what_the_generator_takes_are_exact(at_once):
+    have = np.array([3 * 10**9, 10**9 + 1, 5, 0])
+    for n in (0, 1, 2 * 10**9 + 3, int(have.sum())):
+        got = mx._draw(have, n, np.random.default_rng(1), at_once)
+        assert got.sum() == n and (got >= 0).all() and (got <= have).all()
+    half = mx._draw(have, 2 * 10**9, np.random.default_rng(2), at_once)
+    assert abs(half[0] / have[0] - half[1] / have[1]) < 1e-3
+
+
+def test_small_groups_draw_like_one(spark):
+    """The same mean when the draw is made in groups."""
+    have, n = np.array([40, 20, 10]), 35
+    mean = lambda at_once: np.mean([mx._draw(have, n, np.random.default_rng(i), at_once) for i in range(800)], axis=0)
+    assert np.abs(mean(7) - mean(10**6)).max() < 0.4 and np.abs(mean(7) - have / 2).max() < 0.4
+
+
+def test_a_million_copies_of_a_small_source(spark):
+    """Laid out in stretches by many tasks; each copy once, shares exact."""
+    docs = spark.createDataFrame([(1, "of the court", "tiny", 1, 1), *[(10 + i, "of the court " * 40, "big", 1, 1) for i in range(200)]], DOCS)
+    m = mx.Mixture(docs, spark.createDataFrame([("tiny", 0.9, 1_000_000), ("big", 0.1, 1)], TARGETS), size=1_000_000, n_shards=32, block_tokens=100)
+    assert {r.rule: r.n_violations for r in m.violations().collect()} == dict.fromkeys(m_rules(spark), 0)
+    tiny = m.draws().where("source = 'tiny'").agg(F.count("*"), F.max("copy_no")).first()
+    assert tiny[0] == tiny[1] == m.plan.set_index("source").quota_tokens["tiny"] // 3
+
+
+def m_rules(spark):
+    from lexloom.llm import oracles
+    from tools.compare import views
+
+    return [r[0] for r in views("/nowhere").execute(oracles.ORACLES["p7_invariants"]).fetchall()]
+
+
+def test_violations_are_seen(spark, mixed, monkeypatch):
+    docs, m, draws = mixed
+    found = lambda: {r.rule: r.n_violations for r in m.violations().collect() if r.n_violations}
+    assert found() == {}
+    twice = spark.createDataFrame([*draws, *[r for r in draws if r.source == "a"][:3]])
+    monkeypatch.setattr(m, "draws", lambda: twice)
+    assert {"document used no more than allowed", "no copy of a document twice", "places without gaps"} <= set(found())
 
 
 def test_tokens_are_those_of_the_vocabulary(spark):
