@@ -80,6 +80,12 @@ ORACLES = {
     "p5_artifact_claims": _OVERLAPS + """select artifact_id, use_kind, case when excluded_by_holdout is not null then coalesce(list_sum(list_transform(map_values(excluded_by_holdout), lambda x: coalesce(x, 0))), 0)::bigint end as n_claimed, coalesce(n, 0) as n_found
       from corpus_artifact left join (select found_key as artifact_id, count(distinct holdout_id) as n from found where found_in = 'corpus_artifact' group by 1) using (artifact_id)""",
     "p6_found": _LEAKS + "select doc_id, item_id from found",
+    "p6_items": _LEAKS + r""", dp as (select doc_id, k, list_aggregate(w[k:k + 11], 'string_agg', ' ') as g from (select doc_id, w, unnest(range(1, len(w) - 10)) as k from d where len(w) >= 12)),
+      ip as (select item_id, k, list_aggregate(w[k:k + 11], 'string_agg', ' ') as g from (select item_id, w, unnest(range(1, len(w) - 10)) as k from i where len(w) >= 12)),
+      met as (select doc_id, item_id, dp.k as place, dp.k - ip.k as line, dp.k - row_number() over (partition by doc_id, item_id, dp.k - ip.k order by dp.k) as island from dp join ip using (g)),
+      runs as (select doc_id, item_id, count(*) + 11 as n from met group by doc_id, item_id, line, island),
+      per_item as (select item_id, count(distinct doc_id) as n_documents, max(n)::int as longest_words from runs group by 1)
+      select item_id, benchmark, split_name, coalesce(n_documents, 0) as n_documents, longest_words from eval_items left join per_item using (item_id)""",
     "p6_clean_documents": _LEAKS + "select doc_id, source, lang, n_chars from documents where doc_id not in (select doc_id from found)",
     "p7_invariants": """select unnest(['quota met to within a document', 'document used no more than allowed', 'no copy of a document twice', 'no copy of a block twice', 'shards alike in blocks',
       'blocks of shards as the tree says', 'places without gaps']) as rule, 0::bigint as n_violations""",

@@ -47,10 +47,10 @@ def made(seed, n_docs=60, n_items=12):
     return docs + [(900, None, "c", 1), (901, "  ", "c", 1), (None, items[0][3], "c", 1), ((1 << 53) + 1, items[1][3], "c", 1)], items
 
 
-@pytest.mark.parametrize(("seed", "least", "chars", "block"), [(1, 5, 4_000_000, 20_000), (2, 5, 50, 20_000), (3, 3, 400, 4), (4, 12, 4_000_000, 20_000)])
+@pytest.mark.parametrize(("seed", "least", "chars", "block"), [(1, 5, 4_000_000, 8_000_000), (2, 5, 50, 8_000_000), (3, 3, 400, 90), (4, 12, 4_000_000, 8_000_000), (5, 4, 4_000_000, 1)])
 def test_against_brute_force(spark, seed, least, chars, block):
     docs, items = made(seed)
-    found = lk.leaked(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), min_words=least, shard_chars=chars, max_items=block)
+    found = lk.leaked(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, ITEMS), min_words=least, shard_chars=chars, item_chars=block)
     assert rows(found.select("doc_id", "item_id", "longest_words")) == brute(docs, items, least)
 
 
@@ -85,3 +85,36 @@ def test_nothing_and_very_long(spark):
     docs = spark.createDataFrame([(1, long, "", 0)], DOCS)
     assert rows(lk.leaked(docs, items)) == [(1, 5, 12, 1, 400_000)]
     assert lk.leaked(docs.limit(0), items).count() == 0 and lk.leaked(docs, items.limit(0)).count() == 0
+
+
+def test_items_that_repeat_themselves(spark, monkeypatch):
+    """By arrays and by automata the same: longest match, stretches, place."""
+    draw = random.Random(11)
+    items = [(i, "b", "s", " ".join(draw.choice("xy") for _ in range(draw.randrange(8, 40)))) for i in range(15)]
+    docs = [(d, " ".join(draw.choice("xyz" if d % 2 else "xyyyy") for _ in range(60)), "c", 1) for d in range(40)]
+    results = []
+    for most in (1, 4, 10**9):
+        monkeypatch.setattr(lk, "MAX_SAME", most)
+        monkeypatch.setattr(lk, "STEP_HITS", 50 if most == 4 else 10**6)
+        found = lk.search_shard([t for _, t, *_ in docs], lk.TestSuffixes([(i, t) for i, _, _, t in items], 6))
+        results.append(found.astype(int).values.tolist())
+    assert results[0] == results[1] == results[2]
+    assert [r[:3] for r in results[0]] == [list(x) for x in sorted(brute(docs, items, 6))]
+
+
+def test_memory_does_not_grow_as_a_product():
+    import tracemalloc
+
+    tests = lk.TestSuffixes([(1, "x " * 1000), (2, "x " * 1000)], 12)
+    tracemalloc.start()
+    found = lk.search_shard(["x " * 40_000, "y"], tests)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.values.tolist() == [[0, 0, 1000, 1, 0]] and tests.ids == [[1, 2]] and peak < 60 << 20  # as hits, 40 million
+
+
+def test_many_copies_of_one_item(spark):
+    passage = " ".join(f"p{i}" for i in range(20))
+    items = spark.createDataFrame([(i, "b", "s", passage) for i in range(500)], ITEMS)
+    docs = spark.createDataFrame([(d, passage + " tail", "", 0) for d in range(20)], DOCS)
+    assert lk.leaked(docs, items).count() == 500 * 20
