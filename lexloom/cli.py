@@ -44,14 +44,17 @@ def check_corpus(paths: CorpusPaths, providers=None) -> int:
 
 def inventory_check(root: Path) -> int:
     """1 if any inventory under ``root`` has no lock or breaks it; a missing root passes."""
-    bad = 0
-    for path in inventory.discover(root):
+    from lexloom.session import session
+
+    bad, found = 0, inventory.discover(root)
+    spark = session("inventory-lock") if found else None
+    for path in found:
         lock = inventory.load_lock(inventory.lock_path_for(path))
         if lock is None:
             print(f"{path}: not locked")
             bad += 1
             continue
-        for violation in inventory.compare(path, inventory.load_entries(path), lock):
+        for violation in inventory.compare(spark, path, inventory.load_entries(path), lock):
             print(violation)
             bad += 1
     return int(bad > 0)

@@ -75,7 +75,8 @@ def build(use: Use, blend: CorpusBlend, descriptors: Iterable[ProviderDescriptor
     Gates are checked on the driver before any job: licence then autophagy, provider by provider in the given order. A provider
     the blend doesn't name for this use isn't part of it. Held-out names are taken out of the blended set, for induction only.
     """
-    in_order = [d for d in descriptors if (e := blend.entry_for(d.id)) and use in e.roles]
+    named = blend.providers(use)
+    in_order = [d for d in descriptors if d.id in named]
     licensing.gate(in_order, use)
     ids = [d.id for d in in_order]
     merged = evidence.where(F.col("provider_id").isin(ids) if ids else F.lit(False)).select("normalized").distinct()

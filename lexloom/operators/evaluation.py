@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.operators.ordering import running_total
-from lexloom.session import broadcast_if_small, with_row
+from lexloom.operators.ordering import quantile, running_total
+from lexloom.session import broadcast_if_small, materialise, with_row
 
 
 def char_grams(name: Column, n: int) -> Column:
@@ -36,22 +36,34 @@ def typicality(names: DataFrame, training: DataFrame, n: int = 2, add: float = 1
     return scored.groupBy("normalized").agg(F.avg(F.log(p)).alias("mean_log_prob"))
 
 
+def kneser_ney_counts(training: DataFrame, n: int) -> DataFrame:
+    """(k, gram, c, context): counts of the n-grams, and of each lower order k in how many continuations a gram stands.
+
+    The n-grams are counted once and written; a gram of order k is the end of as many different (k + 1)-grams as it counts, and
+    these are the ends of the distinct n-grams, so all lower orders come from one pass over them.
+    """
+    top = materialise(_counts(training, n), "ngrams")
+    ends = top.select(F.explode(F.array(*[F.struct(F.lit(k).alias("k"), F.substring("gram", n - k, k + 1).alias("longer")) for k in range(1, n)])).alias("e")).select("e.*").distinct()
+    lower = ends.groupBy("k", F.expr("substring(longer, 2)").alias("gram")).agg(F.count("*").alias("c"))
+    return top.select(F.lit(n).alias("k"), "gram", "c").unionByName(lower).withColumn("context", F.expr("substring(gram, 1, k - 1)"))
+
+
 def kneser_ney(names: DataFrame, training: DataFrame, n: int = 5, discount: float = 0.75) -> DataFrame:
     """(normalized, mean_log_prob, z): interpolated Kneser-Ney of order ``n``, z against all scored names.
 
-    Each order's table of continuation counts is made by one aggregation from the next higher one; scoring joins one table
-    per order. Tables are bounded by the n-grams of the alphabet and broadcast only behind a count.
+    One table holds the counts of all orders, one those of their contexts; a name's places meet both once, order by order in
+    rows. The tables are bounded by the n-grams of the alphabet and broadcast only behind a check of their size.
     """
-    level = {n: _counts(training, n)}
-    for k in range(n - 1, 0, -1):
-        level[k] = level[k + 1].select(F.substring("gram", 2, k).alias("gram")).groupBy("gram").agg(F.count("*").alias("c"))
-    scored = names.select("normalized").distinct().select("normalized", F.posexplode(char_grams(F.col("normalized"), n)).alias("pos", "full"))
+    table = materialise(kneser_ney_counts(training, n), "orders")
+    contexts = materialise(table.groupBy("k", "context").agg(F.sum("c").alias("t"), F.count("*").alias("f")), "contexts")
+    places = names.select("normalized").distinct().select("normalized", F.posexplode(char_grams(F.col("normalized"), n)).alias("pos", "full"))
+    orders = F.array(*[F.struct(F.lit(k).alias("k"), F.substring("full", n - k + 1, k).alias("gram"), F.substring("full", n - k + 1, k - 1).alias("context")) for k in range(1, n + 1)])
+    met = places.select("normalized", "pos", F.explode(orders).alias("o")).select("normalized", "pos", "o.*")
+    met = met.join(broadcast_if_small(table.select("k", "gram", "c")), ["k", "gram"], "left").join(broadcast_if_small(contexts), ["k", "context"], "left")
+    of = lambda k, c: F.max(F.when(F.col("k") == k, F.col(c))).alias(f"{c}{k}")
+    scored = met.groupBy("normalized", "pos").agg(*[of(k, c) for k in range(1, n + 1) for c in "ctf"])
     prob: Column = F.lit(1 / 27)
     for k in range(1, n + 1):
-        table = level[k].withColumn("context", F.substring("gram", 1, k - 1))
-        context = table.groupBy("context").agg(F.sum("c").alias(f"t{k}"), F.count("*").alias(f"f{k}"))
-        scored = scored.withColumn("gram", F.substring("full", n - k + 1, k)).withColumn("context", F.substring("full", n - k + 1, k - 1))
-        scored = scored.join(broadcast_if_small(table.select("gram", F.col("c").alias(f"c{k}"))), "gram", "left").join(broadcast_if_small(context), "context", "left").drop("gram", "context")
         seen = F.greatest(F.coalesce(f"c{k}", F.lit(0)) - F.lit(discount), F.lit(0.0))
         prob = F.when(F.col(f"t{k}").isNull(), prob).otherwise((seen + F.lit(discount) * F.col(f"f{k}") * prob) / F.col(f"t{k}"))
     per_name = scored.groupBy("normalized").agg(F.avg(F.log(prob)).alias("mean_log_prob"))
@@ -111,8 +123,7 @@ def gate_yield(flags: DataFrame, gates: list[str]) -> DataFrame:
 
 def frontier(scores: DataFrame, arm: str, x: str, y: str) -> DataFrame:
     """Per arm the names in each quadrant around the medians of all."""
-    middle = scores.agg(F.percentile(x, F.lit(0.5)).alias("mx"), F.percentile(y, F.lit(0.5)).alias("my"))
-    at = with_row(scores, middle)
+    at = with_row(with_row(scores, quantile(scores, x, 0.5, "mx")), quantile(scores, y, 0.5, "my"))
     high_x, high_y = F.col(x) >= F.col("mx"), F.col(y) >= F.col("my")
     return at.groupBy(arm).agg(F.count_if(high_x & high_y).alias("both"), F.count_if(high_x & ~high_y).alias("only_x"), F.count_if(~high_x & high_y).alias("only_y"), F.count_if(~high_x & ~high_y).alias("neither"))
 

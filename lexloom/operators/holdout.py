@@ -72,10 +72,21 @@ def verify_seal(names: Iterable[str], expected: HoldoutSeal) -> None:
 
 
 def seal_frame(holdout: DataFrame) -> DataFrame:
-    """(content_hash, n_names) of canonical names; a held-out set is small by nature, but its size is checked where it is sealed."""
-    return holdout.agg(
-        F.concat(F.lit("sha256:"), F.sha2(F.array_join(F.array_sort(F.collect_set("normalized")), "\n"), 256)).alias("content_hash"), F.count("*").alias("n_names")
-    )
+    """(content_hash, n_names) of canonical names.
+
+    A hash over names in order is one sequence by its definition: sorted by ranges on the executors, the names run through it one
+    after another, a partition at a time, and are never held together.
+    """
+    digest, n = hashlib.sha256(), 0
+    for row in holdout.select("normalized").distinct().orderBy("normalized").toLocalIterator(prefetchPartitions=True):
+        digest.update(("\n" if n else "").encode() + row["normalized"].encode())
+        n += 1
+    return holdout.sparkSession.createDataFrame([(f"sha256:{digest.hexdigest()}", n)], "content_hash string, n_names bigint")
+
+
+def seal_check(holdout: DataFrame, content_hash: str, minimum: int = MIN_HOLDOUT) -> DataFrame:
+    """One row (content_hash, n_names, is_sealed, is_enough): ``verify_seal`` for a table of canonical names."""
+    return seal_frame(holdout).withColumns({"is_sealed": F.col("content_hash") == content_hash, "is_enough": F.col("n_names") >= minimum})
 
 
 def load_holdout(folder: Path) -> tuple[tuple[str, ...], HoldoutSeal] | None:

@@ -7,7 +7,7 @@ import hashlib
 import json
 from pathlib import Path
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lexloom.errors import SnapshotValidationError
@@ -92,6 +92,23 @@ def truncations(ledger: DataFrame, tolerance: float = SHRINK_TOLERANCE) -> DataF
     return steps(ledger).where(F.col("byte_size") < F.col("previous_size") * (1 - F.lit(tolerance)))
 
 
+def replayed(ledger: DataFrame, tolerance: float = SHRINK_TOLERANCE) -> DataFrame:
+    """(ledger_seq, provider_id, byte_size, accepted) as if each delivery were checked against the last accepted one of its provider, in order.
+
+    A refused delivery isn't recorded, so it doesn't become the measure of the next. A ledger has a row per delivery, so what
+    is gone through in order is as long as a provider has deliveries.
+    """
+    row = F.struct("ledger_seq", "byte_size")
+    begin = F.struct(F.lit(None).cast("bigint").alias("last"), F.array().cast("array<struct<ledger_seq:bigint,byte_size:bigint,accepted:boolean>>").alias("seen"))
+
+    def step(state: Column, r: Column) -> Column:
+        ok = ~F.coalesce((state["last"] > 0) & (r["byte_size"] < state["last"] * (1 - F.lit(tolerance))), F.lit(False))
+        return F.struct(F.when(ok, r["byte_size"]).otherwise(state["last"]).alias("last"), F.concat(state["seen"], F.array(F.struct(r["ledger_seq"].alias("ledger_seq"), r["byte_size"].alias("byte_size"), ok.alias("accepted")))).alias("seen"))
+
+    by_provider = ledger.groupBy("provider_id").agg(F.array_sort(F.collect_list(row)).alias("_rows"))
+    return by_provider.select("provider_id", F.explode(F.aggregate("_rows", begin, step, lambda s: s["seen"])).alias("r")).select("r.ledger_seq", "provider_id", "r.byte_size", "r.accepted")
+
+
 def freshness(ledger: DataFrame, as_of: str) -> DataFrame:
     """(provider_id, last_recorded, age_days) at a given time; clocks of providers differ, so the last by time is taken."""
     at = F.to_timestamp(F.regexp_replace(F.regexp_replace("recorded_at", r"Z$", "+00:00"), " ", "T"))

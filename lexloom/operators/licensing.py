@@ -80,12 +80,9 @@ def artifact_violations(artifacts: DataFrame, providers: DataFrame) -> DataFrame
 
 
 def blend_frame(spark: SparkSession, blend) -> DataFrame:
-    """(blend_id, provider_id, use_kind, weight), the first entry of each provider only."""
-    rows, seen = [], set()
-    for e in blend.entries:
-        if e.provider_id not in seen:
-            seen.add(e.provider_id)
-            rows += [(blend.blend_id, e.provider_id, str(u), float(e.weight)) for u in sorted(e.roles)]
+    """(blend_id, provider_id, use_kind, weight): a row per provider and role, by the first entry of each provider only."""
+    t = blend.table
+    rows = [(blend.blend_id, *r) for r in t.loc[t.counts, ["provider_id", "use_kind", "weight"]].itertuples(index=False)]
     return spark.createDataFrame(rows, "blend_id string, provider_id string, use_kind string, weight double")
 
 

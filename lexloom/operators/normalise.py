@@ -63,13 +63,16 @@ def _listed(df: DataFrame, lexicon: DataFrame | None, flag: str) -> DataFrame:
 
 
 def tagged(accepted: DataFrame, dictionary: DataFrame | None = None, profanity: DataFrame | None = None) -> DataFrame:
-    """Accepted records with a flag per tag. The lexicons are one-column DataFrames, or left out."""
+    """Accepted records with a flag per tag. The lexicons are one-column DataFrames, or left out.
+
+    A record is international if its field of that name holds any text at all.
+    """
     df = _listed(_listed(accepted, dictionary, "dictionary_word"), profanity, "profanity_signal")
     return df.withColumns({
         "probable_acronym": ~F.col("normalized").rlike(f"[{VOWELS}]"),
         "live_registration": F.col("status") == "live",
         "abandoned": F.col("status") == "dead",
-        "international_registration": F.coalesce(F.lower(F.try_element_at("source_fields", F.lit("international_registration"))) == "true", F.lit(False)),
+        "international_registration": F.coalesce(F.try_element_at("source_fields", F.lit("international_registration")) != "", F.lit(False)),
     })
 
 

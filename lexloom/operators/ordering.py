@@ -33,6 +33,20 @@ def running_total(df: DataFrame, order: str, amount: Column, name: str) -> DataF
     return running_totals(df, order, {name: amount})
 
 
+def quantile(df: DataFrame, value: str, q: float, name: str) -> DataFrame:
+    """One row: the exact ``q`` quantile of a number, between two values in proportion; null values don't count, null of nothing.
+
+    Equal values are counted first, and their running count is split by ranges: no task holds the distinct values.
+    """
+    by_value = df.where(F.col(value).isNotNull()).groupBy(F.col(value).cast("double").alias("_v")).agg(F.count("*").alias("_m"))
+    ranked = running_total(by_value, "_v", F.col("_m"), "_before")
+    at = ranked.agg(F.sum("_m").alias("_n")).select(((F.col("_n") - 1) * q).alias("_at")).scalar()
+    low, high = F.floor(at), F.ceil(at)
+    holds = lambda place: (F.col("_before") <= place) & (place < F.col("_before") + F.col("_m"))
+    ends = ranked.agg(F.max(F.when(holds(low), F.col("_v"))).alias("_low"), F.max(F.when(holds(high), F.col("_v"))).alias("_high"))
+    return ends.select((F.col("_low") + (F.col("_high") - F.col("_low")) * (at - low)).alias(name))
+
+
 def grouped_rank(df: DataFrame, group: str, by: str, name: str) -> DataFrame:
     """``df`` with its rank within ``group`` by falling ``by``, ties sharing a rank, nulls last; a group may hold most rows.
 

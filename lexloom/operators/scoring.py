@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lexloom.session import small_enough, with_row
+from lexloom.session import materialise, with_row
 
+#: Postures that are compared with each vector at a time.
 MAX_POSTURES = 1_000
 
 
@@ -28,15 +29,18 @@ def centroids(vectors: DataFrame, label: str, embedding: str) -> DataFrame:
 
 
 def posture_fit(vectors: DataFrame, postures: DataFrame, embedding: str = "embedding", posture: str = "posture", vector: str = "centroid") -> DataFrame:
-    """Cosine of each vector with each posture: a stated set of queries against all rows, refused above ``MAX_POSTURES``.
+    """Cosine of each vector with each posture: a stated set of queries against all rows, in blocks of about ``MAX_POSTURES``.
 
-    The postures are held as one array per row's plan (a scalar subquery), so each vector is read once and nothing is joined.
+    The postures of a block are held as one array (a scalar subquery), so a block reads each vector once and nothing is joined.
     """
-    if not small_enough(postures, MAX_POSTURES):
-        raise ValueError(f"more than {MAX_POSTURES} postures: search in blocks")
-    queries = postures.agg(F.collect_list(F.struct(F.col(posture).alias("posture"), F.col(vector).alias("c"))).alias("_queries"))
-    met = with_row(vectors, queries).select(*vectors.columns, F.explode("_queries").alias("_q"))
-    return met.select(*vectors.columns, F.col("_q.posture").alias("posture"), cosine(F.col(embedding), F.col("_q.c")).alias("fit"))
+    postures = materialise(postures.select(F.col(posture).alias("posture"), F.col(vector).alias("c")), "postures")
+    n_blocks, found = -(-postures.count() // MAX_POSTURES) or 1, None
+    for block in range(n_blocks):
+        queries = postures.where(F.pmod(F.xxhash64("posture"), F.lit(n_blocks)) == block).agg(F.collect_list(F.struct("posture", "c")).alias("_queries"))
+        met = with_row(vectors, queries).select(*vectors.columns, F.explode("_queries").alias("_q"))
+        part = met.select(*vectors.columns, F.col("_q.posture").alias("posture"), cosine(F.col(embedding), F.col("_q.c")).alias("fit"))
+        found = part if found is None else found.unionByName(part)
+    return found
 
 
 def composite(scores: DataFrame, weights: Mapping[str, float], name: str = "composite") -> DataFrame:
@@ -47,6 +51,20 @@ def composite(scores: DataFrame, weights: Mapping[str, float], name: str = "comp
     return scores.withColumn(name, F.try_divide(top, bottom))
 
 
+def explain(scores: DataFrame, key: Sequence[str], weights: Mapping[str, float], origins: Mapping[str, tuple[str, str, str]], name: str = "composite") -> DataFrame:
+    """(key, number, value, weight, part, layer, writer, version): a row per number, those that make up a composite with their weight and part of it.
+
+    ``origins`` has layer, writer and version of every number; one that isn't named there is refused.
+    """
+    unknown = sorted({*weights, name} - set(origins))
+    if unknown:
+        raise ValueError(f"no origin is known of {', '.join(unknown)}")
+    total = sum((F.when(F.col(c).isNotNull(), w).otherwise(0.0) for c, w in weights.items()), F.lit(0.0))
+    made = composite(scores, weights, name)
+    row = lambda c, w: F.struct(F.lit(c).alias("number"), F.col(c).cast("double").alias("value"), F.lit(w).cast("double").alias("weight"), F.try_divide(F.col(c) * w, total).cast("double").alias("part") if w is not None else F.lit(None).cast("double").alias("part"), *[F.lit(x).alias(k) for k, x in zip(("layer", "writer", "version"), origins[c], strict=True)])
+    return made.select(*key, F.explode(F.array(row(name, None), *[row(c, w) for c, w in weights.items()])).alias("_r")).select(*key, "_r.*")
+
+
 def composite_view(scores: DataFrame, weights: Mapping[str, float], view: str) -> None:
     """Register the composite as a temporary view: computed where it is read, never stored."""
     composite(scores, weights).createOrReplaceTempView(view)

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from lexloom.functions.phonetic import phonetic_key
 from lexloom.operators.holdout import deletion_keys
-from lexloom.session import broadcast_if_small, materialise
+from lexloom.operators.ordering import quantile
+from lexloom.session import broadcast_if_small, materialise, with_row
 
 
 def signals(candidates: DataFrame, marks: DataFrame, phonetic: bool = True) -> DataFrame:
@@ -28,10 +29,24 @@ def signals(candidates: DataFrame, marks: DataFrame, phonetic: bool = True) -> D
 
 
 def signal_counts(found: DataFrame) -> DataFrame:
-    """Signals per candidate and kind."""
+    """Signals per candidate and kind; no verdict."""
     return found.groupBy("candidate", "match_type").agg(F.count("*").alias("n_signals"), F.max("similarity").alias("best_similarity"))
 
 
+def signal_counts_by_class(found: DataFrame, classes: DataFrame) -> DataFrame:
+    """Signals per candidate, kind and class of goods (``classes``: mark, class; a mark may have several), and the closest of each; marks without a class as ``none``."""
+    known = found.join(classes.select("mark", "class").where("class is not null").distinct(), "mark", "left").withColumn("class", F.coalesce("class", F.lit("none")))
+    return known.groupBy("candidate", "match_type", "class").agg(F.count("*").alias("n_signals"), F.max("similarity").alias("best_similarity"))
+
+
+def collision_gate(candidates: DataFrame, words: DataFrame) -> DataFrame:
+    """(normalized, collides): candidates that are a real word or a known brand (``words``, column normalized), or sound like one: word, sound, or null for none."""
+    c, w = candidates.select("normalized").distinct(), words.select("normalized").where(F.col("normalized").isNotNull()).distinct()
+    heard = w.select(phonetic_key(F.col("normalized")).alias("_code")).where("_code <> ''").distinct().withColumn("_heard", F.lit(True))
+    met = c.withColumn("_code", phonetic_key(F.col("normalized"))).join(broadcast_if_small(w.withColumn("_read", F.lit(True))), "normalized", "left").join(broadcast_if_small(heard), "_code", "left")
+    return met.select("normalized", F.when(F.col("_read"), "word").when(F.col("_heard"), "sound").alias("collides"))
+
+
 def lexicon_gate(candidates: DataFrame, lexicon: DataFrame, severity: str = "blocking") -> DataFrame:
     """Candidates that no language's lexicon (word, language, severity) blocks."""
     blocked = lexicon.where(F.col("severity") == severity).select(F.lower("word").alias("normalized")).distinct()
@@ -43,12 +58,12 @@ def _pieces(name: Column, n: Column, width: int) -> Column:
     return F.transform(F.sequence(F.lit(0), F.greatest(n - width, F.lit(0))), lambda at: F.struct(at.cast("int").alias("pos"), F.substring(name, at + 1, F.lit(width)).alias("piece")))
 
 
-def novelty(candidates: DataFrame, corpus: DataFrame, most: int = 2, max_length: int = 16) -> DataFrame:
+def distances_within(candidates: DataFrame, corpus: DataFrame, most: int = 2, max_length: int = 16) -> DataFrame:
     """(normalized, min_distance): the least edit distance of each candidate to the corpus, at most ``most`` (null beyond that).
 
     Lossless blocking: a name within distance k of another shares with it one of the k + 1 pieces it is cut into, shifted by
     at most k. Candidates are the bounded side (pieces are broadcast if counted small); each corpus name is scanned once.
-    Candidates have more than ``most`` and at most ``max_length`` letters; others get null.
+    Candidates have more than ``most`` and at most ``max_length`` letters; others get null, and ``novelty`` finds the distance of these too.
     """
     pieces = most + 1
     c = candidates.select("normalized").distinct()
@@ -74,16 +89,16 @@ def novelty(candidates: DataFrame, corpus: DataFrame, most: int = 2, max_length:
     return c.join(met.groupBy("normalized").agg(F.min("d").alias("min_distance")), "normalized", "left")
 
 
-def _least_distances(candidates: DataFrame, corpus: DataFrame) -> DataFrame:
+def novelty(candidates: DataFrame, corpus: DataFrame) -> DataFrame:
     """(normalized, min_distance): the exact least edit distance of each distinct candidate to the corpus; null only against an empty corpus.
 
-    ``novelty`` finds those within two; for the rest the bound doubles from round to round over bands of length, until it
+    ``distances_within`` finds those within two; for the rest the bound doubles from round to round over bands of length, until it
     covers the longest name and each has its distance.
     """
     c, grams = candidates.select("normalized").where(F.col("normalized").isNotNull()).distinct(), corpus.select(F.col("normalized").alias("name")).where(F.col("normalized").isNotNull()).distinct()
     longest = lambda df, name: df.agg(F.coalesce(F.max(F.length(name)), F.lit(0))).first()[0]
     bound, most = 4, max(longest(c, "normalized"), longest(grams, "name"))
-    known = materialise(novelty(c, grams.withColumnRenamed("name", "normalized")), "novelty")
+    known = materialise(distances_within(c, grams.withColumnRenamed("name", "normalized")), "novelty")
     done, rest = known.where(F.col("min_distance").isNotNull()), known.where(F.col("min_distance").isNull()).select("normalized")
     while not rest.isEmpty():
         banded = rest.withColumn("n", F.explode(F.sequence(F.greatest(F.length("normalized") - bound, F.lit(0)), F.length("normalized") + bound)))
@@ -103,16 +118,18 @@ def novelty_distances(candidates: DataFrame, corpus: DataFrame) -> DataFrame:
     coded = lambda df: df.select("normalized").where(F.col("normalized").isNotNull()).distinct().withColumn("code", phonetic_key(F.col("normalized")))
     mine = materialise(coded(candidates), "novelty")
     codes = lambda df: df.where("code <> ''").select(F.col("code").alias("normalized")).distinct()
-    sounds = _least_distances(codes(mine), materialise(codes(coded(corpus)), "novelty")).select(F.col("normalized").alias("code"), F.col("min_distance").alias("phonetic_distance"))
-    letters = _least_distances(mine.select("normalized"), corpus).withColumnRenamed("min_distance", "edit_distance")
+    sounds = novelty(codes(mine), materialise(codes(coded(corpus)), "novelty")).select(F.col("normalized").alias("code"), F.col("min_distance").alias("phonetic_distance"))
+    letters = novelty(mine.select("normalized"), corpus).withColumnRenamed("min_distance", "edit_distance")
     return letters.join(mine.join(sounds, "code", "left").select("normalized", "phonetic_distance"), "normalized", "left")
 
 
 def novelty_summary(distances: DataFrame) -> DataFrame:
     """One row: the number of names, and of both distances the least (for any collision floor) and the 95th percentile."""
-    return distances.agg(F.count("*").alias("n_names"), *[
-        f.alias(f"{kind}_{name}") for kind in ("edit", "phonetic") for name, f in (("least", F.min(f"{kind}_distance")), ("p95", F.percentile(f"{kind}_distance", F.lit(0.95))))
-    ])
+    known = materialise(distances, "distances")
+    found = known.agg(F.count("*").alias("n_names"), F.min("edit_distance").alias("edit_least"), F.min("phonetic_distance").alias("phonetic_least"))
+    for kind in ("edit", "phonetic"):
+        found = with_row(found, quantile(known, f"{kind}_distance", 0.95, f"{kind}_p95"))
+    return found.select("n_names", "edit_least", "edit_p95", "phonetic_least", "phonetic_p95")
 
 
 def confusable_skeleton(c):

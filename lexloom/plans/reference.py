@@ -110,7 +110,7 @@ def funnel_rollup(spark, folder):
 
 
 @query(f"""with {_BASE} select normalized, bool_or(status = 'dead') as abandoned, bool_or(normalized in (select lower(normalized) from provider_counts where normalized is not null)) as dictionary_word,
-  bool_or(coalesce(lower(source_fields['international_registration']) = 'true', false)) as international_registration, bool_or(status = 'live') as live_registration,
+  bool_or(coalesce(source_fields['international_registration'] <> '', false)) as international_registration, bool_or(status = 'live') as live_registration,
   bool_or(not regexp_matches(normalized, '[aeiouy]')) as probable_acronym, bool_or(normalized in (select normalized from held)) as profanity_signal from accepted group by 1""")
 def tag_flags(spark, folder):
     tagged = normalise.normalise(_records(spark, folder), table(spark, folder, "provider_counts").select("normalized"), _held(spark, folder))
@@ -207,33 +207,35 @@ def induction_eligible(spark, folder):
     return _providers(spark, folder).join(F.broadcast(licensing.matrix(spark).where("use_kind = 'induction'")), "licence", "left_semi").select("provider_id")
 
 
-def _blend(spark: SparkSession, folder: str) -> CorpusBlend:
-    """Registry providers for everything, usage providers for saturation only; providers are few."""
-    rows = _providers(spark, folder).orderBy("provider_id").collect()
-    roles = {"registry": frozenset(Use), "usage": frozenset({Use.SATURATION})}
-    return CorpusBlend("blend-test", tuple(BlendEntry(r["provider_id"], roles[r["kind"]], 2.0 if r["kind"] == "registry" else 0.5) for r in rows if r["kind"] in roles))
+def _descriptors(spark: SparkSession, folder: str) -> list[ProviderDescriptor]:
+    """The providers, which are few."""
+    return [ProviderDescriptor(r["provider_id"], r["provider_id"], ProviderKind(r["kind"]), LicenceClass(r["licence"])) for r in _providers(spark, folder).orderBy("provider_id").collect()]
+
+
+def _blend(descriptors: list[ProviderDescriptor]) -> CorpusBlend:
+    """Registry providers for everything, usage providers for saturation only."""
+    roles = {ProviderKind.REGISTRY: frozenset(Use), ProviderKind.USAGE: frozenset({Use.SATURATION})}
+    return CorpusBlend("blend-test", tuple(BlendEntry(d.id, roles[d.kind], 2.0 if d.kind == ProviderKind.REGISTRY else 0.5) for d in descriptors if d.kind in roles))
 
 
 @query(f"""with {_PROVIDERS_SQL}, {_BASE} select normalized, provider_id, record_count, case when kind = 'registry' then 2.0::double else 0.5::double end as weight,
   record_count * case when kind = 'registry' then 2.0::double else 0.5::double end as weighted_count from saturation join providers on split_part(provider_id, '.', 1) = prefix where kind in ('registry', 'usage')""")
 def blend_contributors(spark, folder):
     evidence = aggregate.saturation(_accepted(spark, folder))
-    return licensing.contributors(evidence, licensing.blend_frame(spark, _blend(spark, folder)), Use.SATURATION).select("normalized", "provider_id", "record_count", "weight", "weighted_count")
-
-
-def _descriptors(spark: SparkSession, folder: str) -> list[ProviderDescriptor]:
-    return [ProviderDescriptor(r["provider_id"], r["provider_id"], ProviderKind(r["kind"]), LicenceClass(r["licence"])) for r in _providers(spark, folder).orderBy("provider_id").collect()]
+    return licensing.contributors(evidence, licensing.blend_frame(spark, _blend(_descriptors(spark, folder))), Use.SATURATION).select("normalized", "provider_id", "record_count", "weight", "weighted_count")
 
 
 @query(f"with {_PROVIDERS_SQL}, {_BASE} select distinct normalized from saturation join providers on split_part(provider_id, '.', 1) = prefix where kind = 'registry'")
 def artifact_names(spark, folder):
-    return artifact.build(Use.NOVELTY_REFERENCE, _blend(spark, folder), _descriptors(spark, folder), aggregate.saturation(_accepted(spark, folder))).names
+    known = _descriptors(spark, folder)
+    return artifact.build(Use.NOVELTY_REFERENCE, _blend(known), known, aggregate.saturation(_accepted(spark, folder))).names
 
 
 @query(None)
 def induction_artifact(spark, folder):
     """The clean induction names of the registries: gates, blended set, three exclusion keys (a phonetic code has no SQL form)."""
-    return artifact.build(Use.INDUCTION, _blend(spark, folder), _descriptors(spark, folder), aggregate.saturation(_accepted(spark, folder)), _held(spark, folder)).names
+    known = _descriptors(spark, folder)
+    return artifact.build(Use.INDUCTION, _blend(known), known, aggregate.saturation(_accepted(spark, folder)), _held(spark, folder)).names
 
 
 @query("""select artifact_id, 'sha256:' || substr(sha256(concat_ws('|', use_kind, blend_id, array_to_string(list_sort(list_distinct(names)), '|'))), 1, 32) as content_id from corpus_artifact""")
@@ -376,18 +378,12 @@ def screening_counts(spark, folder):
     return screening.signal_counts(screening.signals(_accepted(spark, folder).select("normalized"), _held(spark, folder)))
 
 
-@query(f"""with {_BASE}, c as (select distinct normalized from accepted) select h.normalized, min(levenshtein(h.normalized, c.normalized)) filter (levenshtein(h.normalized, c.normalized) <= 2) as min_distance
-  from held h cross join c where length(h.normalized) between 3 and 16 group by 1 union all select normalized, null from held where length(normalized) not between 3 and 16""")
+@query(f"""with {_BASE}, c as (select distinct normalized from accepted) select h.normalized, min(levenshtein(h.normalized, c.normalized)) as min_distance from held h cross join c group by 1""")
 def novelty_min_distance(spark, folder):
+    """The least edit distance of every held-out name, however far or long."""
     return screening.novelty(_held(spark, folder), _accepted(spark, folder))
 
 
-@query(f"""with {_BASE}, c as (select distinct normalized from accepted) select h.normalized, min(levenshtein(h.normalized, c.normalized)) as edit_distance from held h cross join c group by 1""")
-def novelty_edit_distance(spark, folder):
-    """The least edit distance of every held-out name, however far or long; ``novelty_min_distance`` ends at two."""
-    return screening.novelty_distances(_held(spark, folder), _accepted(spark, folder)).select("normalized", "edit_distance")
-
-
 @query(None)
 def novelty_distances(spark, folder):
     return screening.novelty_distances(_held(spark, folder), _accepted(spark, folder))
@@ -449,9 +445,25 @@ def typicality_overlap(spark, folder):
     return evaluation.histogram_overlap(a, h, "mean_log_prob", 0.25).select(F.round("overlap", 6).alias("overlap"))
 
 
-@query(None)
+_LEVELS = ", ".join(f"l{k} as (select substr(gram, 2) as gram, count(*) as c from l{k + 1} group by 1)" for k in (4, 3, 2, 1))
+_CONTEXTS = ", ".join(f"x{k} as (select substr(gram, 1, {k - 1}) as context, sum(c) as t, count(*) as f from l{k} group by 1)" for k in range(1, 6))
+
+
+def _kneser_ney_sql() -> str:
+    p = "(1 / 27.0::double)"
+    for k in range(1, 6):
+        p = f"(case when x{k}.t is null then {p} else (greatest(coalesce(l{k}.c, 0) - 0.75::double, 0) + 0.75::double * x{k}.f * {p}) / x{k}.t end)"
+    joins = " ".join(f"left join l{k} on l{k}.gram = substr(q, {6 - k}, {k}) left join x{k} on x{k}.context = substr(q, {6 - k}, {k - 1})" for k in range(1, 6))
+    grams = lambda source: f"select normalized, unnest(list_transform(range(1, length(normalized) + 2), lambda i: substr('^^^^' || normalized || '$', i, 5))) as q from {source}"
+    return f"""with {_BASE}, n as (select distinct normalized from accepted), l5 as (select q as gram, count(*) as c from ({grams('n')}) group by 1), {_LEVELS}, {_CONTEXTS},
+      s as (select normalized, avg(ln({p})) as m from ({grams('held')}) {joins} group by 1)
+      select normalized, round(m, 6) as mean_log_prob, round((m - (select avg(m) from s)) / (select stddev_samp(m) from s), 6) as z from s"""
+
+
+@query(_kneser_ney_sql())
 def kneser_ney_typicality(spark, folder):
-    return evaluation.kneser_ney(_held(spark, folder), _accepted(spark, folder).select("normalized").distinct())
+    found = evaluation.kneser_ney(_held(spark, folder), _accepted(spark, folder).select("normalized").distinct())
+    return found.select("normalized", F.round("mean_log_prob", 6).alias("mean_log_prob"), F.round("z", 6).alias("z"))
 
 
 @query(f"""with {_BASE} select count(*) as n_in, 'live' as gate, 0 as position, count(*) filter (status = 'live') as n_out from accepted
@@ -528,10 +540,13 @@ def built_names(spark, folder):
     return addressing.build(addressing.enumerate_range(spark, 0, 300), POSITIONS)
 
 
-@query("select 10007 as n_rows, 10007 as n_distinct, 0::bigint as least, 10006::bigint as greatest")
+@query("select 10000019::bigint as n_rows, 10000019::bigint as n_distinct, 0::bigint as least, 10000018::bigint as greatest")
 def feistel_bijection(spark, folder):
-    moved = addressing.enumerate_range(spark, 0, 10_007).select(addressing.permuted(F.col("idx"), 10_007, 42).alias("at"))
-    return moved.agg(F.count("*").cast("int").alias("n_rows"), F.count_distinct("at").cast("int").alias("n_distinct"), F.min("at").alias("least"), F.max("at").alias("greatest"))
+    """Ten million indices permuted: no two alike. Each is counted by its value, so no task holds them all."""
+    size = 10_000_019
+    moved = addressing.enumerate_range(spark, 0, size).select(addressing.permuted(F.col("idx"), size, 42).alias("at"))
+    by_value = moved.groupBy("at").agg(F.count("*").alias("n"))
+    return by_value.agg(F.sum("n").alias("n_rows"), F.count("*").alias("n_distinct"), F.min("at").alias("least"), F.max("at").alias("greatest"))
 
 
 @query("select 0::bigint as n_different, 300::bigint as n_rows")
@@ -544,12 +559,23 @@ def shard_equivalence(spark, folder):
     return both.agg(F.count_if(~F.col("a").eqNullSafe(F.col("surface"))).alias("n_different"), F.count("*").alias("n_rows"))
 
 
-@query(f"""with {_BASE}, c as (select distinct normalized from accepted) select normalized, case when regexp_matches(normalized, '[^aeiouy]{{4}}') then 'cluster' when regexp_matches(normalized, '[aeiouy]{{3}}') then 'hiatus'
-  when regexp_matches(normalized, '(aa|bb|cc|dd|ee|ff|gg|hh|ii|jj|kk|ll|mm|nn|oo|pp|qq|rr|ss|tt|uu|vv|ww|xx|yy|zz)') then 'repeat' end as failed_gate from c""")
+#: The letters of the test names as a language: sonority, vowels, longest cluster, letters that every language of a list can say (values of these queries).
+LETTERS = phonology.LanguagePack(
+    "letters", {c: rank for rank, group in enumerate(("ptkbdgqcjx", "sfvzh", "mn", "lr", "w", "aeiouy"), 1) for c in group}, frozenset("aeiouy"), 3, frozenset("aeioumnptksl"),
+)
+
+
+@query(f"""with {_BASE}, c as (select distinct normalized from accepted) select normalized, case when regexp_matches(normalized, '[^aeiouy]{{4}}') then 'cluster' when regexp_matches(normalized, '[aeiouy]{{2}}') then 'hiatus'
+  when regexp_matches(normalized, '(aa|bb|cc|dd|ee|ff|gg|hh|ii|jj|kk|ll|mm|nn|oo|pp|qq|rr|ss|tt|uu|vv|ww|xx|yy|zz)') then 'repeat'
+  when not regexp_full_match(translate(regexp_extract(normalized, '^[^aeiouy]*'), 'ptkbdgqcjxsfvzhmnlrw', '11111111112222233445'), '1?2?3?4?5?') then 'sonority'
+  when not regexp_full_match(normalized, '[aeioumnptksl]+') then 'unsafe' end as failed_gate from c""")
 def gate_funnel(spark, folder):
-    names = _accepted(spark, folder).select("normalized").distinct()
-    checks = [("cluster", ~F.col("normalized").rlike("[^aeiouy]{4}")), ("hiatus", ~F.col("normalized").rlike("[aeiouy]{3}")), ("repeat", ~F.col("normalized").rlike(r"(.)\1"))]
-    return phonology.gates(names, checks)
+    letters, onset = F.split("normalized", ""), F.regexp_extract("normalized", "^[^aeiouy]*", 0)
+    checks = [
+        ("cluster", phonology.clusters_within(letters, LETTERS)), ("hiatus", phonology.no_hiatus(letters, LETTERS)), ("repeat", phonology.no_repeat(letters)),
+        ("sonority", phonology.sonority_rises(F.when(onset == "", F.array().cast("array<string>")).otherwise(F.split(onset, "")), LETTERS)), ("unsafe", phonology.globally_safe(letters, LETTERS)),
+    ]
+    return phonology.gates(_accepted(spark, folder).select("normalized").distinct(), checks)
 
 
 @query(f"""with {_BASE}, c as (select distinct normalized, regexp_replace(normalized, '[aeiouy]', '', 'g') as skeleton from accepted), r as (select c.skeleton, c.normalized, total_count,
@@ -568,16 +594,14 @@ def windowed_facts(spark, folder):
     return found.select(F.date_format("window_start", "yyyy-MM-dd HH:mm:ss").alias("window_start"), "source", "n_facts", F.round("mean_confidence", 6).alias("mean_confidence"))
 
 
-@query("select user_id as candidate_id, max(value) as confidence from events group by 1")
+@query("""select user_id as candidate_id, value as confidence, event_type as source, ts as checked_at from (select *, row_number() over (partition by user_id order by value desc, ts desc, event_type desc) as r from events) where r = 1""")
 def streamed_best_facts(spark, folder):
     """The events read as a stream, the best fact per candidate kept as state over micro-batches; equal to the batch result."""
     events = spark.readStream.schema(table(spark, folder, "events").schema).option("maxFilesPerTrigger", 1).option("pathGlobFilter", "events*").parquet(f"{folder}/events.parquet*")
     rows = events.select(F.col("user_id").alias("candidate_id"), F.col("event_type").alias("source"), F.lit("free").alias("status"), F.col("value").alias("confidence"), F.col("ts").alias("checked_at"))
     place, state = scratch_path(spark, "best"), scratch_path(spark, "state")
-    running = streams.upsert_best(rows, place, state)
-    running.awaitTermination()
-    last = max(p["batchId"] for p in running.recentProgress) if running.recentProgress else 0
-    return spark.read.parquet(f"{place}/v={last}").select("candidate_id", "confidence")
+    streams.upsert_best(rows, place, state).awaitTermination()
+    return streams.best_so_far(spark, place).select("candidate_id", "confidence", "source", "checked_at")
 
 
 @query("""with g as (select user_id, ts, case when ts - lag(ts) over (partition by user_id order by ts) < interval 30 minute then 0 else 1 end as fresh from events),
@@ -620,9 +644,9 @@ def vote_tally(spark, folder):
     return facts.tally(votes)
 
 
-@query(f"with {_FACTS} select source, count(*) filter (expires_at <= timestamp '2024-02-15') as n_expired from f group by 1")
+@query(f"with {_FACTS} select source, max(checked_at) as last_checked, count(*) filter (expires_at <= timestamp '2024-02-15') as n_expired from f group by 1")
 def fact_freshness(spark, folder):
-    return facts.freshness(_facts(spark, folder), F.lit("2024-02-15").cast("timestamp_ntz")).select("source", "n_expired")
+    return facts.freshness(_facts(spark, folder), F.lit("2024-02-15").cast("timestamp_ntz"))
 
 
 _SHARES = "p as (select l_suppkey as item, l_returnflag as dimension, l_discount as value, l_quantity as salience, l_tax as weight, l_linenumber = 1 as is_head from lineitem)"
@@ -652,41 +676,19 @@ def domain_fit(spark, folder):
     return scoring.domain_fit(_parts(spark, folder).withColumnRenamed("dimension", "domain")).select("item", "domain", F.round("value", 6).alias("value"))
 
 
-@query(f"""with {_BASE} select normalized, case when length(normalized) between 5 and 8 then 1.0 when length(normalized) <= 3 or length(normalized) >= 14 then 0.0 when length(normalized) < 5
-  then (length(normalized) - 3) / 2.0 else round((14 - length(normalized)) / 6.0, 6) end::double as length_score,
-  round(((case when contains(substr(normalized, 2), normalized[1]) then 1 else 0 end) + (case when length(normalized) <= 8 then 1 else 0 end)) / 3.0, 6)::double as memorable from (select distinct normalized from accepted)""")
-def name_scores(spark, folder):
-    """Length curve and two signs of a memorable name, as in the SQL; ``name_scores_full`` has all three."""
-    names = _accepted(spark, folder).select("normalized").distinct()
-    n = F.col("normalized")
-    signs = (F.substring(n, 2, 99).contains(F.substring(n, 1, 1)).cast("int") + (F.length(n) <= 8).cast("int")) / 3
-    return names.select("normalized", F.round(scoring.length_curve(F.length(n), 3, 5, 8, 14), 6).alias("length_score"), F.round(signs, 6).alias("memorable"))
-
-
 @query(f"""with {_BASE} select normalized, case when length(normalized) between 5 and 8 then 1.0 when length(normalized) <= 3 or length(normalized) >= 14 then 0.0 when length(normalized) < 5
   then (length(normalized) - 3) / 2.0 else round((14 - length(normalized)) / 6.0, 6) end::double as length_score,
   round(((case when contains(substr(normalized, 2), normalized[1]) then 1 else 0 end) + (case when length(normalized) <= 8 then 1 else 0 end)
   + (case when len(list_filter(range(1, length(normalized) - 2), lambda i: contains(substr(normalized, i + 2), substr(normalized, i, 2)))) > 0 then 1 else 0 end)) / 3.0, 6)::double as memorable from (select distinct normalized from accepted)""")
-def name_scores_full(spark, folder):
+def name_scores(spark, folder):
     names, n = _accepted(spark, folder).select("normalized").distinct(), F.col("normalized")
     return names.select("normalized", F.round(scoring.length_curve(F.length(n), 3, 5, 8, 14), 6).alias("length_score"), F.round(scoring.memorability(n), 6).alias("memorable"))
 
 
-@query(None)
-def lexical_mutation_list(spark, folder):
-    return _held(spark, folder).select("normalized", F.explode(phonology.mutations(F.col("normalized"))).alias("mutation"))
-
-
-@query(f"""with {_BASE} select normalized, translate(normalized, 'aeiou', 'eioua') as shifted, regexp_replace(normalized, '[aeiouy]([^aeiouy]*)$', '\\1') as cut,
-  substr(normalized, length(normalized) // 2 + 1) || substr(normalized, 1, length(normalized) // 2) as swapped from held""")
+@query(f"""with {_BASE} select normalized, unnest(list_distinct([translate(normalized, 'aeiou', 'eioua'), regexp_replace(normalized, '[aeiouy]([^aeiouy]*)$', '\\1'),
+  substr(normalized, length(normalized) // 2 + 1) || substr(normalized, 1, length(normalized) // 2)])) as mutation from held""")
 def lexical_mutations(spark, folder):
-    made = phonology.mutations(F.col("normalized"))
-    n, half = F.col("normalized"), F.floor(F.length("normalized") / 2).cast("int")
-    df = _held(spark, folder).withColumn("_m", made)
-    return df.select(
-        "normalized", F.col("_m")[0].alias("shifted"), F.regexp_replace(n, "[aeiouy]([^aeiouy]*)$", "$1").alias("cut"),
-        F.concat(F.substring(n, half + 1, F.length(n)), F.substring(n, F.lit(1), half)).alias("swapped"),
-    )
+    return _held(spark, folder).select("normalized", F.explode(phonology.mutations(F.col("normalized"))).alias("mutation"))
 
 
 @query(f"with {_BASE} select distinct normalized from accepted where normalized not in (select normalized from held where length(normalized) > 7)")
@@ -707,7 +709,9 @@ def ledger_steps(spark, folder):
     return ledger.steps(table(spark, folder, "snapshot_ledger")).select("ledger_seq", "previous_size", F.round("lost_share", 9).alias("lost_share"))
 
 
-@query("""with a as (select event_type as arm, count(*) as n, avg((value > 10)::int::double) as p from events group by 1) select arm, n as n_answers, round(p, 9) as accuracy from a""")
+@query("""with a as (select event_type as arm, count(*) as n, avg((value > 10)::int::double) as p from events group by 1), z as (select *, abs(p - 0.5) / sqrt(0.25 / n) as z from a), t as (select *, 1 / (1 + 0.3275911 * z / sqrt(2.0)) as t from z)
+  select arm, n as n_answers, round(p, 9) as accuracy,
+    round(t * (0.254829592 + t * (-0.284496736 + t * (1.421413741 + t * (-1.453152027 + t * 1.061405429)))) * exp(-z * z / 2), 6) as p_value from t""")
 def forced_choice(spark, folder):
     answers = table(spark, folder, "events").select(F.col("event_type").alias("arm"), (F.col("value") > 10).alias("is_right"))
-    return scoring.forced_choice(answers).select("arm", "n_answers", F.round("accuracy", 9).alias("accuracy"))
+    return scoring.forced_choice(answers).select("arm", "n_answers", F.round("accuracy", 9).alias("accuracy"), F.round("p_value", 6).alias("p_value"))
\ No newline at end of file

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -28,19 +28,32 @@ def sessions(events: DataFrame, gap: str = "30 minutes", delay: str = "1 hour")
     return grouped.agg(F.count("*").alias("n_events")).select("user_id", F.col("session_window.start").alias("session_start"), F.col("session_window.end").alias("session_end"), "n_events")
 
 
+FACT_COLUMNS = ["candidate_id", "confidence", "checked_at", "source", "status"]
+
+
+def _best(facts: DataFrame) -> DataFrame:
+    best = facts.groupBy("candidate_id").agg(F.max(F.struct(*FACT_COLUMNS[1:])).alias("f"))
+    return best.select("candidate_id", "f.*")
+
+
 def upsert_best(facts: DataFrame, path: str, checkpoint: str) -> StreamingQuery:
-    """The best fact per candidate, kept in versions of a table: each micro-batch merges its facts into the latest version.
+    """The best fact per candidate as the engine's own keyed state; each micro-batch writes the candidates whose best fact changed.
 
-    A batch that is run again reads the version before it and writes the same one, so a lost executor or driver repeats nothing.
+    A batch costs what it changes, not what the state holds. Run again after a failure it writes the same folder anew, so a lost
+    executor or driver repeats nothing. ``best_so_far`` reads the changes, ``compact`` makes one of many.
     """
 
-    def merge(batch: DataFrame, epoch: int) -> None:
-        spark = batch.sparkSession
-        columns = ["candidate_id", "confidence", "checked_at", "source", "status"]
-        rows = batch.select(*columns)
-        if epoch > 0:
-            rows = rows.unionByName(spark.read.parquet(f"{path}/v={epoch - 1}").select(*columns))
-        best = rows.groupBy("candidate_id").agg(F.max(F.struct("confidence", "checked_at", "source", "status")).alias("f")).select("candidate_id", "f.*")
-        best.write.mode("overwrite").parquet(f"{path}/v={epoch}")
+    def changed(batch: DataFrame, epoch: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={epoch:09d}")
+
+    return _best(facts).writeStream.outputMode("update").foreachBatch(changed).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+def best_so_far(spark: SparkSession, path: str) -> DataFrame:
+    """The best fact per candidate from all changes written; a change written twice makes no difference."""
+    return _best(spark.read.option("recursiveFileLookup", "true").parquet(path).select(*FACT_COLUMNS))
+
 
-    return facts.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+def compact(spark: SparkSession, path: str, to: str) -> None:
+    """The changes below ``path`` as one table below ``to``; what is read there is the same."""
+    best_so_far(spark, path).write.mode("overwrite").parquet(f"{to}/base")

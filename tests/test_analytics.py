@@ -76,16 +76,15 @@ def test_every_name_has_its_distance(spark):
 
 def test_novelty_is_the_least_distance(spark):
     corpus = ["corvane", "figma", "lumeris", "abc", "zeprix"]
-    found = {r.normalized: r.min_distance for r in screening.novelty(names(spark, "corvane", "korvanne", "fgima", "xyz", "ab", "lumexxis"), names(spark, *corpus)).collect()}
+    found = {r.normalized: r.min_distance for r in screening.distances_within(names(spark, "corvane", "korvanne", "fgima", "xyz", "ab", "lumexxis"), names(spark, *corpus)).collect()}
     assert found == {"corvane": 0, "korvanne": 2, "fgima": 2, "xyz": None, "ab": None, "lumexxis": 2}
 
 
 def test_whole_operators_are_registered(spark, folder, monkeypatch):
-    scores = QUERIES["name_scores_full"](spark, folder).collect()
+    scores = QUERIES["name_scores"](spark, folder).collect()
     signs = lambda n: (n[0] in n[1:]) + (len(n) <= 8) + any(n[i : i + 2] in n[i + 2 :] for i in range(len(n) - 3))
     assert all(r.memorable == pytest.approx(signs(r.normalized) / 3, abs=1e-6) for r in scores)
-    assert rows(QUERIES["name_scores"](spark, folder).select("normalized", "memorable")) != sorted([(r.normalized, r.memorable) for r in scores], key=repr)
-    assert QUERIES["lexical_mutation_list"](spark, folder).groupBy("normalized").count().agg(F.max("count")).first()[0] == 3
+    assert QUERIES["lexical_mutations"](spark, folder).groupBy("normalized").count().agg(F.max("count")).first()[0] == 3
     monkeypatch.setattr(reference, "_accepted", lambda *_: names(spark, "phonixel"))
     monkeypatch.setattr(reference, "_held", lambda *_: names(spark, "fonicksel"))
     assert [r.match_type for r in QUERIES["screening_all_signals"](spark, folder).collect()] == ["phonetic"]
@@ -177,9 +176,10 @@ def test_stream_equals_batch(spark, tmp_path):
     stream = lambda: spark.readStream.schema(data.schema).option("maxFilesPerTrigger", 1).parquet(source)
     running = streams.upsert_best(stream(), str(tmp_path / "best"), str(tmp_path / "state"))
     running.awaitTermination()
-    last = max(p["batchId"] for p in running.recentProgress)
-    found = {r.candidate_id: r.confidence for r in spark.read.parquet(str(tmp_path / f"best/v={last}")).collect()}
-    assert last == 2 and found == {r.candidate_id: r.m for r in data.groupBy("candidate_id").agg(F.max("confidence").alias("m")).collect()}
+    found = {r.candidate_id: r.confidence for r in streams.best_so_far(spark, str(tmp_path / "best")).collect()}
+    streams.compact(spark, str(tmp_path / "best"), str(tmp_path / "compact"))
+    assert rows(streams.best_so_far(spark, str(tmp_path / "compact"))) == rows(streams.best_so_far(spark, str(tmp_path / "best")))
+    assert max(p["batchId"] for p in running.recentProgress) == 2 and found == {r.candidate_id: r.m for r in data.groupBy("candidate_id").agg(F.max("confidence").alias("m")).collect()}
     history = streams.append_history(stream(), str(tmp_path / "history"), str(tmp_path / "state2"))
     history.awaitTermination()
     assert spark.read.parquet(str(tmp_path / "history")).count() == 60

@@ -2,10 +2,11 @@
 
 import pytest
 
-from lexloom.plans import problems, reference
+from lexloom.plans import files, generation, problems, reference
 from tools.compare import compare
 
-QUERIES, ORACLES = problems.QUERIES | reference.QUERIES, problems.ORACLES | reference.ORACLES
+MODULES = (problems, reference, files, generation)
+QUERIES, ORACLES = {k: q for m in MODULES for k, q in m.QUERIES.items()}, {k: q for m in MODULES for k, q in m.ORACLES.items()}
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

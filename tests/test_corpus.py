@@ -41,7 +41,7 @@ def test_names_and_display(spark):
 
 @pytest.mark.parametrize(("text", "status", "fields", "tags"), [
     ("APPLE", "unknown", {}, ["dictionary_word"]), ("BADWORD", None, {}, ["profanity_signal"]), ("BXTR", "??", {}, ["probable_acronym"]), ("CORVANE", " LIVE", {}, ["live_registration"]),
-    ("MYTH", "dead", {}, ["abandoned"]), ("ONDARA", "unknown", {"international_registration": "true"}, ["international_registration"]), ("ONDARA", "unknown", {"international_registration": "no"}, []),
+    ("MYTH", "dead", {}, ["abandoned"]), ("ONDARA", "unknown", {"international_registration": "true"}, ["international_registration"]), ("ONDARA", "unknown", {"international_registration": "1"}, ["international_registration"]), ("ONDARA", "unknown", {"international_registration": ""}, []),
 ])
 def test_tags(spark, text, status, fields, tags):
     words = lambda w: spark.createDataFrame([(w,), (None,)], "word string")

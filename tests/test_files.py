@@ -77,11 +77,11 @@ def changed(i, **kw):
     (ENTRIES, 0), (ENTRIES + [{"id": "new"}], 0), (changed(0, gloss="other", status="x"), 0), ([dict(reversed(e.items())) for e in ENTRIES], 0),
     ([ENTRIES[0], ENTRIES[2]], 3), ([ENTRIES[1], ENTRIES[0], ENTRIES[2]], 2), (ENTRIES[:2], 2), (changed(1, weight=0.5), 1), (changed(1, semantics={"valence": 1}), 1),
 ])
-def test_inventory_breaches(entries, n):
-    assert len(inventory.compare("i", entries, inventory.build_lock(ENTRIES))) == n
+def test_inventory_breaches(spark, entries, n):
+    assert len(inventory.compare(spark, "i", entries, inventory.build_lock(ENTRIES))) == n
 
 
-def test_inventory_files(tmp_path, capsys):
+def test_inventory_files(spark, tmp_path, capsys):
     assert cli.main(["inventory-lock", "check", "--root", str(tmp_path / "none")]) == 0
     (tmp_path / "deep").mkdir()
     path = tmp_path / "deep" / "i.yaml"
@@ -91,8 +91,8 @@ def test_inventory_files(tmp_path, capsys):
     assert cli.main(["inventory-lock", "check", "--root", str(tmp_path)]) == 0
     path.write_text("- id: z\n- {id: b, weight: 1}\n- id: c\n")
     lock = {"schema": 1, "entries": inventory.build_lock([{"id": "a"}, {"id": "b"}])["entries"]}
-    assert len(inventory.compare(path, inventory.load_entries(path), lock)) == 2
-    assert len(inventory.compare(path, [], {"schema": 2})) == 1
+    assert len(inventory.compare(spark, path, inventory.load_entries(path), lock)) == 2
+    assert len(inventory.compare(spark, path, [], {"schema": 2})) == 1
     for bad in ("id: a", "- id: a\n- id: a", "- x: 1", "- 1"):
         path.write_text(bad)
         with pytest.raises(ValueError):
@@ -145,6 +145,15 @@ def test_registry_refuses(spark, tmp_path):
         registry_csv.acquire(tmp_path)
 
 
+def test_line_breaks_in_quotes(spark, tmp_path):
+    """Both readers agree: refused where files are split, read where they aren't."""
+    path = csv(tmp_path, lines=['78000001,"COR\nVANE",4,20110402,700,L', "78000002,LUMERIS,5,20190115,700,?"])
+    with pytest.raises(Exception, match="FAILFAST"):
+        registry_csv.read(spark, path).collect()
+    assert {r.text for r in registry_csv.read_quarantining(spark, path)[0].collect()} == {"LUMERIS"}
+    assert {r.text for r in registry_csv.read(spark, path, line_breaks=True).collect()} == {"COR\nVANE", "LUMERIS"} == {r.text for r in registry_csv.read_quarantining(spark, path, line_breaks=True)[0].collect()}
+
+
 def test_registry_quarantine(spark, tmp_path):
     good, bad = registry_csv.read_quarantining(spark, csv(tmp_path, lines=[*LINES, "78000001,TWICE,4,20110402,700,L", "78000009,SHORT"]))
     assert {r.text for r in good.collect()} == {"LUMERIS", "ZEPRIX"}

@@ -113,7 +113,7 @@ def test_first_blend_entry_counts(spark):
     from lexloom.types import BlendEntry, CorpusBlend, Use
 
     blend = CorpusBlend("b", (BlendEntry("p", frozenset({Use.SATURATION}), 2.0), BlendEntry("p", frozenset({Use.DISPLAY}))))
-    assert rows(licensing.blend_frame(spark, blend)) == [("b", "p", "saturation", 2.0)] and blend.providers_for(Use.DISPLAY) == ("p",)
+    assert rows(licensing.blend_frame(spark, blend)) == [("b", "p", "saturation", 2.0)] and blend.providers(Use.DISPLAY) == frozenset() and blend.providers(Use.SATURATION) == {"p"}
     evidence = spark.createDataFrame([("n", "p", 3), ("n", "q", 5)], "normalized string, provider_id string, record_count int")
     assert rows(licensing.contributors(evidence, licensing.blend_frame(spark, blend), Use.SATURATION).select("provider_id", "weighted_count")) == [("p", 6.0)]
     assert licensing.contributors(evidence, licensing.blend_frame(spark, blend), "display").select(F.count("*")).first()[0] == 0
