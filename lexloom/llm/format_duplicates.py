@@ -34,12 +34,13 @@ def canonical(c: Column, kind: T.DataType) -> Column:
     return F.coalesce(text, F.lit(NULL))
 
 
-def hashed(df: DataFrame, id_column: str, ignore: Sequence[str] = ()) -> DataFrame:
-    """(id, h1, h2, check): 128 bits of hash and a check (length and CRC-32) of each row's canonical text, fields in order of name."""
+def hashed(df: DataFrame, id_column: str, ignore: Sequence[str] = (), whole: bool = False) -> DataFrame:
+    """(id, h1, h2, check): 128 bits of hash and a check (length and CRC-32) of each row's canonical text, fields in order of name; with ``whole`` the row too (row)."""
     fields = sorted((f for f in df.schema.fields if f.name != id_column and f.name not in ignore), key=lambda f: f.name)
     text = F.concat_ws(FIELD, *[canonical(F.col(f"`{f.name}`"), f.dataType) for f in fields])
-    return df.select(F.col(id_column).alias("id"), text.alias("_text")).select(
-        "id", F.xxhash64("_text").alias("h1"), F.xxhash64(F.lit("second"), "_text").alias("h2"),
+    row = [F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")] if whole else []
+    return df.select(F.col(id_column).alias("id"), text.alias("_text"), *row).select(
+        "id", *(["row"] if whole else []), F.xxhash64("_text").alias("h1"), F.xxhash64(F.lit("second"), "_text").alias("h2"),
         (F.length("_text").cast("bigint") * F.lit(1 << 32) + F.crc32("_text")).alias("check"),
     )
 
@@ -53,11 +54,11 @@ class FormatDuplicates:
     all rows - at most 256 - are broadcast, so that no task gets more than that share of one group.
 
     Defined cases: null equals only null; empty strings, lists and maps equal each other but not null; repeated list entries
-    count; rows with a null id are counted but never listed; empty tables give empty results.
+    count; rows with a null id are counted but never listed as copies; empty tables give empty results.
     """
 
     def __init__(self, df: DataFrame, id_column: str, ignore: Sequence[str] = ()) -> None:
-        self.df, self.id_column = df, id_column
+        self.df, self.id_column, self.ignore = df, id_column, ignore
         self.rows = materialise(hashed(df, id_column, ignore), "hashed")
         self.groups = self.rows.groupBy("h1", "h2", "check").agg(F.min("id").alias("first_id"), F.count("*").alias("n_copies"))
 
@@ -75,10 +76,13 @@ class FormatDuplicates:
     def collapsed(self) -> DataFrame:
         """One whole row of each group, that of the smallest id, with ``n_copies``, its number of rows (a column of that name is replaced).
 
-        Rows whose ids are all null have no smallest one and are left out; of rows with one id and one text, all stay.
+        Of a group whose ids are all null, the row that comes first as JSON stands for it; of rows with one id and one text, all stay.
         """
+        plain, key = self.df.drop("n_copies"), ["h1", "h2", "check"]
         counts = self.groups.where(F.col("first_id").isNotNull()).select(F.col("first_id").alias(self.id_column), "n_copies")
-        return self.df.drop("n_copies").join(counts, self.id_column)
+        unnamed = hashed(self.df.where(F.col(self.id_column).isNull()), self.id_column, self.ignore, whole=True).join(self.groups.where(F.col("first_id").isNull()).drop("first_id"), key)
+        chosen = unnamed.groupBy(*key).agg(F.min_by("row", F.to_json("row")).alias("row"), F.max("n_copies").alias("_copies"))
+        return plain.join(counts, self.id_column).select(*plain.columns, "n_copies").unionByName(chosen.select(*[F.col(f"row.`{c}`").alias(c) for c in plain.columns], F.col("_copies").alias("n_copies")))
 
     def collisions(self) -> DataFrame:
         """Hashes that more than one text has."""

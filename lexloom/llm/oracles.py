@@ -93,6 +93,8 @@ ORACLES = {
       p as (select t.source, coalesce(n, 0) as size_tokens, target_share, max_repeats, max_repeats * coalesce(n, 0) as most_tokens,
         ceil(target_share::decimal(12, 9) * (select sum(n)::bigint from s))::bigint as target_tokens from mix_targets t left join s using (source))
       select *, least(target_tokens, most_tokens) as quota_tokens from p""",
+    "p8_invariants": """select unnest(['every document has a row', 'levels lie within the bands', 'the band is the nearest', 'shares add up', 'no level without words',
+      'a level wherever there are sentences']) as rule, 0::bigint as n_violations""",
     # Sizes in characters instead of tokens: the answer is the same in any usual unit.
     "p7_found": """select t.source from mix_targets t left join (select source, sum(length(text)) as n from documents group by 1) s using (source)
       where t.max_repeats * coalesce(s.n, 0) < t.target_share * (select sum(length(text)) from documents)""",

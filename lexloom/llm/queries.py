@@ -151,6 +151,11 @@ def p8_profile(spark: SparkSession, folder: str) -> DataFrame:
     return reading_level.profile(_levels(spark, folder), table(spark, folder, "documents"))
 
 
+def p8_invariants(spark: SparkSession, folder: str) -> DataFrame:
+    """How often ``p8_reading_levels`` breaks what must hold of every level: never."""
+    return reading_level.violations(_levels(spark, folder), table(spark, folder, "documents"))
+
+
 def p8_accuracy(spark: SparkSession, folder: str) -> DataFrame:
     """How well levels meet the labels of the fifth of the labelled documents that the models never saw."""
     documents, labels = table(spark, folder, "documents"), table(spark, folder, "reading_labels")
@@ -181,5 +186,5 @@ QUERIES = {
     "p5_found": p5_found, "p5_per_split": p5_per_split, "p5_artifact_claims": p5_artifact_claims,
     "p6_found": p6_found, "p6_items": p6_items, "p6_clean_documents": p6_clean_documents,
     "p7_found": p7_found, "p7_mixture": p7_mixture, "p7_shares": p7_shares, "p7_exact_shares": p7_exact_shares, "p7_invariants": p7_invariants, "p7_plan_in_words": p7_plan_in_words,
-    "p8_reading_levels": p8_reading_levels, "p8_profile": p8_profile, "p8_accuracy": p8_accuracy,
+    "p8_reading_levels": p8_reading_levels, "p8_profile": p8_profile, "p8_invariants": p8_invariants, "p8_accuracy": p8_accuracy,
 }

@@ -291,6 +291,20 @@ def profile(levels: DataFrame, documents: DataFrame) -> DataFrame:
     )
 
 
+def violations(levels: DataFrame, documents: DataFrame) -> DataFrame:
+    """(rule, n_violations) of what holds for all levels; all 0."""
+    known = levels.join(documents.select("doc_id", "text"), "doc_id", "full")
+    shares = sum((F.col(f"share_{k + 1}") for k in range(BANDS)), F.lit(0.0))
+    has_level, wordless = F.col("difficulty").isNotNull(), ~F.coalesce(F.col("text").rlike(r"[\p{L}\p{N}]"), F.lit(False))
+    rules = {
+        "every document has a row": F.col("n_sentences").isNull(), "levels lie within the bands": has_level & ~F.col("difficulty").between(1, BANDS),
+        "the band is the nearest": has_level & (F.abs(F.col("band") - F.col("difficulty")) > 0.5 + 1e-9), "shares add up": has_level & (F.abs(shares - 1) > 1e-6),
+        "no level without words": wordless & (has_level | (F.col("n_sentences") > 0)), "a level wherever there are sentences": (F.col("n_sentences") > 0) & ~has_level,
+    }
+    counts = known.agg(*[F.count_if(F.coalesce(c, F.lit(False))).alias(n) for n, c in rules.items()])
+    return counts.select(F.explode(F.array(*[F.struct(F.lit(n).alias("rule"), F.col(f"`{n}`").alias("n_violations")) for n in rules])).alias("r")).select("r.*")
+
+
 def accuracy(levels: DataFrame, labels: DataFrame) -> DataFrame:
     """One row: labelled documents, mean absolute error, share in the annotators' band and within one of it, correlation."""
     marked = labels.where(F.col("band").between(1, BANDS)).groupBy("doc_id").agg(F.avg("band").alias("level"))

@@ -55,6 +55,8 @@ def test_defined_cases(spark):
     same = (None, None, None, None, "", "", 0, 0)
     odd = spark.createDataFrame([(1, *same), (2, *same), (None, *same), (4, "x" * 3_000_000, *same[1:]), (5, "X" * 3_000_000 + "!", *same[1:])], SCHEMA)
     assert rows(FormatDuplicates(odd, "rid").members()) == [(1, 2), (4, 5)]
+    unnamed = FormatDuplicates(spark.createDataFrame([(None, "A b", *same[1:]), (None, "ab", *same[1:]), (None, "c", *same[1:]), (7, "C", *same[1:])], SCHEMA), "rid").collapsed()
+    assert sorted((r.rid or 0, r.n_copies, r.text) for r in unnamed.collect()) == [(0, 2, "A b"), (7, 2, "C")]
     assert FormatDuplicates(odd.limit(0), "rid").members().count() == 0 and FormatDuplicates(odd.limit(0), "rid").collapsed().count() == 0
 
 
