@@ -43,6 +43,12 @@ def _base_letters() -> tuple[str, str, dict[str, str]]:
     return "".join(source), "".join(target), several
 
 
+def unaccented(c: Column) -> Column:
+    """Accented letters, and compatibility forms of one letter or digit, as their base; all other characters stay."""
+    one, base, _ = _base_letters()
+    return F.when(c.rlike(r"[^\x00-\x7f]"), F.translate(c, one, base)).otherwise(c)
+
+
 def name_key(c: Column) -> Column:
     """The name key: base letters of compatibility forms and accented letters, lower case, only a-z and 0-9.
 

@@ -100,6 +100,19 @@ def syllable_parts(names: DataFrame) -> DataFrame:
     return names.select(F.explode(F.array(*[F.struct(F.lit(k).alias("part"), v.alias("value")) for k, v in (("onset", onset), ("nucleus", nucleus), ("coda", coda))])).alias("p")).select("p.*")
 
 
+def template_distribution(names: DataFrame, vowels: str = "aeiouy") -> DataFrame:
+    """(template, n_names, share): how many names have each pattern of consonants (C) and vowels (V), runs as one letter each."""
+    shape = F.regexp_replace(F.regexp_replace("normalized", f"[^{vowels}]+", "C"), f"[{vowels}]+", "V")
+    by_shape = names.groupBy(shape.alias("template")).agg(F.count("*").alias("n_names"))
+    return with_row(by_shape, by_shape.agg(F.sum("n_names").alias("_all"))).select("template", "n_names", (F.col("n_names") / F.col("_all")).alias("share"))
+
+
+def at_least_as_typical(scores: DataFrame, value: str, share: float) -> DataFrame:
+    """One row: the quantile above which the best ``share`` of scores lies, and how many reach it."""
+    marked = with_row(scores, quantile(scores, value, 1 - share, "_limit"))
+    return marked.agg(F.max("_limit").alias("threshold"), F.count_if(F.col(value) >= F.col("_limit")).alias("n_above"), F.count("*").alias("n_names"))
+
+
 def gini(usage: DataFrame, value: str) -> DataFrame:
     """One row: the Gini coefficient of a non-negative count; 0 of nothing.
 

@@ -27,6 +27,10 @@ def p4_unified(spark: SparkSession, folder: str) -> DataFrame:
     return OneTable(Drift(table(spark, folder, "case_file_lines"))).lines()
 
 
+def p4_steps(spark: SparkSession, folder: str) -> DataFrame:
+    return Drift(table(spark, folder, "case_file_lines")).steps()
+
+
 def p4_cell_counts(spark: SparkSession, folder: str) -> DataFrame:
     """What ``p4_unified`` holds of every file: its lines that fit and their cells, wherever these stand."""
     return OneTable(Drift(table(spark, folder, "case_file_lines"))).cell_counts()
@@ -46,7 +50,7 @@ def p4_columns(spark: SparkSession, folder: str) -> DataFrame:
     return drift.profile.select("feed_id", "file_no", "name", F.coalesce("kind", F.lit("none")).alias("kind"), "n_values")
 
 
-QUERIES = {"p1_found": p1_found, "p1_change_counts": p1_change_counts, "p4_found": p4_found, "p4_unified": p4_unified, "p4_columns": p4_columns, "p4_cell_counts": p4_cell_counts, "p4_families": p4_families}
+QUERIES = {"p1_found": p1_found, "p1_change_counts": p1_change_counts, "p4_found": p4_found, "p4_unified": p4_unified, "p4_columns": p4_columns, "p4_steps": p4_steps, "p4_cell_counts": p4_cell_counts, "p4_families": p4_families}
 
 _CHANGES = """
 with steps as (
@@ -90,15 +94,21 @@ _MONTH = "(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]*"
 _DATE = rf"(\d{{4}}[-/.]\d{{1,2}}[-/.]\d{{1,2}}|\d{{1,2}}[-/.]\d{{1,2}}[-/.]\d{{4}}|\d{{1,2}}[ -]{_MONTH}[ ,-]+\d{{4}}|{_MONTH} \d{{1,2}},? \d{{4}})"
 _KINDS = f"""case when regexp_full_match(value, '[0-9]+') then 'integer' when lower(value) in ('true', 'false') then 'boolean' when regexp_full_match(value, '[+-]?[0-9]*[.][0-9]+') then 'decimal'
   when regexp_full_match(lower(value), '{_DATE}') then 'date' when regexp_full_match(lower(value), '{_DATE}{_TIME}') then 'timestamp' when value is not null then 'text' end"""
+_PROFILE = f""", kinds as (select feed_id, file_no, name, {_KINDS} as kind, count(*) as n, count(value) as k from cells group by 1, 2, 3, 4),
+lines_ as (select feed_id, file_no, count(*) - count(*) filter (file_format = 'delimited' and line_no = 0) as n_lines, max(file_format) as form from raw_ group by 1, 2),
+sums as (select feed_id, file_no, name, sum(n) as n_with, sum(k)::bigint as n_values from kinds group by 1, 2, 3),
+usual as (select feed_id, file_no, name, kind from kinds join sums using (feed_id, file_no, name) where kind is not null and n * 2 > n_values),
+columns_ as (select p.feed_id, p.file_no, p.name, u.kind, n_values from sums p join lines_ l using (feed_id, file_no) left join usual u using (feed_id, file_no, name) where form = 'delimited' or n_with * 2 >= n_lines)
+"""
 
 ORACLES = {
     "p4_cell_counts": _CELLS + "select feed_id, file_no, count(distinct line_id) as n_lines, count(value) as n_cells from cells group by 1, 2",
-    "p4_columns": _CELLS + f""", kinds as (select feed_id, file_no, name, {_KINDS} as kind, count(*) as n, count(value) as k from cells group by 1, 2, 3, 4),
-      lines_ as (select feed_id, file_no, count(*) - count(*) filter (file_format = 'delimited' and line_no = 0) as n_lines, max(file_format) as form from raw_ group by 1, 2),
-      profile as (select feed_id, file_no, name, sum(n) as n_with, sum(k)::bigint as n_values from kinds group by 1, 2, 3),
-      usual as (select feed_id, file_no, name, kind from kinds join profile using (feed_id, file_no, name) where kind is not null and n * 2 > n_values)
-      select p.feed_id, p.file_no, p.name, coalesce(u.kind, 'none') as kind, n_values from profile p join lines_ l using (feed_id, file_no) left join usual u using (feed_id, file_no, name)
-      where form = 'delimited' or n_with * 2 >= n_lines""",
+    "p4_columns": _CELLS + _PROFILE + "select feed_id, file_no, name, coalesce(kind, 'none') as kind, n_values from columns_",
+    "p4_steps": _CELLS + _PROFILE + """, files as (select feed_id, file_no, lag(file_no) over (partition by feed_id order by file_no) as before from (select distinct feed_id, file_no from columns_)),
+      met as (select f.feed_id, f.file_no, o.name as old_name, n.name as new_name, o.kind as old_kind, n.kind as new_kind from files f join columns_ o on o.feed_id = f.feed_id and o.file_no = f.before
+        left join columns_ n on n.feed_id = f.feed_id and n.file_no = f.file_no and n.name = o.name),
+      fresh as (select f.feed_id, f.file_no, count(*) filter (o.name is null) as n_fresh from files f join columns_ n using (feed_id, file_no) left join columns_ o on o.feed_id = f.feed_id and o.file_no = f.before and o.name = n.name where f.before is not null group by 1, 2)
+      select feed_id, file_no, count(*) filter (new_name is null) as n_gone, any_value(n_fresh) as n_fresh, count(new_name) as n_kept, count(*) filter (old_kind <> new_kind) as n_kept_retyped from met join fresh using (feed_id, file_no) group by 1, 2""",
     "p1_found": _CHANGES + "select * from named",
     "p1_change_counts": _CHANGES + "select provider_id, vintage, change_kind, count(*) as n_changes from named group by all",
 }

@@ -434,6 +434,20 @@ def bigram_typicality(spark, folder):
     return found.withColumn("mean_log_prob", F.round("mean_log_prob", 6))
 
 
+@query(f"""with {_BASE}, {_BIGRAMS}, r as (select round(m, 6) as m from ht), q as (select quantile_cont(m, 0.9) as t from r)
+  select round((select t from q), 6) as threshold, count(*) filter (m >= (select t from q)) as n_above, count(*) as n_names from r""")
+def typicality_top_decile(spark, folder):
+    """The typicality that the best tenth of the held-out names reach."""
+    found = evaluation.typicality(_held(spark, folder), _accepted(spark, folder).select("normalized").distinct()).withColumn("m", F.round("mean_log_prob", 6))
+    return evaluation.at_least_as_typical(found, "m", 0.1).withColumn("threshold", F.round("threshold", 6))
+
+
+@query(f"""with {_BASE}, t as (select regexp_replace(regexp_replace(normalized, '[^aeiouy]+', 'C', 'g'), '[aeiouy]+', 'V', 'g') as template, count(*) as n_names from (select distinct normalized from accepted) group by 1)
+  select template, n_names, round(n_names / sum(n_names) over (), 9) as share from t""")
+def template_distribution(spark, folder):
+    return evaluation.template_distribution(_accepted(spark, folder).select("normalized").distinct()).withColumn("share", F.round("share", 9))
+
+
 @query(f"""with {_BASE}, {_BIGRAMS}, ns as (select normalized, unnest(list_transform(range(1, length(normalized) + 2), lambda i: substr('^' || normalized || '$', i, 2))) as g from n),
   nt as (select normalized, avg(ln((coalesce(c, 0) + 1) / (coalesce(t, 0) + 27))) as m from ns left join gc using (g) left join cc on cc.x = g[1] group by 1),
   a as (select floor(round(m, 6) / 0.25) as b, count(*) / (select count(*) from nt) as p from nt group by 1), h as (select floor(round(m, 6) / 0.25) as b, count(*) / (select count(*) from ht) as p from ht group by 1)

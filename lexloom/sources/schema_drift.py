@@ -12,6 +12,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from lexloom.functions.text import unaccented
 from lexloom.session import broadcast_if_small, materialise, ship
 from lexloom.sources.schema_match import one_to_one, rename_scores
 
@@ -83,7 +84,7 @@ def value_keys(v: Column) -> Column:
     whole, fraction = part(number, 1), part(number, 2)
     digits = F.ltrim(low, F.lit("0"))
     plain = F.array(F.concat(F.lit("n:"), F.when(digits == "", "0").otherwise(digits)), F.when(F.length(low) == 8, day(low)), F.when(low.isin("0", "1"), F.concat(F.lit("b:"), low)))
-    letters = F.regexp_replace(F.when(low.rlike(r"[^\x00-\x7f]"), F.translate(low, "áàâäãåéèêëíìîïóòôöõúùûüçñý", "aaaaaaeeeeiiiiooooouuuucny")).otherwise(low), r"[^\p{L}\p{N}]+", "")
+    letters = F.regexp_replace(unaccented(low), r"[^\p{L}\p{N}]+", "")
     text = F.array(F.concat(F.lit("t:"), letters))
     flag = F.when(low.isin(*YES), F.array(F.lit("b:1"))).when(low.isin(*NO), F.array(F.lit("b:0")))
     # The usual cases come first and need no pattern of a date.
@@ -416,6 +417,13 @@ class Drift:
     def renames(self) -> DataFrame:
         return materialise(match_columns(self.pairs, self.evidence, self.min_agreement), "renames")
 
+    def steps(self) -> DataFrame:
+        """(feed_id, file_no, n_gone, n_fresh, n_kept, n_kept_retyped): how far each file's columns are from those of the file before it, by name alone."""
+        kind_of = lambda c: F.map_from_entries(F.filter(c, lambda x: x["kind"].isNotNull()))
+        kept = F.array_except(F.transform("old_columns", lambda x: x["name"]), F.col("gone"))
+        retyped = F.filter(kept, lambda n: F.try_element_at(kind_of("old_columns"), n) != F.try_element_at(kind_of("new_columns"), n))
+        return self.pairs.select(*FILE, F.size("gone").alias("n_gone"), F.size("fresh").alias("n_fresh"), F.size(kept).alias("n_kept"), F.size(retyped).alias("n_kept_retyped"))
+
     @property
     def serials(self) -> DataFrame:
         """(feed_id, file_no, serial_name): the column that looks most like the serial number."""
