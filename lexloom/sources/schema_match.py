@@ -14,6 +14,8 @@ import numpy as np
 
 #: Columns of different feeds are only joined if names, types and values alone make them at least this alike.
 MIN_DIRECT = 0.4
+#: Columns of one feed that were not renamed into each other are joined only if their names, or the words of their texts, are this alike.
+MIN_NAMES, MIN_WORDS = 0.3, 0.5
 #: How much the overlap of a kind of value says: dates look alike everywhere, words don't.
 SAYS = {"d": 0.3, "m": 0.5, "n": 0.5, "b": 0.8, "w": 1.0}
 
@@ -160,10 +162,11 @@ def _pooled(nodes: Sequence[ColumnNode], weights: Sequence[int]) -> ColumnNode:
     return ColumnNode(tuple(dict.fromkeys(x for n in nodes for x in n.names)), mean("kinds"), mean("values"))
 
 
-def families(columns: Sequence[ColumnNode], n_files: Sequence[int], conflicts: Iterable[tuple[int, int]]) -> list[int]:
+def families(columns: Sequence[ColumnNode], n_files: Sequence[int], conflicts: Iterable[tuple[int, int]], neighbours: Iterable[tuple[int, int]] = ()) -> list[int]:
     """For each column of a set of schemas the number of its family: the columns that stand for the same thing.
 
-    Two columns that one file holds both (``conflicts``) are never in one family. Columns that share a name are joined first,
+    Two columns that one file holds both (``conflicts``) are never in one family; two that one feed holds at different times
+    without having been renamed (``neighbours``) only if their names or words are alike. Columns that share a name are joined first,
     the most frequent first; then rounds of flooding over what is left: pairs of families that share a part, a type or a kind of
     value flood each other, and a pair joins if each is the other's best by score and names, types and values alone make the two
     alike (``MIN_DIRECT``). Ends when a round joins nothing.
@@ -171,18 +174,22 @@ def families(columns: Sequence[ColumnNode], n_files: Sequence[int], conflicts: I
     parent = list(range(len(columns)))
     members = {i: [i] for i in parent}
     against: dict[int, set[int]] = {i: set() for i in parent}
-    for a, b in conflicts:
-        against[a].add(b)
-        against[b].add(a)
+    beside: dict[int, set[int]] = {i: set() for i in parent}
+    for sets, pairs in ((against, conflicts), (beside, neighbours)):
+        for a, b in pairs:
+            sets[a].add(b)
+            sets[b].add(a)
 
     def join(a: int, b: int) -> None:
         for m in members[b]:
             parent[m] = a
         members[a] += members.pop(b)
-        for other in against.pop(b):
-            against[other].discard(b)
-            against[other].add(a)
-            against[a].add(other)
+        for sets in (against, beside):
+            for other in sets.pop(b) - {a}:
+                sets[other].discard(b)
+                sets[other].add(a)
+                sets[a].add(other)
+            sets[a].discard(b)
 
     by_name: dict[str, list[int]] = defaultdict(list)
     for i, c in enumerate(columns):
@@ -206,7 +213,9 @@ def families(columns: Sequence[ColumnNode], n_files: Sequence[int], conflicts: I
         for x, y in _candidates(nodes):
             if ids[y] not in against[ids[x]]:
                 kinds, values, names = shared(nodes[x].kinds, nodes[y].kinds), shared(nodes[x].values, nodes[y].values, SAYS), name_likeness(nodes[x], nodes[y], rarity)
-                direct[x, y] = 0.45 * names + 0.45 * values + 0.1 * kinds
+                words = sum(min(s, nodes[y].values.get(v, 0.0)) for v, s in nodes[x].values.items() if v.startswith("w"))
+                if names >= MIN_NAMES or words >= MIN_WORDS or ids[y] not in beside[ids[x]]:
+                    direct[x, y] = 0.45 * names + 0.45 * values + 0.1 * kinds
         scores = column_scores(nodes, nodes, direct)
         best: dict[int, float] = defaultdict(float)
         for (x, y), s in scores.items():
