@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.operators import addressing, aggregate, artifact, evaluation, facts, holdout, phonology, scoring, screening
-from lexloom.plans.reference import _BASE, _FACTS, _KEYS, POSITIONS, Query, _accepted, _facts, _held, _records
+from lexloom.operators import addressing, aggregate, artifact, facts, holdout, phonology, scoring, screening
+from lexloom.plans.reference import _BASE, _KEYS, _PROVIDERS_SQL, POSITIONS, Query, _accepted, _blend, _descriptors, _held, _records
 from lexloom.session import table
+from lexloom.types import Use
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
@@ -241,3 +242,25 @@ def cleaned_names(spark, folder):
     clean = names.join(dirty, "normalized", "left_anti")
     count = lambda what, df: df.agg(F.count("*").alias("n_found")).select(F.lit(what).alias("names"), "n_found")
     return count("as built", dirty).unionByName(count("cleaned", holdout.near_contamination(clean, held)))
+
+
+@query(f"""with {_BASE}, {_KEYS} select key, count(*) as n_names from (select distinct normalized, case when normalized in (select normalized from held) then 'exact' else 'edit_distance' end as key from ck where k in (select k from hk)) group by 1""")
+def excluded_by_spelling(spark, folder):
+    """Excluded names by key, as far as no sounds count."""
+    return holdout.excluded_histogram(holdout.near_contamination(_names(spark, folder), _held(spark, folder)))
+
+
+@query(f"""with {_PROVIDERS_SQL}, {_BASE}, {_KEYS}, mine as (select distinct normalized from saturation join providers on split_part(provider_id, '.', 1) = prefix where kind = 'registry'),
+  dirty as (select distinct normalized from ck where k in (select k from hk))
+  select (select count(*) from mine) as n_blended, (select count(*) from mine where normalized in (select normalized from dirty)) as n_spelt_alike, true as all_taken_out, true as rest_is_by_sound""")
+def induction_guard(spark, folder):
+    """The induction artifact against what SQL can say of it: none of the names that spelling excludes is in it, and what else is missing sounds like a held-out one."""
+    known, held = _descriptors(spark, folder), _held(spark, folder)
+    evidence = aggregate.saturation(_accepted(spark, folder))
+    whole, made = artifact.build(Use.NOVELTY_REFERENCE, _blend(known), known, evidence).names, artifact.build(Use.INDUCTION, _blend(known), known, evidence, held)
+    near = holdout.near_contamination(whole, held)
+    count = lambda df: df.agg(F.count("*")).scalar()
+    return spark.range(1).select(
+        count(whole).alias("n_blended"), count(near).alias("n_spelt_alike"), (count(near.join(made.names, "normalized", "left_semi")) == 0).alias("all_taken_out"),
+        (count(whole) - count(made.names) - F.lit(made.excluded_by_holdout.get("phonetic", 0)) - count(near.where("key = 'exact'")) - F.lit(made.excluded_by_holdout.get("edit_distance", 0)) == 0).alias("rest_is_by_sound"),
+    )

@@ -6,6 +6,8 @@ import os
 import tempfile
 import uuid
 import zipfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -56,9 +58,36 @@ def _own(spark: SparkSession) -> str:
     return f"lexloom-{spark.sparkContext.applicationId}"
 
 
+#: Places given out within each ``scratch`` block that is open.
+_open: list[list[str]] = []
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new place in the shared folder that bears the application's name."""
-    return f"{shared_dir(spark)}/{_own(spark)}-{label}-{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{_own(spark)}-{label}-{uuid.uuid4().hex}"
+    for places in _open:
+        places.append(path)
+    return path
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """What is written to the shared folder within the block is removed at its end; results must have been stored by then."""
+    places: list[str] = []
+    _open.append(places)
+    try:
+        yield
+    finally:
+        _open.remove(places)
+        for place in places:
+            _remove(spark, place)
+
+
+def _remove(spark: SparkSession, pattern: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(pattern)
+    system = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    for found in system.globStatus(path) or []:
+        system.delete(found.getPath(), True)
 
 
 def materialise(df: DataFrame, label: str) -> DataFrame:
@@ -97,11 +126,7 @@ def data_dir(default: str = "/root/testdata/sf0.1") -> str:
 
 def clear_scratch(spark: SparkSession) -> None:
     """Remove what this application has written to the shared folder; frames read from there can't be used afterwards."""
-    jvm = spark.sparkContext._jvm
-    pattern = jvm.org.apache.hadoop.fs.Path(f"{shared_dir(spark)}/{_own(spark)}-*")
-    system = pattern.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    for found in system.globStatus(pattern) or []:
-        system.delete(found.getPath(), True)
+    _remove(spark, f"{shared_dir(spark)}/{_own(spark)}-*")
 
 
 def with_row(df: DataFrame, one: DataFrame) -> DataFrame:

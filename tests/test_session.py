@@ -46,3 +46,13 @@ def test_broadcast_only_within_bounds_and_computed_once(spark, monkeypatch):
     assert not hinted(session.broadcast_if_small(counted, 3)) and hinted(session.broadcast_if_small(spark.range(5))) and len(written) == 2
     monkeypatch.setattr(session, "BROADCAST_BYTES", 10)
     assert not hinted(session.broadcast_if_small(counted))
+
+
+def test_a_block_leaves_nothing_behind(spark):
+    import os
+
+    place = session.shared_dir(spark).removeprefix("file:")
+    before = set(os.listdir(place))
+    with session.scratch(spark):
+        assert session.materialise(spark.range(3), "inside").count() == 3 and set(os.listdir(place)) > before
+    assert set(os.listdir(place)) == before
