@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lexloom.errors import ArtifactSchemaError
 from lexloom.operators import holdout as held
 from lexloom.operators import licensing
+from lexloom.operators.ordering import joined_in_order
 from lexloom.types import CorpusBlend, ProviderDescriptor, Use
 
 ARTIFACT_SCHEMA = 1
@@ -21,7 +22,7 @@ SAMPLES = 5
 
 
 def id_of(use: str, blend_id: str, names: Iterable[str]) -> str:
-    """Content address of sorted names; they are streamed through the hash, never held together."""
+    """Content address of sorted names, or of stretches of them that are joined already; they are streamed through the hash, never held together."""
     digest = hashlib.sha256(f"{use}|{blend_id}|".encode())
     for i, name in enumerate(names):
         digest.update((f"|{name}" if i else name).encode())
@@ -46,8 +47,7 @@ class CorpusArtifact:
 
     @property
     def artifact_id(self) -> str:
-        rows = self.names.orderBy("normalized").toLocalIterator()
-        return id_of(str(self.use), self.blend_id, (r["normalized"] for r in rows))
+        return id_of(str(self.use), self.blend_id, (text for _, text in joined_in_order(self.names, "normalized", "|")))
 
     def write(self, path: str) -> str:
         """Names as sorted Parquet files and the manifest as one line of JSON, below ``path``; returns the id."""

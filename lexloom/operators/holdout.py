@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from lexloom.errors import HoldoutSealError
 from lexloom.functions.phonetic import double_metaphone, phonetic_key
 from lexloom.functions.text import deletions, strip
+from lexloom.operators.ordering import joined_in_order
 from lexloom.session import broadcast_if_small
 
 # Fixed values of the format.
@@ -74,13 +75,12 @@ def verify_seal(names: Iterable[str], expected: HoldoutSeal) -> None:
 def seal_frame(holdout: DataFrame) -> DataFrame:
     """(content_hash, n_names) of canonical names.
 
-    A hash over names in order is one sequence by its definition: sorted by ranges on the executors, the names run through it one
-    after another, a partition at a time, and are never held together.
+    A hash over names in order is one sequence by its definition: they run through it on the driver, a partition at a time.
     """
     digest, n = hashlib.sha256(), 0
-    for row in holdout.select("normalized").distinct().orderBy("normalized").toLocalIterator(prefetchPartitions=True):
-        digest.update(("\n" if n else "").encode() + row["normalized"].encode())
-        n += 1
+    for some, text in joined_in_order(holdout.select("normalized").distinct(), "normalized", "\n"):
+        digest.update(f"\n{text}".encode() if n else text.encode())
+        n += some
     return holdout.sparkSession.createDataFrame([(f"sha256:{digest.hexdigest()}", n)], "content_hash string, n_names bigint")
 
 

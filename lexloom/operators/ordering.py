@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -33,6 +34,22 @@ def running_total(df: DataFrame, order: str, amount: Column, name: str) -> DataF
     return running_totals(df, order, {name: amount})
 
 
+def joined_in_order(names: DataFrame, column: str, separator: str) -> Iterator[tuple[int, str]]:
+    """The values of a text column in ascending order, as (how many, joined text) of some thousands at a time.
+
+    For what is one sequence by its definition, such as a hash over all names: sorted by ranges and joined on the executors, handed to
+    the driver a partition at a time, never held together.
+    """
+
+    def joined(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if batch.num_rows:
+                yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int32()), pa.array([separator.join(batch.column(0).to_pylist())])], names=["n", "text"])
+
+    for row in names.select(column).orderBy(column).mapInArrow(joined, "n int, text string").toLocalIterator(prefetchPartitions=True):
+        yield row["n"], row["text"]
+
+
 def quantile(df: DataFrame, value: str, q: float, name: str) -> DataFrame:
     """One row: the exact ``q`` quantile of a number, between two values in proportion; null values don't count, null of nothing.
 

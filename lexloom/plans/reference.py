@@ -7,7 +7,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lexloom.functions.text import strip
 from lexloom.operators import addressing, aggregate, artifact, evaluation, facts, holdout, inventory, ledger, licensing, normalise, phonology, scoring, screening
 from lexloom.session import broadcast_if_small, scratch_path, table
 from lexloom.streaming import facts as streams

@@ -24,6 +24,8 @@ MONTHS = ("jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct",
 YES = ("true", "t", "yes", "y", "live", "l", "active", "1")
 NO = ("false", "f", "no", "n", "dead", "d", "inactive", "0")
 MIN_AGREEMENT = 2 / 3
+#: Pairs of files that one task matches.
+GRAPHS_PER_TASK = 500
 
 FILE = ["feed_id", "file_no"]
 BYTE_ORDER_MARK = "\ufeff"
@@ -352,8 +354,8 @@ def match_columns(pairs: DataFrame, evidence: DataFrame, min_agreement: float =
                 found += [(feed, file_no, a, b, scores[a, b], agreement[a, b]) for a, b in one_to_one(scores, stands)]
             yield pd.DataFrame(found, columns=["feed_id", "file_no", "old_name", "new_name", "score", "agreement"])
 
-    # Few bytes, but seconds of work: spread over all cores, which the size of the data wouldn't.
-    spread = graphs.repartition(int(graphs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # Few bytes, but work: spread by the number of graphs, which the size of the data wouldn't.
+    spread = graphs.repartition(min(int(graphs.sparkSession.conf.get("spark.sql.shuffle.partitions")), pairs.count() // GRAPHS_PER_TASK + 1))
     return spread.mapInPandas(matched, "feed_id string, file_no int, old_name string, new_name string, score double, agreement double")
 
 
