@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections import defaultdict
 from collections.abc import Callable, Hashable, Iterable, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import lru_cache
 
 import numpy as np
 
@@ -33,6 +34,7 @@ class ColumnNode:
         return frozenset(p for n in self.names for p in n.split("_") if p)
 
 
+@lru_cache(maxsize=1 << 16)
 def part_likeness(a: str, b: str) -> float:
     """How alike two parts of names are: equal, one short for the other (dt for date, reg for registration), or by shared letter pairs."""
     if a == b:
@@ -236,9 +238,13 @@ def families(columns: Sequence[ColumnNode], n_files: Sequence[int], conflicts: I
 
 
 def _candidates(nodes: Sequence[ColumnNode]) -> Iterable[tuple[int, int]]:
-    """Pairs of columns that share a part's first two letters or one of their main kinds of value; found by lists, not by all pairs."""
+    """Pairs of columns that can reach ``MIN_DIRECT``; found by lists, not by all pairs.
+
+    Dates and numbers alone can't, so these need a part that begins alike, with its vowels or without; flags and words can.
+    """
     lists: dict[Hashable, list[int]] = defaultdict(list)
+    bare = lambda p: p[0] + "".join(c for c in p[1:] if c not in "aeiou")[:1]
     for i, n in enumerate(nodes):
-        for key in {("part", p[:2]) for p in n.parts} | {("value", v) for v, share in n.values.items() if share >= 0.05}:
+        for key in {("part", form) for p in n.parts for form in (p[:2], bare(p))} | {("value", v) for v, share in n.values.items() if share >= 0.05 and v[:1] in "bw"}:
             lists[key].append(i)
     return sorted({(x, y) for found in lists.values() for k, x in enumerate(found) for y in found[k + 1 :]})
