@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lexloom.functions.text import deletions, name_key, within_one_edit
-from lexloom.session import BROADCAST_ROWS, broadcast_if_small
+from lexloom.session import BROADCAST_ROWS, broadcast_if_small, materialise
 
 #: Held-out keys shorter than this must be met exactly.
 MIN_ALMOST = 5
@@ -95,7 +95,8 @@ def holdout_overlaps(holdout: DataFrame, normalised: DataFrame, artifacts: DataF
     ).unionByName(artifacts.select(F.lit("corpus_artifact").alias("found_in"), F.col("artifact_id").alias("found_key"), F.explode("names").alias("name")).select(
         "found_in", "found_key", name_key(F.col("name")).alias("key")
     ))
-    return overlaps(held_out, training)
+    # Keys are worked out once: both the search and the rows of what it found read them.
+    return overlaps(materialise(held_out, "held-out"), materialise(training, "training"))
 
 
 def per_split_and_source(found: DataFrame, holdout: DataFrame) -> DataFrame:
