@@ -5,7 +5,6 @@ The tables behind ``name_key`` are derived from the Unicode database by rule, on
 
 from __future__ import annotations
 
-import sys
 import unicodedata
 from functools import lru_cache
 
@@ -26,11 +25,15 @@ def blank_strip_lower(c: Column) -> Column:
     return F.lower(strip(c))
 
 
+#: No plane from here on has a character that is a form of a letter or digit a-z, 0-9.
+END_OF_LETTERS = 0x30000
+
+
 @lru_cache(maxsize=1)
 def _base_letters() -> tuple[str, str, dict[str, str]]:
     """Characters whose compatibility decomposition holds a-z or 0-9: those with one such letter (two aligned strings) and those with several."""
     source, target, several = [], [], {}
-    for code in range(128, sys.maxunicode + 1):
+    for code in range(128, END_OF_LETTERS):
         if 0xD800 <= code <= 0xDFFF:
             continue
         ch = chr(code)

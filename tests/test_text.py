@@ -45,3 +45,13 @@ def test_deletions(spark):
 def test_letters_and_digits(spark):
     df = spark.createDataFrame([("  “Ab-C é” 7™",), ("",), (None,)], "s string").select(text.letters_and_digits(F.col("s")).alias("t"))
     assert [r.t for r in df.collect()] == ["abcé7", "", None]
+
+
+def test_all_forms_of_letters_are_known():
+    import sys
+    import unicodedata
+
+    from lexloom.functions import text
+
+    beyond = (chr(c) for c in range(text.END_OF_LETTERS, sys.maxunicode + 1))
+    assert not [c for c in beyond if any(x.isascii() and x.isalnum() for x in unicodedata.normalize("NFKD", c))]
