@@ -41,7 +41,10 @@ def p4_families(spark: SparkSession, folder: str) -> DataFrame:
     one = OneTable(Drift(table(spark, folder, "case_file_lines")))
     types = spark.createDataFrame(one.families, "family string, type string")
     held = one.layout.select("feed_id", "file_no", F.posexplode("columns").alias("at", "c")).where(F.col("c").isNotNull())
-    return held.join(F.broadcast(types.withColumn("at", F.row_number().over(Window.orderBy("family")) - 1)), "at").select("feed_id", "file_no", F.col("c.name").alias("name"), "family", "type")
+    found = held.join(F.broadcast(types.withColumn("at", F.row_number().over(Window.orderBy("family")) - 1)), "at").select("feed_id", "file_no", F.col("c.name").alias("name"), "family", "type")
+    if not one.rarer:
+        return found
+    return found.unionByName(one.layout.select("feed_id", "file_no", F.inline("rarer")).select("feed_id", "file_no", "name", "family", F.col("kind").alias("type")))
 
 
 def p4_columns(spark: SparkSession, folder: str) -> DataFrame:

@@ -164,34 +164,32 @@ def _pooled(nodes: Sequence[ColumnNode], weights: Sequence[int]) -> ColumnNode:
     return ColumnNode(tuple(dict.fromkeys(x for n in nodes for x in n.names)), mean("kinds"), mean("values"))
 
 
-def families(columns: Sequence[ColumnNode], n_files: Sequence[int], conflicts: Iterable[tuple[int, int]], neighbours: Iterable[tuple[int, int]] = ()) -> list[int]:
+def families(columns: Sequence[ColumnNode], n_files: Sequence[int], conflicts: Iterable[Sequence[int]], neighbours: Iterable[Sequence[int]] = ()) -> list[int]:
     """For each column of a set of schemas the number of its family: the columns that stand for the same thing.
 
-    Two columns that one file holds both (``conflicts``) are never in one family; two that one feed holds at different times
-    without having been renamed (``neighbours``) only if their names or words are alike. Columns that share a name are joined first,
+    Two columns that one file holds both are never in one family; two that one feed holds at different times without having been
+    renamed only if their names or words are alike. ``conflicts`` and ``neighbours`` have the sets of columns that a file, or
+    feed, holds together, as these stand: their pairs would be many more. Columns that share a name are joined first,
     the most frequent first; then rounds of flooding over what is left: pairs of families that share a part, a type or a kind of
     value flood each other, and a pair joins if each is the other's best by score and names, types and values alone make the two
     alike (``MIN_DIRECT``). Ends when a round joins nothing.
     """
     parent = list(range(len(columns)))
     members = {i: [i] for i in parent}
-    against: dict[int, set[int]] = {i: set() for i in parent}
-    beside: dict[int, set[int]] = {i: set() for i in parent}
-    for sets, pairs in ((against, conflicts), (beside, neighbours)):
-        for a, b in pairs:
-            sets[a].add(b)
-            sets[b].add(a)
+    against: list[set[int]] = [set() for _ in parent]
+    beside: list[set[int]] = [set() for _ in parent]
+    for held, sets in ((against, conflicts), (beside, neighbours)):
+        for k, columns_together in enumerate(sets):
+            for i in columns_together:
+                held[i].add(k)
 
     def join(a: int, b: int) -> None:
         for m in members[b]:
             parent[m] = a
         members[a] += members.pop(b)
-        for sets in (against, beside):
-            for other in sets.pop(b) - {a}:
-                sets[other].discard(b)
-                sets[other].add(a)
-                sets[a].add(other)
-            sets[a].discard(b)
+        for held in (against, beside):
+            held[a] |= held[b]
+            held[b] = set()
 
     by_name: dict[str, list[int]] = defaultdict(list)
     for i, c in enumerate(columns):
@@ -200,7 +198,7 @@ def families(columns: Sequence[ColumnNode], n_files: Sequence[int], conflicts: I
     likely = [(n_files[i] * n_files[j], i, j) for holders in by_name.values() for k, i in enumerate(sorted(holders, key=lambda h: -n_files[h])[:1]) for j in holders if j != i]
     for _, i, j in sorted(likely, key=lambda x: (-x[0], x[1], x[2])):
         a, b = parent[i], parent[j]
-        if a != b and b not in against[a]:
+        if a != b and against[a].isdisjoint(against[b]):
             join(a, b)
     while True:
         ids = sorted(members)
@@ -213,10 +211,10 @@ def families(columns: Sequence[ColumnNode], n_files: Sequence[int], conflicts: I
         rarity = lambda p: holders[p] ** -0.5 if holders.get(p) else 1.0
         direct = {}
         for x, y in _candidates(nodes):
-            if ids[y] not in against[ids[x]]:
+            if against[ids[x]].isdisjoint(against[ids[y]]):
                 kinds, values, names = shared(nodes[x].kinds, nodes[y].kinds), shared(nodes[x].values, nodes[y].values, SAYS), name_likeness(nodes[x], nodes[y], rarity)
                 words = sum(min(s, nodes[y].values.get(v, 0.0)) for v, s in nodes[x].values.items() if v.startswith("w"))
-                if names >= MIN_NAMES or words >= MIN_WORDS or ids[y] not in beside[ids[x]]:
+                if names >= MIN_NAMES or words >= MIN_WORDS or beside[ids[x]].isdisjoint(beside[ids[y]]):
                     direct[x, y] = 0.45 * names + 0.45 * values + 0.1 * kinds
         scores = column_scores(nodes, nodes, direct)
         best: dict[int, float] = defaultdict(float)
@@ -229,7 +227,7 @@ def families(columns: Sequence[ColumnNode], n_files: Sequence[int], conflicts: I
             if x in taken or y in taken or s <= 0 or s < max(best[x], best[y]) or direct[x, y] < MIN_DIRECT:
                 continue
             a, b = ids[x], ids[y]
-            if b not in against[a]:
+            if against[a].isdisjoint(against[b]):
                 join(a, b)
                 taken |= {x, y}
                 joined = True

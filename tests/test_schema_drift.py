@@ -7,6 +7,7 @@ import pytest
 from tests.conftest import rows
 from pyspark.sql import functions as F
 
+from lexloom.plans import problems
 from lexloom.sources import one_table, schema_match
 from lexloom.sources import schema_drift as sd
 
@@ -188,6 +189,40 @@ def test_cells_without_a_column_stay_in_others(spark):
     assert len(narrow.families) == 1 and rows(narrow.cell_counts()) == rows(one.cell_counts()) == [("a", 1, 1, 3), ("a", 2, 3, 8)]
 
 
+def _whole(table):
+    """line -> (typed values by family as text, misfits, others), wherever the values stand."""
+    columns = [c for c in table.columns if c not in ("feed_id", "file_no", "line_id", "rarer", "misfits", "others", "_reason", "_raw")]
+    found = table.select("line_id", F.struct(F.lit("").alias("_"), *[F.col(c).cast("string").alias(c) for c in columns]).alias("c"), *[c for c in table.columns if c in ("rarer", "misfits", "others")]).collect()
+    return {r.line_id: ({k: v for k, v in r.c.asDict().items() if k != "_" and v is not None} | (r.rarer if "rarer" in table.columns else {}), r.misfits, sorted(map(tuple, r.others))) for r in found}
+
+
+def test_families_beyond_the_columns_are_found_and_typed_all_the_same(spark):
+    odd = [{"serial": 90000000 + i, "at": f"2009-11-{i + 1:02d}", "day": f"{i + 1}/11/2009", "code": str(i + 1), "rate": f"{i}.5", "live": "true", "text": f"x{i} y"} for i in range(20)]
+    odd[1:5] = [
+        {"serial": 90000001, "at": "2009-11-27 22:15:00", "day": "5/6/2009", "code": "S800", "rate": "-2.5", "live": "?", "text": None}, {"serial": 90000002, "at": "11/27/2009 9:05", "day": "see file", "code": "-5", "rate": "7", "live": "N", "text": "-"},
+        {"serial": 90000003, "at": "2009-11-27 10:15 pm", "day": None, "code": "007", "rate": "12345678901234567.25", "live": None, "text": "7"}, {"serial": 90000004, "at": "2009-11-27T22:15:00+02:00", "day": "31/11/2009", "code": "7.0", "rate": "none", "live": "0.0", "text": "NULL"},
+    ]
+    more = lines_of(spark, [("d", 1, "delimited", csv("|", list(odd[0]) + ["text"], odd) + ["90000001|2009-11-27 10:15 pm|5/6"]), ("d", 2, "jsonl", [json.dumps(r) for r in odd] + ['{"serial": 1, "rare": 2}'])])
+    drift = sd.Drift(_feeds(spark).unionByName(more.withColumn("line_id", F.col("line_id") + 1000)).unionByName(lines_of(spark, [(None, 1, "jsonl", ["{}"])]).withColumn("line_id", F.lit(5000))))
+    wide = one_table.OneTable(drift)
+    assert "rarer" not in wide.lines().columns and {t for _, t in wide.families} == {"timestamp", "date", "bigint", "double", "boolean", "string"}
+    whole, counts = _whole(wide.lines()), rows(wide.cell_counts())
+    for n in (0, 4):
+        narrow = one_table.OneTable(drift, max_columns=n)
+        assert len(narrow.families) == n and sorted(narrow.families + narrow.rarer) == wide.families and narrow.family_of == wide.family_of
+        assert _whole(narrow.lines()) == whole and rows(narrow.cell_counts()) == counts
+
+
+def test_more_threads_than_columns_are_matched(spark, tmp_path):
+    """The rarest spelling goes to the family of the most frequent ones, whatever fits into the columns."""
+    _feeds(spark).write.parquet(f"{tmp_path}/case_file_lines.parquet")
+    all_of_them = rows(problems.p4_families(spark, str(tmp_path)))
+    assert len(all_of_them) == 15 and len({r[3] for r in all_of_them}) == 5
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(one_table.OneTable.__init__, "__defaults__", (2,))
+        assert rows(problems.p4_families(spark, str(tmp_path))) == all_of_them
+
+
 def test_a_column_below_two_thirds_is_not_the_same(spark):
     base = people(30)
     other = [{"serial": r["serial"], "cost": r["fee"] if i < 19 else "1.00"} for i, r in enumerate(base)]  # 19 of 30
