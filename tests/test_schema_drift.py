@@ -287,3 +287,21 @@ def test_columns_of_one_feed_need_more_than_like_values():
     words = {f"w:{i}": 0.25 for i in range(4)}
     owner, holder = node(("owner_nm",), {"text": 1.0}, words), node(("holder",), {"text": 1.0}, words)
     assert group([owner, holder], neighbours=[(0, 1)]) == 1 and group([owner, live]) == 2 and group([]) == 0
+
+
+def test_pairs_in_arrays_score_as_one_by_one():
+    draw = random.Random(3)
+    made = lambda names: schema_match.ColumnNode(names, {draw.choice(["text", "date"]): 1.0}, {f"w:{draw.randrange(9)}": 0.25 for _ in range(4)} | {"d": 0.1})
+    nodes = [made(names) for names in [("reg_dt",), ("registered_on", "reg_date"), ("",), ("owner_nm",), ("owner", "holder_nm", "hold"), ("dt",), ("date_reg",), ("x_1",)]]
+    x, y, near = schema_match._pairs(nodes, [{0}, {0}, *[set()] * 6], [{1}, *[set()] * 4, {1}, set(), set()])
+    pairs = list(zip(x.tolist(), y.tolist(), strict=True))
+    assert pairs == sorted(set(pairs)) and (0, 1) not in pairs and len(pairs) > 10 and [p for p, n in zip(pairs, near, strict=True) if n] == [(0, 5)]
+    likeness = schema_match._Likeness(nodes)
+    holders = {p: sum(p in n.parts for n in nodes) for n in nodes for p in n.parts}
+    names, values, _, kinds = likeness.of(nodes, x, y)
+    one = lambda a, b: (schema_match.name_likeness(a, b, lambda p: holders.get(p, 1) ** -0.5), schema_match.shared(a.values, b.values, schema_match.SAYS), schema_match.shared(a.kinds, b.kinds))
+    for found, (i, j) in zip(zip(names, values, kinds, strict=True), pairs, strict=True):
+        assert found == pytest.approx(one(nodes[i], nodes[j]))
+    graph = schema_match.PairGraph(nodes, x, y, likeness)
+    scores = schema_match.column_scores(nodes, nodes, dict(zip(pairs, names.tolist(), strict=True)))
+    assert schema_match.flood(graph.seeds(names), graph)["column"].tolist() == pytest.approx([scores[p] for p in pairs])
